@@ -15,6 +15,7 @@ MARKDOWN_LINK = r"\[([^\]]+)\]\(([^)]+)\)"
 # \p{C} is not used: it would also delete characters that are newer than the JVM's Unicode tables.
 NON_PRINTABLE = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Z}&&[^\t\n\r ]]"
 UNICODE_SPACE = r"[\x1c-\x1f\x{85}\s\p{Z}]+"
+NOT_SPACE = r"[^\x1c-\x1f\x{85}\s\p{Z}]"
 
 
 def _col(c: Column | str) -> Column:
@@ -51,9 +52,23 @@ def normalize_ws(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(c), UNICODE_SPACE, " "))
 
 
+def strip_ws(c: Column | str) -> Column:
+    """Any Unicode whitespace off both ends."""
+    return F.regexp_replace(_col(c), f"^{UNICODE_SPACE}|{UNICODE_SPACE}$", "")
+
+
 def is_blank(c: Column | str) -> Column:
     """True for null and for text made of whitespace only."""
-    return F.coalesce(normalize_ws(c), F.lit("")) == ""
+    return ~F.coalesce(_col(c).rlike(NOT_SPACE), F.lit(False))
+
+
+def once(c: Column) -> Column:
+    """The value through a generator, for use in a select as ``once(expr).alias(name)``.
+
+    Spark copies an expression into every filter above it. It does not move filters below a
+    generator, so a costly value that later filters look at is computed one time per row.
+    """
+    return F.explode(F.array(c))
 
 
 def content_md5(*cols: Column | str) -> Column:

@@ -23,14 +23,14 @@ def pack_blocks(
     rows = row_index(df.select(*order, F.col(ids).alias("ids")), order, name="at")
     if sep_id is not None:
         rows = rows.withColumn("ids", F.concat("ids", F.array(F.lit(sep_id))))
-    batch = F.floor(F.col("at") / batch_rows).alias("batch")
+    batch = F.expr(f"at div {int(batch_rows)}").alias("batch")
     sized = rows.select(batch, "at", "ids", F.size("ids").cast("bigint").alias("n"))
 
     # The frame never spans more than batch_rows rows; only lengths are summed.
     before = Window.partitionBy("batch").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).where("n > 0")
-    first = F.floor(F.col("start") / block_size)
-    last = F.floor((F.col("start") + F.col("n") - 1) / block_size)
+    first = F.expr(f"start div {int(block_size)}")
+    last = F.expr(f"(start + n - 1) div {int(block_size)}")
     cut = placed.select("batch", "at", "start", "ids", F.explode(F.sequence(first, last)).alias("block"))
 
     # Part of this row inside the block, as offsets into the row.

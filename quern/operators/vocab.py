@@ -144,7 +144,7 @@ def learn_bpe(
         if len(learned) < merges:
             # Words merged into one symbol have no pairs left.
             rest = table.select("freq", spelling.alias("spelling"))
-            rest = rest.where(F.instr(F.substring("spelling", 2, 1 << 30), GAP + GAP) > 0)
+            rest = rest.where(F.col("spelling").contains(GAP + GAP))
             table = materialize(rest, "bpe-words")
     schema = "rank int, left string, right string, token string, freq bigint"
     return spark.createDataFrame(learned, schema)
@@ -195,10 +195,10 @@ def extend_vocab(vocab: DataFrame, tokens: DataFrame, order: Sequence[Column | s
     new = named.join(vocab.select("token"), "token", "left_anti")
     new = new.groupBy("token").agg(F.min("place").alias("place"))
     numbered = row_index(new, ["place"], name="at")
-    last = vocab.agg(F.max("id").alias("last"))
-    appended = numbered.join(F.broadcast(last)).select(
-        "token", (F.coalesce(F.col("last"), F.lit(-1)) + 1 + F.col("at")).cast("bigint").alias("id"),
-        F.lit(True).alias("added"),
+    last = vocab.agg(F.max("id").alias("last")).first()["last"]
+    free = 0 if last is None else last + 1
+    appended = numbered.select(
+        "token", (F.col("at") + free).cast("bigint").alias("id"), F.lit(True).alias("added")
     )
     return vocab.select("token", F.col("id").cast("bigint").alias("id"), F.lit(False).alias("added")).unionByName(appended)
 
