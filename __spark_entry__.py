@@ -71,8 +71,9 @@ def norm_ws(x: str) -> str:
 
 def shingle_list(x: str) -> str:
     """Distinct character 3-grams of a text, from its list of characters."""
-    return (f"list_distinct(list_transform(range(1, greatest(length({x}) - 2, 1) + 1), "
-            f"lambda i: {x}[i:i + 2]))")
+    c = f"string_split({x}, '')"
+    return (f"(select list_distinct(list_transform(range(1, greatest(len(c) - 2, 1) + 1), "
+            f"lambda i: concat(c[i], c[i + 1], c[i + 2]))) from (select {c} as c))")
 
 
 def near_ctes(source: str, t: float = 0.9) -> str:
@@ -751,8 +752,8 @@ def trunc_ids(spark, sf_dir):
     s as (select batch, doc_id, regexp_replace(text, '^{WS}|{WS}$', '', 'g') as text from d),
     c as (select batch, doc_id, unnest(string_split(text, '')) as ch,
                  generate_subscripts(string_split(text, ''), 1) as i from s),
-    p as (select batch, row_number() over (partition by batch order by doc_id, i) - 1 as at, unicode(ch) as id from c)
-    select batch, at // 512 as block, md5(string_agg(id::varchar, ',' order by at)) as ids
+    p as (select batch, row_number() over (partition by batch order by doc_id, i) - 1 as pos, unicode(ch) as id from c)
+    select batch, pos // 512 as block, md5(string_agg(id::varchar, ',' order by pos)) as ids
     from p group by all having count(*) = 512""")
 def pack_blocks_docs(spark, sf_dir):
     blocks = training_sets.pretraining_blocks(docs(spark, sf_dir), CHARS, ["doc_id"], 512, batch_rows=100)
@@ -835,10 +836,10 @@ NORM_LINES = f"""{LINES},
     known as materialized (select distinct token from (
       select unnest(string_split({norm('text')}, ' ')) as token from benchmark) where token <> ''),
     tokens as (select doc_id, line_no, unnest(string_split(line, ' ')) as token,
-      generate_subscripts(string_split(line, ' '), 1) - 1 as at, len(string_split(line, ' ')) as n from nl),
+      generate_subscripts(string_split(line, ' '), 1) - 1 as pos, len(string_split(line, ' ')) as n from nl),
     hit as (select doc_id, line_no from tokens left join known k using (token)
       group by doc_id, line_no having max(n) > 3 or bool_or(k.token is null)),
-    freqs as materialized (select token, count(*) as freq, min((doc_id, line_no, at)) as first_seen
+    freqs as materialized (select token, count(*) as freq, min((doc_id, line_no, pos)) as first_seen
       from tokens join hit using (doc_id, line_no) group by token)"""
 
 
@@ -855,7 +856,7 @@ def token_freq(spark, sf_dir) -> DataFrame:
 
 
 @query("fragmented_tokens", f"""
-    with {NORM_LINES} select token, freq, first_seen[1]::bigint as doc_id, first_seen[2]::bigint as line_no, first_seen[3]::bigint as at from freqs""")
+    with {NORM_LINES} select token, freq, first_seen[1]::bigint as doc_id, first_seen[2]::bigint as line_no, first_seen[3]::bigint as "at" from freqs""")
 def fragmented_tokens(spark, sf_dir):
     seen = F.col("first_seen")
     return token_freq(spark, sf_dir).select(

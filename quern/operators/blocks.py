@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.operators.order import row_index
@@ -29,16 +29,15 @@ def pack_blocks(
     # The frame never spans more than batch_rows rows; only lengths are summed.
     before = Window.partitionBy("batch").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).where("n > 0")
-    first = F.expr(f"start div {int(block_size)}")
-    last = F.expr(f"(start + n - 1) div {int(block_size)}")
-    cut = placed.select("batch", "at", "start", "ids", F.explode(F.sequence(first, last)).alias("block"))
-
-    # Part of this row inside the block, as offsets into the row.
-    lo = F.greatest(F.col("block") * block_size - F.col("start"), F.lit(0))
-    hi = F.least((F.col("block") + 1) * block_size - F.col("start"), F.size("ids").cast("bigint"))
-    pieces = cut.select(
-        "batch", "block", "at", F.slice("ids", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("piece")
-    )
+    # Each row is cut where blocks end; only the pieces are passed on.
+    def piece(block: Column) -> Column:
+        lo = F.greatest(block * block_size - F.col("start"), F.lit(0))
+        hi = F.least((block + 1) * block_size - F.col("start"), F.col("n"))
+        part = F.slice("ids", (lo + 1).cast("int"), (hi - lo).cast("int"))
+        return F.struct(block.alias("block"), part.alias("piece"))
+
+    touched = F.expr(f"sequence(start div {int(block_size)}, (start + n - 1) div {int(block_size)})")
+    pieces = placed.select("batch", "at", F.inline(F.transform(touched, piece)))
     # A group holds at most block_size ids.
     blocks = pieces.groupBy("batch", "block").agg(
         F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces")

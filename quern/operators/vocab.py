@@ -94,26 +94,27 @@ def pair_counts(words: DataFrame) -> DataFrame:
 def _next_merges(top: list, limit: int) -> list:
     """The leading pairs that one-by-one merging would certainly pick next, in the same order.
 
-    Pairs are taken down the ranking while they share no symbol with those before. A merge can only
-    create pairs no more frequent than the pairs around it, and those lie at or below the first pair
-    that is not taken; so everything strictly above that pair's frequency is settled. A pair of equal
-    symbols overlaps itself and is merged alone.
+    Merging (a, b) changes no count but those of pairs that end in a or start with b. Pairs are taken
+    down the ranking until one is of that kind, or is made of equal symbols and so overlaps itself.
+    The pairs that merges create are no more frequent than the changed ones, which all rank at or
+    below the pair that ended the run, so everything strictly above its frequency is settled.
     """
     first = top[0]
-    taken, used = [first], {first["left"], first["right"]}
+    taken, lefts, rights = [first], {first["left"]}, {first["right"]}
     if first["left"] == first["right"]:
         return taken
     for at, pair in enumerate(top[1:], 1):
-        clash = pair["left"] == pair["right"] or {pair["left"], pair["right"]} & used
-        if clash or at == limit:
+        left, right = pair["left"], pair["right"]
+        if left == right or left in rights or right in lefts or at == limit:
             return [first] + [p for p in taken[1:] if p["freq"] > pair["freq"]]
         taken.append(pair)
-        used |= {pair["left"], pair["right"]}
+        lefts.add(left)
+        rights.add(right)
     return taken
 
 
 def learn_bpe(
-    words: DataFrame, merges: int, per_round: int = 32, min_freq: int = 1
+    words: DataFrame, merges: int, per_round: int = 32, min_freq: int = 1, write_every: int = 32
 ) -> DataFrame:
     """Byte-pair merges from a word table (``symbols``, ``freq``): ``rank``, ``left``, ``right``,
     ``token``, ``freq``.
@@ -121,31 +122,34 @@ def learn_bpe(
     The same merges, in the same order, as taking the most frequent pair (ties by left, then right
     symbol) one at a time. A round applies every merge that is already certain. Only the head of the
     pair ranking reaches the driver, ``per_round`` + 1 rows; words stay distributed, one row per
-    distinct word, and are written out each round.
+    distinct word, and are written out after every ``write_every`` merges.
     """
     spark = words.sparkSession
     marked = F.transform("symbols", lambda s: F.concat(F.lit(GAP), s, F.lit(GAP)))
-    table = materialize(words.select("freq", F.array_join(marked, "").alias("spelling")), "bpe-words")
+    # An explicit partition count: the word table is small in bytes but costly to count pairs in.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    table = words.select("freq", F.array_join(marked, "").alias("spelling")).repartition(parts, "spelling")
+    table = materialize(table, "bpe-words")
+    spelling, pending = F.col("spelling"), 0
     learned: list[tuple] = []
     while len(learned) < merges:
-        symbols = F.regexp_extract_all(F.col("spelling"), F.lit(f"{GAP}([^{GAP}]+){GAP}"), F.lit(1))
+        symbols = F.split(F.trim(spelling, F.lit(GAP)), GAP + GAP)
         pairs = pair_counts(table.select("freq", symbols.alias("symbols")))
         ranking = pairs.where(F.col("freq") >= min_freq).orderBy(F.desc("freq"), "left", "right")
         top = ranking.limit(per_round + 1).collect()
         if not top:
             break
-        batch = _next_merges(top, per_round)[: merges - len(learned)]
-        spelling = F.col("spelling")
-        for pair in batch:
+        for pair in _next_merges(top, per_round)[: merges - len(learned)]:
             left, right = pair["left"], pair["right"]
-            joined = f"{GAP}{left}{right}{GAP}"
-            spelling = F.replace(spelling, F.lit(f"{GAP}{left}{GAP}{GAP}{right}{GAP}"), F.lit(joined))
+            apart, joined = f"{GAP}{left}{GAP}{GAP}{right}{GAP}", f"{GAP}{left}{right}{GAP}"
+            spelling = F.replace(spelling, F.lit(apart), F.lit(joined))
             learned.append((len(learned), left, right, left + right, pair["freq"]))
-        if len(learned) < merges:
+            pending += 1
+        if pending >= write_every:
             # Words merged into one symbol have no pairs left.
             rest = table.select("freq", spelling.alias("spelling"))
-            rest = rest.where(F.col("spelling").contains(GAP + GAP))
-            table = materialize(rest, "bpe-words")
+            table = materialize(rest.where(F.col("spelling").contains(GAP + GAP)), "bpe-words")
+            spelling, pending = F.col("spelling"), 0
     schema = "rank int, left string, right string, token string, freq bigint"
     return spark.createDataFrame(learned, schema)
 
