@@ -57,11 +57,10 @@ def row_index(
     placed = stored.join(F.broadcast(starts), "_slice").withColumn(
         name, F.col("_start") + F.col("_place")
     )
-    placed = placed.drop("_slice", "_place", "_start")
-    if not within:
-        return placed
-    first = placed.groupBy(*within).agg(F.min(name).alias("_first"))
-    return placed.join(first, list(within)).withColumn(name, F.col(name) - F.col("_first")).drop("_first")
+    if within:
+        first = placed.groupBy(*within).agg(F.min(name).alias("_first"))
+        placed = placed.join(first, list(within)).withColumn(name, F.col(name) - F.col("_first"))
+    return placed.select(*df.columns, name)
 
 
 def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

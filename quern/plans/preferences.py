@@ -125,10 +125,7 @@ def length_budget(df: DataFrame, tokenizer, max_length: int = 1024, keep: Sequen
     """Token counts of a triple, and whether the prompt exceeds half of ``max_length`` or a prompt
     with its answer exceeds all of it."""
     sized = df.select(
-        *keep,
-        *(once(F.size(tokenizer.tokens(c))).alias(f"{c}_tokens") for c in ("prompt",)),
-        F.size(tokenizer.tokens("chosen")).alias("chosen_tokens"),
-        F.size(tokenizer.tokens("rejected")).alias("rejected_tokens"),
+        *keep, *(F.size(tokenizer.tokens(c)).alias(f"{c}_tokens") for c in ("prompt", "chosen", "rejected"))
     )
     longest = F.greatest("chosen_tokens", "rejected_tokens")
     return sized.select(
