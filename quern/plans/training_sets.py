@@ -93,10 +93,10 @@ def sft_records(texts: DataFrame, tokenizer, max_length: int, keep: Sequence[str
 
     As many leading labels are ignored as the prompt text has tokens, and all padding is.
     """
-    ids = texts.select(
-        *keep, once(tokenizer.ids("full_text")).alias("ids"),
-        F.least(F.size(tokenizer.ids("prompt_text")), F.lit(max_length)).alias("prompt_len"),
-    )
+    ids = texts.select(*keep, tokenizer.ids("full_text").alias("ids"), tokenizer.ids("prompt_text").alias("prompt"))
+    # Fixed per row before the per-position step, which would otherwise evaluate it at each position.
+    sized = F.struct("ids", F.least(F.size("prompt"), F.lit(max_length)).alias("prompt_len"))
+    ids = ids.select(*keep, once(sized).alias("s")).select(*keep, "s.*")
     padded = ids.select(
         *keep, "prompt_len", pad("ids", max_length, pad_id).alias("input_ids"),
         attention_mask("ids", max_length).alias("attention_mask"),
