@@ -14,8 +14,9 @@ from quern.session import materialize
 
 # Up to this many rows a sort may keep its whole result in one task.
 SMALL_LIMIT = 10_000
-# Spark trims each task to its best k rows ahead of a window shuffle only up to this k.
-WINDOW_TRIM_LIMIT = 1_000
+# Spark trims each task to its best k rows ahead of a window shuffle only while k stays below
+# spark.sql.optimizer.windowGroupLimitThreshold, which is 1,000.
+WINDOW_TRIM_LIMIT = 999
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:

@@ -39,7 +39,9 @@ def scratch_dir(spark: SparkSession) -> str:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="quern-"))
+        if "dir" not in _FALLBACK:
+            _FALLBACK["dir"] = tempfile.mkdtemp(prefix="quern-")
+        root = _FALLBACK["dir"]
     return f"{root.rstrip('/')}/quern-{spark.conf.get('spark.app.id', 'app')}"
 
 

@@ -38,6 +38,14 @@ def test_large_and_small_heads_agree(spark, monkeypatch):
     assert order.head(df, 10**7, ["id"]).count() == 2000
 
 
+def test_trimming_holds_up_to_the_limit(spark):
+    def plan(n):
+        return order.head_per_group(shuffled(spark, 10), n, ["g"], ["id"])._jdf.queryExecution().executedPlan().toString()
+
+    assert "WindowGroupLimit" in plan(order.WINDOW_TRIM_LIMIT)
+    assert "row_number" not in plan(order.WINDOW_TRIM_LIMIT + 1)
+
+
 def test_sample_is_stable(spark):
     df = shuffled(spark, 500)
     picks = [sorted(r["id"] for r in order.sample_rows(d, 20, "id", 42).collect()) for d in (df, df.repartition(3))]
