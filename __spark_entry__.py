@@ -953,6 +953,23 @@ def tokens_roundtrip(spark, sf_dir):
     return placed.select((F.col("at") + 1).alias("place"), "token")
 
 
+# ---------------------------------------------------------------- training-data operators
+
+try:
+    import corpus_pipeline
+    from quern.llm import registry
+except ModuleNotFoundError as missing:
+    # Only these two may be absent; any other missing module is an error.
+    if missing.name not in ("corpus_pipeline", "quern.llm", "quern.llm.registry"):
+        raise
+else:
+    _QUERIES.update(registry.QUERIES)
+    _SQL.update(registry.SQL)
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 # ---------------------------------------------------------------- contract
 
 def entry(spark: SparkSession) -> DataFrame:
