@@ -48,9 +48,9 @@ def op2_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old layout holds a source per shard, so that it is as uneven as the sources are."""
     docs = read_table(spark, sf_dir, "documents")
     old = F.pmod(F.xxhash64(F.coalesce("source", F.lit(""))), F.lit(SHARDS))
-    rows = reshard.rows_law(docs, SHARDS, old)
-    crc = F.crc32(text_or_empty("text").cast("binary"))
-    return rows.select("doc_id", "size", crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+    crc = F.crc32(text_or_empty("text").cast("binary")).alias("text_crc32")
+    rows = reshard.rows_law(docs, SHARDS, old, columns=[F.col("doc_id"), F.col("size"), crc])
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                        F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -168,8 +168,9 @@ def block_ranks(rows: DataFrame) -> DataFrame:
         "_file", "_row", "shard", "class", (F.col("_at") + F.col("_shift")).alias("rank"))
 
 
-def reshard(spark: SparkSession, old: str, new: str, shards: int) -> DataFrame:
-    """Rows of the new layout: ``new_shard`` and ``slot`` beside the layout's columns.
+def reshard(spark: SparkSession, old: str, new: str, shards: int, columns: list[Column] | None = None) -> DataFrame:
+    """Rows of the new layout: ``shard`` and ``slot`` beside the layout's columns, or beside ``columns``,
+    which are evaluated ahead of the join that numbers the slots, so texts need not take part in it.
 
     Rewrites the blocks that rows leave into ``new``; other blocks are read where they are.
     """
@@ -197,13 +198,16 @@ def reshard(spark: SparkSession, old: str, new: str, shards: int) -> DataFrame:
     files = rows.groupBy("shard", "_file").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select(F.col("_file").alias("_name"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    if columns is not None:
+        rows = rows.select(*columns, "shard", "_file", "_row")
     joined = rows.join(starts, F.col("_file") == F.col("_name"))
     return joined.withColumn("slot", F.col("_start") + F.col("_row")).drop("_start", "_name", "_file", "_row")
 
 
-def rows_law(docs: DataFrame, shards: int = 8, old_shard: Column | None = None, text: str = "text") -> DataFrame:
-    """Write ``docs`` under their old shards and reshard them to counts at most one apart."""
+def rows_law(docs: DataFrame, shards: int = 8, old_shard: Column | None = None, text: str = "text",
+             columns: list[Column] | None = None) -> DataFrame:
+    """Write ``docs`` under their old shards (default: all in shard 0) and reshard them to counts at most one apart."""
     spark = docs.sparkSession
     old, new = fresh_path(spark, "layout"), fresh_path(spark, "layout")
-    write_layout(docs, old, old_shard, text)
-    return reshard(spark, old, new, shards)
+    write_layout(docs, old, F.lit(0) if old_shard is None else old_shard, text)
+    return reshard(spark, old, new, shards, columns)
