@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.llm.common import fresh_path, stored, text_or_empty
 
@@ -125,12 +126,14 @@ def size_class(size: Column) -> Column:
     return F.length(F.bin(size)).cast("int")
 
 
-def write_layout(rows: DataFrame, path: str, shard: Column, text: str = "text") -> None:
-    """Write ``rows`` as a layout under the given shard numbers, in files of about ``FILE_BYTES``."""
+def write_layout(rows: DataFrame, path: str, shard: Column, text: str = "text") -> T.StructType:
+    """Write ``rows`` as a layout under the given shard numbers, in files of about ``FILE_BYTES``;
+    returns the layout's schema, which reading an empty one needs."""
     keep = [c for c in rows.columns if c.lower() not in OWN]
     sized = rows.select(*keep, shard.cast("int").alias("shard"), size_of(text).alias("size"))
     sized = sized.withColumn("class", size_class(F.col("size")))
     _write_blocks(sized, path)
+    return sized.schema
 
 
 def _write_blocks(sized: DataFrame, path: str) -> None:
@@ -144,9 +147,9 @@ def _write_blocks(sized: DataFrame, path: str) -> None:
     dealt.drop("_salt", "_files").write.partitionBy("shard", "class").parquet(path)
 
 
-def read_layout(spark: SparkSession, path: str) -> DataFrame:
+def read_layout(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Rows of a layout with ``_file`` and ``_row``, which name a row's place."""
-    rows = spark.read.parquet(path)
+    rows = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
@@ -168,13 +171,14 @@ def block_ranks(rows: DataFrame) -> DataFrame:
         "_file", "_row", "shard", "class", (F.col("_at") + F.col("_shift")).alias("rank"))
 
 
-def reshard(spark: SparkSession, old: str, new: str, shards: int, columns: list[Column] | None = None) -> DataFrame:
+def reshard(spark: SparkSession, old: str, new: str, shards: int, columns: list[Column] | None = None,
+            schema: T.StructType | None = None) -> DataFrame:
     """Rows of the new layout: ``shard`` and ``slot`` beside the layout's columns, or beside ``columns``,
     which are evaluated ahead of the join that numbers the slots, so texts need not take part in it.
 
     Rewrites the blocks that rows leave into ``new``; other blocks are read where they are.
     """
-    rows = read_layout(spark, old)
+    rows = read_layout(spark, old, schema)
     stats = rows.groupBy("shard", "class").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).collect()
     moves = plan_moves({(r["shard"], r["class"]): (r["n"], r["bytes"]) for r in stats}, shards)
     if moves:
@@ -194,7 +198,7 @@ def reshard(spark: SparkSession, old: str, new: str, shards: int, columns: list[
         _write_blocks(placed, new)
         # The folders of blocks are pruned, so files of rewritten blocks are not read again.
         kept = rows.join(moving, ["shard", "class"], "left_anti")
-        rows = kept.unionByName(read_layout(spark, new))
+        rows = kept.unionByName(read_layout(spark, new, schema))
     files = rows.groupBy("shard", "_file").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select(F.col("_file").alias("_name"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
@@ -209,5 +213,5 @@ def rows_law(docs: DataFrame, shards: int = 8, old_shard: Column | None = None,
     """Write ``docs`` under their old shards (default: all in shard 0) and reshard them to counts at most one apart."""
     spark = docs.sparkSession
     old, new = fresh_path(spark, "layout"), fresh_path(spark, "layout")
-    write_layout(docs, old, F.lit(0) if old_shard is None else old_shard, text)
-    return reshard(spark, old, new, shards, columns)
+    schema = write_layout(docs, old, F.lit(0) if old_shard is None else old_shard, text)
+    return reshard(spark, old, new, shards, columns, schema)

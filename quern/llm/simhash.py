@@ -194,8 +194,9 @@ def near_links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         raise ValueError("four blocks find fingerprints within three bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if table.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            table = pa.Table.from_batches(held)
             a, b = local_stars(table["key"].to_numpy(), table["fp"].to_numpy().view(np.uint64), radius)
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
