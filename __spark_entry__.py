@@ -40,12 +40,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 # ---------------------------------------------------------------- tables and shared SQL
 
-KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id",
-        "labels": "doc_id", "part": "p_partkey", "events": "event_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return order.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), KEYS[name])
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +238,7 @@ def comma_classifier():
     select doc_id from (select doc_id, substring(text, 1, 512) as t from documents)
     where t not like '%e%' or (length(t) - length(replace(t, ',', ''))) * 100 > length(t)""")
 def label_filter_scored(spark, sf_dir):
-    kept = filters.label_filter(docs(spark, sf_dir).select("doc_id", "text"), "positive", load=comma_classifier)
+    kept = filters.label_filter(docs(spark, sf_dir).select("doc_id", "text"), "positive", load=comma_classifier, max_chars=512)
     return kept.select("doc_id")
 
 
@@ -277,24 +273,28 @@ def preview_docs(spark, sf_dir):
     return rows.select("doc_id", fields["lang"].alias("lang"), fields["source"].alias("source"))
 
 
+@query("label_filter_whole", """
+    select doc_id from documents
+    where text not like '%e%' or (length(text) - length(replace(text, ',', ''))) * 100 > length(text)""")
+def label_filter_whole(spark, sf_dir):
+    kept = filters.label_filter(docs(spark, sf_dir).select("doc_id", "text"), "positive", load=comma_classifier)
+    return kept.select("doc_id")
+
+
 @query("sample_lines", f"""
-    with {LINES}, first as (
-      select doc_id, i - 1 as line_no, line from (
-        select doc_id, unnest(string_split(text, chr(10))) as line,
-               generate_subscripts(string_split(text, chr(10)), 1) as i from documents)
-      order by doc_id, i limit 10000)
-    select doc_id, line_no::bigint as line_no from lines join first using (doc_id, line_no)
+    with {LINES} select doc_id, line_no::bigint as line_no from lines
     order by md5('42:' || doc_id || '-' || line_no) limit 20""")
 def sample_lines(spark, sf_dir):
-    return first_lines_sample(spark, sf_dir).select("doc_id", "line_no")
+    return line_sample(spark, sf_dir).select("doc_id", "line_no")
 
 
-def first_lines_sample(spark, sf_dir) -> DataFrame:
-    """20 of the lines that are not blank among the first 10,000."""
+def line_sample(spark, sf_dir, first: int = 0) -> DataFrame:
+    """20 of the lines that are not blank: of all lines, or of the ``first`` ones."""
     lines = docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.withColumn("line_no", F.col("line_no").cast("bigint"))
-    first = order.head(lines, 10_000, ["doc_id", "line_no"]).where(~tx.is_blank("line"))
-    return order.sample_rows(first, 20, F.concat_ws("-", "doc_id", "line_no"), 42)
+    if first:
+        lines = order.head(lines, first, ["doc_id", "line_no"])
+    return order.sample_rows(lines.where(~tx.is_blank("line")), 20, F.concat_ws("-", "doc_id", "line_no"), 42)
 
 
 @query("calib_sample", "select doc_id, text from documents where length(text) > 100 order by doc_id limit 128")
@@ -345,12 +345,12 @@ def clean_ctes(lo: int = 5, hi: int = 2000) -> str:
     k as materialized (select * from d where label is null or lower(label) like 'positive%')"""
 
 
-CLEAN = text_cleaning.CleanParams(dedup=True, near_dedup=True, target="positive", label="label")
+CLEAN = text_cleaning.CleanParams(max_chars=2000, dedup=True, near_dedup=True, target="positive", label="label")
 
 
 @query("clean_corpus", f"with recursive {clean_ctes()} select id as doc_id, text from d")
 def clean_corpus(spark, sf_dir):
-    params = text_cleaning.CleanParams(dedup=True, near_dedup=True)
+    params = text_cleaning.CleanParams(max_chars=2000, dedup=True, near_dedup=True)
     return text_cleaning.clean_corpus(docs(spark, sf_dir), "doc_id", params).kept.select("doc_id", "text")
 
 
@@ -406,7 +406,7 @@ CORPUS = f"""{LINES},
 
 
 def corpus(spark, sf_dir, **params) -> line_corpus.CorpusResult:
-    return line_corpus.build_corpus(docs(spark, sf_dir), "text", ["doc_id"], line_corpus.CorpusParams(**params))
+    return line_corpus.build_corpus(docs(spark, sf_dir), "text", ["doc_id"], line_corpus.CorpusParams(max_chars=2000, **params))
 
 
 def _line_columns(df: DataFrame) -> DataFrame:
@@ -488,18 +488,52 @@ def dialog_text(spark, sf_dir):
     return rows.select("conv_id", tx.dialog_to_text("messages", rows.schema["messages"].dataType).alias("text"))
 
 
-@query("messages_text", """
-    select conv_id, string_agg(trim(role || ': ' || text, ' '), chr(10) order by turn) as text
+def spaced(spark, sf_dir) -> DataFrame:
+    """Messages whose content has white space of many kinds around it."""
+    def turn(m: Column) -> Column:
+        content = F.concat(F.lit("\t"), m["content"], F.lit(" \n\u3000\x85"))
+        return F.struct(F.concat(F.lit("\u2003"), m["role"]).alias("role"), content.alias("content"))
+
+    return messages(spark, sf_dir).select("conv_id", F.transform("messages", turn).alias("messages"))
+
+
+def stripped(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}|{WS}$', '', 'g')"
+
+
+@query("messages_text", f"""
+    select conv_id, string_agg({stripped("role || ': ' || chr(9) || text")}, chr(10) order by turn) as text
     from conversations group by conv_id""")
 def messages_text(spark, sf_dir):
-    return messages(spark, sf_dir).select("conv_id", chat.messages_to_text("messages").alias("text"))
+    return spaced(spark, sf_dir).select("conv_id", chat.messages_to_text("messages").alias("text"))
+
+
+SHAREGPT_LINE = "case role when 'user' then 'User' when 'assistant' then 'Assistant' else role end || ': ' || text || chr(10) || chr(9)"
 
 
-@query("sharegpt_text", """
-    select conv_id, string_agg(trim(case role when 'user' then 'User' when 'assistant' then 'Assistant' else role end
-      || ': ' || text, ' '), chr(10) order by turn) as text from conversations group by conv_id""")
+@query("sharegpt_text", f"""
+    select conv_id, string_agg({stripped(SHAREGPT_LINE)}, chr(10) order by turn) as text
+    from conversations group by conv_id""")
 def sharegpt_text(spark, sf_dir):
-    return sharegpt(spark, sf_dir).select("conv_id", chat.sharegpt_to_text("conversations").alias("text"))
+    turns = sharegpt_spaced(spark, sf_dir)
+    return turns.select("conv_id", chat.sharegpt_to_text("conversations").alias("text"))
+
+
+def sharegpt_spaced(spark, sf_dir) -> DataFrame:
+    def turn(t: Column) -> Column:
+        return F.struct(t["from"].alias("from"), F.concat(t["value"], F.lit("\n\t")).alias("value"))
+
+    return sharegpt(spark, sf_dir).select("conv_id", F.transform("conversations", turn).alias("conversations"))
+
+
+@query("extract_text_chat", f"""
+    select conv_id, case when conv_id % 3 = 0 then 'own ' || conv_id
+      else string_agg({stripped(SHAREGPT_LINE)}, chr(10) order by turn) end as text
+    from conversations group by conv_id""")
+def extract_text_chat(spark, sf_dir):
+    own = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("own "), F.col("conv_id"))).otherwise(" \u3000")
+    rows = sharegpt_spaced(spark, sf_dir).withColumn("text", own)
+    return rows.select("conv_id", training_sets.extract_text(rows).alias("text"))
 
 
 @query("extract_text", r"""
@@ -664,7 +698,7 @@ PREF_COLUMNS = ["pair_id", "prompt", "chosen", "rejected"]
 
 @query("pref_clean", f"with {PAIRS} select id as pair_id, prompt, chosen, rejected from pu")
 def pref_clean(spark, sf_dir):
-    params = preferences.PreferenceParams(dedup=True)
+    params = preferences.PreferenceParams(max_chars=4000, dedup=True)
     return preferences.clean_preferences(triples(spark, sf_dir), "pair_id", params).kept.select(*PREF_COLUMNS)
 
 
@@ -672,7 +706,7 @@ def pref_clean(spark, sf_dir):
     with recursive {PAIRS}, {near_ctes('pu')}
     select id as pair_id, prompt, chosen, rejected from pu where id not in (select id from gone)""")
 def pref_dedup_near(spark, sf_dir):
-    params = preferences.PreferenceParams(dedup=True, near_dedup=True)
+    params = preferences.PreferenceParams(max_chars=4000, dedup=True, near_dedup=True)
     return preferences.clean_preferences(triples(spark, sf_dir), "pair_id", params).kept.select(*PREF_COLUMNS)
 
 
@@ -686,7 +720,7 @@ def pref_dedup_near(spark, sf_dir):
       true as dedup, true as near_dedup, 0.9::double as jaccard_threshold,
       'prompt' as prompt_key, 'chosen' as chosen_key, 'rejected' as rejected_key""")
 def pref_stats(spark, sf_dir):
-    params = preferences.PreferenceParams(dedup=True, near_dedup=True)
+    params = preferences.PreferenceParams(max_chars=4000, dedup=True, near_dedup=True)
     return preferences.clean_preferences(triples(spark, sf_dir), "pair_id", params).stats()
 
 
@@ -760,11 +794,23 @@ def pack_blocks_docs(spark, sf_dir):
     return blocks.select("batch", "block", F.md5(joined("labels")).alias("ids"))
 
 
-@query("mlm_mask")
+def _bits(salt: int) -> str:
+    return f"('0x' || substr(md5('0:{salt}:' || doc_id || ':' || (i - 1)), 1, 8))::bigint"
+
+
+@query("mlm_mask", f"""
+    with c as (select doc_id, unnest(string_split(substring(text, 1, 256), '')) as ch,
+        generate_subscripts(string_split(substring(text, 1, 256), ''), 1) as i from documents),
+    m as (select doc_id, i, unicode(ch) as x, {_bits(0)} % 1000000 < 150000 and ch not in (' ', chr(10)) as chosen,
+        {_bits(1)} % 1000000 as act, {_bits(2)} % 50000 as other from c)
+    select doc_id,
+      string_agg((case when not chosen then x when act < 800000 then 1 when act < 900000 then other else x end)::varchar, ',' order by i) as input_ids,
+      string_agg((case when chosen then x else -100 end)::varchar, ',' order by i) as labels
+    from m group by doc_id""")
 def mlm_mask_docs(spark, sf_dir):
     ids = docs(spark, sf_dir).select("doc_id", truncate(CHARS.ids("text"), 256).alias("ids"))
-    masked = ids.select("doc_id", tx.once(mlm_mask("ids", "doc_id", vocab_size=50_000, mask_id=1)).alias("m"))
-    return masked.select("doc_id", "m.input_ids", "m.labels")
+    masked = ids.select("doc_id", tx.once(mlm_mask("ids", "doc_id", vocab_size=50_000, mask_id=1, special_ids=(32, 10))).alias("m"))
+    return masked.select("doc_id", "m.input_ids", "m.labels").select("doc_id", joined("input_ids").alias("input_ids"), joined("labels").alias("labels"))
 
 
 @query("calib_trunc", """
@@ -824,9 +870,11 @@ def bpe_pairs(spark, sf_dir):
 
 @query("bpe_vocab")
 def bpe_vocab(spark, sf_dir):
-    rows = normalized(spark, sf_dir).where(filters.max_bytes("text", 24000))
-    words = materialize(vocab.word_counts(rows, "text"), "words")
-    symbols = vocab.word_symbols(words, vocab.char_vocab(rows, "text", 0.9995))
+    """Merges over every line of every document; no line is too long."""
+    lines = tx.explode_lines(docs(spark, sf_dir), "text", ["doc_id"])
+    rows = lines.select(tx.once(tx.normalize_text("line")).alias("line"))
+    words = materialize(vocab.word_counts(rows, "line"), "words")
+    symbols = vocab.word_symbols(words, vocab.char_vocab(rows, "line", 0.9995))
     return vocab.learn_bpe(symbols, merges=100)
 
 
@@ -885,17 +933,13 @@ def extend_vocab(spark, sf_dir):
 
 
 @query("tokenizer_compare", f"""
-    with {LINES}, first as (
-      select doc_id, i - 1 as line_no from (
-        select doc_id, generate_subscripts(string_split(text, chr(10)), 1) as i from documents)
-      order by doc_id, i limit 10000),
-    s as (select line from lines join first using (doc_id, line_no)
+    with {LINES}, s as (select line from lines
       order by md5('42:' || doc_id || '-' || line_no) limit 20)
     select count(*) as samples, round(avg(length(line)), 6) as avg_len_base,
       round(avg(len(list_filter(string_split(line, ' '), lambda w: w <> ''))), 6) as avg_len_new,
       round(avg(len(list_filter(string_split(line, ' '), lambda w: w <> ''))) - avg(length(line)), 6) as delta_len from s""")
 def tokenizer_compare(spark, sf_dir):
-    report = vocab.compare_tokenizers(first_lines_sample(spark, sf_dir), "line", CHARS, WORDS)
+    report = vocab.compare_tokenizers(line_sample(spark, sf_dir), "line", CHARS, WORDS)
     return report.select("samples", *(F.round(c, 6).alias(c) for c in ("avg_len_base", "avg_len_new", "delta_len")))
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.text import _col
+from quern.functions.text import _col, strip_ws
 
 # Speaker names per target format.
 SHAREGPT_TO_MESSAGE_ROLE = {"human": "user", "gpt": "assistant", "system": "system"}
@@ -71,7 +71,7 @@ def _rename(role: Column, names: Mapping[str, str]) -> Column:
 
 def _speaker_lines(turns: Column, role: str, content: str, names: Mapping[str, str]) -> Column:
     def line(t: Column) -> Column:
-        return F.trim(F.concat(_rename(_text(t[role]), names), F.lit(": "), _text(t[content])))
+        return strip_ws(F.concat(_rename(_text(t[role]), names), F.lit(": "), _text(t[content])))
 
     return F.array_join(F.transform(turns, line), "\n")
 

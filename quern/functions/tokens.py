@@ -135,21 +135,25 @@ def mlm_mask(ids: Column | str, key: Column | str, vocab_size: int, mask_id: int
     """Masked-language-model input: ``struct<input_ids, labels>``.
 
     A position is chosen with probability ``p``; of those 80 % become ``mask_id``, 10 % a random id
-    and 10 % stay. All other labels are ignored. The draws are hashes of seed, row key and
-    position, so a retried task produces the same row.
+    and 10 % stay. All other labels are ignored. The draws are the first 32 bits of an md5 of seed,
+    purpose, row key and position, so a retried task produces the same row and SQL can repeat them.
     """
     scale = 1_000_000
     key = _col(key)
 
+    def bits(salt: int, i: Column) -> Column:
+        named = F.concat_ws(":", F.lit(f"{seed}:{salt}"), key.cast("string"), i.cast("string"))
+        return F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("bigint")
+
     def draw(salt: int, i: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), key, i), F.lit(scale))
+        return F.pmod(bits(salt, i), F.lit(scale))
 
     def position(x: Column, i: Column) -> Column:
         chosen = draw(0, i) < int(p * scale)
         if special_ids:
             chosen = chosen & ~x.isin(*special_ids)
         action = draw(1, i)
-        random_id = F.pmod(F.xxhash64(F.lit(seed), F.lit(2), key, i), F.lit(vocab_size)).cast("int")
+        random_id = F.pmod(bits(2, i), F.lit(vocab_size)).cast("int")
         replaced = (
             F.when(action < int(0.8 * scale), F.lit(mask_id))
             .when(action < int(0.9 * scale), random_id)

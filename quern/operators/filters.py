@@ -64,17 +64,18 @@ def label_filter(
     load: Callable[[], Callable[[pd.Series], pd.Series]] | None = None,
     model: PipelineModel | None = None,
     text: str = "text",
-    max_chars: int = 512,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Keep rows whose label starts with ``target``; rows without a verdict stay.
 
-    The label is a column, or comes from a classifier that sees the first ``max_chars`` characters:
+    The label is a column, or comes from a classifier that sees the whole text, or its first
+    ``max_chars`` characters:
     ``load`` for a batch function, ``model`` for a fitted pipeline that reads the text column and
     writes a string column ``label``.
     """
     if label is not None:
         return df.where(label_matches(label, target))
-    shown = F.substring(F.col(text), 1, max_chars)
+    shown = F.col(text) if max_chars is None else F.substring(F.col(text), 1, max_chars)
     if load is not None:
         scored = df.withColumn("_label", scorer_udf(load)(shown))
         return scored.where(label_matches("_label", target)).drop("_label")

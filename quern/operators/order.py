@@ -19,16 +19,6 @@ SMALL_LIMIT = 10_000
 WINDOW_TRIM_LIMIT = 999
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Deal a scan out to all cores when it has fewer tasks than cores (one small file, say).
-
-    A scan of many files or row groups already has more tasks than cores and stays as it is, so
-    large inputs pay no shuffle. Only for frames straight from a source.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def row_index(
     df: DataFrame, order: Sequence[str], within: Sequence[str] = (), name: str = "row_index"
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import _col
+from quern.functions.text import _col, strip_ws
 from quern.operators.order import row_index
 from quern.session import materialize
 
@@ -125,6 +125,8 @@ def learn_bpe(
     distinct word, and are written out after every ``write_every`` merges.
     """
     spark = words.sparkSession
+    checked = F.when(F.exists("symbols", lambda s: s.contains(GAP)), F.raise_error(F.lit("a word holds the separator \\x01")))
+    words = words.withColumn("symbols", F.coalesce(checked, F.col("symbols")))
     marked = F.transform("symbols", lambda s: F.concat(F.lit(GAP), s, F.lit(GAP)))
     # An explicit partition count: the word table is small in bytes but costly to count pairs in.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
@@ -164,7 +166,7 @@ def fragmented_token_freq(
     unknown token. A tokenizer that works from a word list passes that list as ``known`` (column
     ``token``): base words outside it count as unknown.
     """
-    lines = df.select(*order, F.trim(F.col(text)).alias("line")).where(F.col("line") != "")
+    lines = df.select(*order, strip_ws(text).alias("line")).where(F.col("line") != "")
     pieces = base.tokens("line")
     lines = lines.withColumn("base", pieces).withColumn("aux", aux.tokens("line"))
     many = F.size("base") > max_base_pieces

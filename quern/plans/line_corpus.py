@@ -16,7 +16,7 @@ from quern.operators.order import head
 @dataclass(frozen=True)
 class CorpusParams:
     min_chars: int = 10
-    max_chars: int = 2000
+    max_chars: int = 2**31 - 1
     # Stop after this many kept lines; 0 keeps all.
     max_lines: int = 0
     # Read this many documents; 0 reads all.

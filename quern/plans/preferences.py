@@ -28,7 +28,7 @@ class PreferenceParams:
     chosen_key: str = "chosen"
     rejected_key: str = "rejected"
     min_chars: int = 5
-    max_chars: int = 4000
+    max_chars: int = 2**31 - 1
     dedup: bool = False
     near_dedup: bool = False
     jaccard_threshold: float = 0.9

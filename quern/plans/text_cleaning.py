@@ -19,13 +19,17 @@ from quern.session import materialize
 from quern.sources.readers import MALFORMED
 
 
+# Longest text a length can count; a limit for texts is the caller's choice.
+NO_LIMIT = 2**31 - 1
+
+
 @dataclass(frozen=True)
 class CleanParams:
     """Limits and switches of a cleaning job."""
 
     text_fields: Sequence[str] = ("text",)
     min_chars: int = 5
-    max_chars: int = 2000
+    max_chars: int = NO_LIMIT
     max_turns: int = 1
     dedup: bool = False
     near_dedup: bool = False
@@ -38,6 +42,8 @@ class CleanParams:
     target: str | None = None
     label: str | None = None
     classifier: Callable | None = None
+    # Characters that the classifier sees; None shows the whole text.
+    classifier_chars: int | None = None
 
 
 # Drop reasons in the order in which a row is tested.
@@ -141,6 +147,7 @@ def clean_corpus(df: DataFrame, order: str, params: CleanParams = CleanParams())
         distinct = dedup_near(unique, order, "text", params.jaccard_threshold, scope=params.scope)
     kept = distinct
     if params.target:
-        kept = label_filter(distinct, params.target, label=params.label, load=params.classifier)
+        kept = label_filter(distinct, params.target, label=params.label, load=params.classifier,
+                            max_chars=params.classifier_chars)
     extra = [c for c in dict.fromkeys([*params.scope, *params.keep]) if c != "text"]
     return CleanResult(order, prepared, unique, distinct, kept.select(order, *extra, "text"))

@@ -7,6 +7,7 @@ visible to every executor, so the tables outlive a lost executor and are never r
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def scratch_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not re.match(r"local(\[|$)", master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if "dir" not in _FALLBACK:
             _FALLBACK["dir"] = tempfile.mkdtemp(prefix="quern-")

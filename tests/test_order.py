@@ -87,15 +87,3 @@ def test_missing_and_blank(spark):
     df = spark.createDataFrame([("a", "b"), (" ", "b"), ("", "b"), (None, "b"), ("　", "b")], "p string, c string")
     assert filters.drop_missing(df, ["p", "c"]).count() == 3
     assert filters.require_nonblank(df, ["p", "c"]).count() == 1
-
-
-def test_spread_leaves_wide_scans_alone(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(100).repartition(1).write.parquet(path)
-    narrow = order.spread(spark.read.parquet(path), "id")
-    assert narrow.rdd.getNumPartitions() == 8
-    wide = str(tmp_path / "w")
-    spark.range(100).repartition(16).write.parquet(wide)
-    plan = order.spread(spark.read.parquet(wide), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
-    assert order.spread(spark.read.parquet(wide), "id").agg(F.sum("id")).first()[0] == 4950
