@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.common import free_name, map_texts, utf8
@@ -138,8 +138,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if not counts:
         return None
-    ranked = known.withColumn("at", F.row_number().over(Window.partitionBy("y").orderBy(F.md5(F.col("id").cast("string")), "id")))
-    chosen = ranked.where(F.col("at") <= sample).select("id", "y")
+    # Each task keeps its own first rows ahead of the exchange, whatever share a label has.
+    first = [known.where(F.col("y") == y).orderBy(F.md5(F.col("id").cast("string")), "id").limit(sample) for y in (0, 1)]
+    chosen = first[0].union(first[1])
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
