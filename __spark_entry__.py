@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import chat, shingles, text as tx
-from quern.functions.tokens import CharTokenizer, WhitespaceTokenizer, mlm_mask, truncate
+from quern.functions.tokens import CharTokenizer, WhitespaceTokenizer, mlm_mask, truncate, with_special
 from quern.operators import filters, order, vocab
 from quern.operators.blocks import pack_blocks
 from quern.operators.dedup import dedup_exact
@@ -660,6 +660,34 @@ def sft_labels(spark, sf_dir):
     return sft(spark, sf_dir).select("conv_id", joined("labels").alias("labels"))
 
 
+SFT_SPECIAL = f"""f as (select conv_id, string_agg({CHATML_SQL}, '' order by turn) as t,
+        count(*) filter (role <> 'assistant') as asked,
+        length(coalesce(string_agg({CHATML_SQL}, '' order by turn) filter (role <> 'assistant'), '')) as p
+      from conversations group by conv_id),
+    i as (select conv_id,
+        case when asked = 0 then 0 else least(p + length('<|im_start|>assistant') + 1 + 2, 1024) end as p,
+        [1] || list_transform(string_split(t, ''), lambda c: unicode(c))[1:1022] || [2] as ids from f)"""
+
+
+def sft_special(spark, sf_dir) -> DataFrame:
+    """With begin and end ids, and prompts that end where the answer opens."""
+    texts = training_sets.sft_texts(messages(spark, sf_dir), chat.TEMPLATES["chatml"], ["conv_id"], generation=True)
+    return training_sets.sft_records(texts, CHARS, 1024, ["conv_id"], before=[1], after=[2])
+
+
+@query("sft_ids_special", f"""
+    with {SFT_SPECIAL} select conv_id, array_to_string(list_transform(range(1, 1025), lambda j: coalesce(ids[j], 0)), ',') as ids,
+      least(len(ids), 1024)::bigint as used from i""")
+def sft_ids_special(spark, sf_dir):
+    used = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint")
+    return sft_special(spark, sf_dir).select("conv_id", joined("input_ids").alias("ids"), used.alias("used"))
+
+
+@query("sft_labels_special", f"with {SFT_SPECIAL} select conv_id, array_to_string({SFT_LABELS}, ',') as labels from i")
+def sft_labels_special(spark, sf_dir):
+    return sft_special(spark, sf_dir).select("conv_id", joined("labels").alias("labels"))
+
+
 # ---------------------------------------------------------------- preferences
 
 PAIRS = f"""{QA},
@@ -780,6 +808,28 @@ def trunc_ids(spark, sf_dir):
     return ids.select("doc_id", joined("ids").alias("ids"))
 
 
+@query("trunc_ids_special", """
+    select doc_id, '1,' || array_to_string(list_transform(string_split(substring(text, 1, 254), ''), lambda c: unicode(c)), ',') || ',2'
+      as ids from documents""")
+def trunc_ids_special(spark, sf_dir):
+    ids = docs(spark, sf_dir).select("doc_id", with_special(CHARS.ids("text"), [1], [2], 256).alias("ids"))
+    return ids.select("doc_id", joined("ids").alias("ids"))
+
+
+@query("pack_blocks_special", f"""
+    with d as (select (row_number() over (order by doc_id) - 1) // 100 as batch, doc_id, text from documents where
+        regexp_matches(text, '[^\\s\\x{{0B}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\p{{Z}}]')),
+    s as (select batch, doc_id, [1] || list_transform(string_split(regexp_replace(text, '^{WS}|{WS}$', '', 'g'), ''),
+      lambda c: unicode(c)) || [2] as ids from d),
+    c as (select batch, doc_id, unnest(ids) as id, generate_subscripts(ids, 1) as i from s),
+    p as (select batch, row_number() over (partition by batch order by doc_id, i) - 1 as pos, id from c)
+    select batch, pos // 512 as block, md5(string_agg(id::varchar, ',' order by pos)) as ids
+    from p group by all having count(*) = 512""")
+def pack_blocks_special(spark, sf_dir):
+    blocks = training_sets.pretraining_blocks(docs(spark, sf_dir), CHARS, ["doc_id"], 512, batch_rows=100, before=[1], after=[2])
+    return blocks.select("batch", "block", F.md5(joined("labels")).alias("ids"))
+
+
 @query("pack_blocks", f"""
     with d as (select (row_number() over (order by doc_id) - 1) // 100 as batch, doc_id, text from documents where
         regexp_matches(text, '[^\\s\\x{{0B}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\p{{Z}}]')),

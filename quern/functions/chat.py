@@ -25,6 +25,8 @@ class ChatTemplate:
 
     roles: Mapping[str, str] = field(default_factory=dict)
     separator: str = ""
+    # What opens an answer; a prompt that asks for one ends with it.
+    generation: str = ""
 
 
 # The chat formats of the model families a training set is rendered for.
@@ -53,7 +55,7 @@ TEMPLATES = {
         "system": "<|im_start|>system\n{system}<|im_end|>",
         "user": "<|im_start|>user\n{input}<|im_end|>",
         "assistant": "<|im_start|>assistant\n{output}<|im_end|>",
-    }),
+    }, generation="<|im_start|>assistant\n"),
 }
 PLACEHOLDERS = ("{system}", "{content}", "{input}", "{output}")
 
@@ -154,11 +156,17 @@ def render_template(
 
 
 def prompt_text(
-    messages: Column | str, template: ChatTemplate, named_only: bool = False
+    messages: Column | str, template: ChatTemplate, named_only: bool = False, generation: bool = False
 ) -> Column:
-    """The messages of every role but the assistant, rendered on their own."""
+    """The messages of every role but the assistant, rendered on their own.
+
+    ``generation`` adds what opens an answer, unless there are no such messages.
+    """
     rest = F.filter(_col(messages), lambda m: _text(m["role"]) != "assistant")
-    return render_template(rest, template, named_only)
+    text = render_template(rest, template, named_only)
+    if not generation:
+        return text
+    return F.when(F.size(rest) > 0, F.concat(text, F.lit(template.generation))).otherwise(text)
 
 
 def chatml_prompt(prompt: Column | str) -> Column:

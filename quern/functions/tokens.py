@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from collections.abc import Sequence
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,6 +111,19 @@ def truncate(values: Column | str, n: int) -> Column:
     return F.slice(_col(values), 1, n)
 
 
+def with_special(
+    ids: Column | str, before: Sequence[int] = (), after: Sequence[int] = (), n: int | None = None
+) -> Column:
+    """Ids between the fixed ids that a tokenizer puts around a text. With ``n`` the result has at
+    most ``n`` ids: the text's ids are cut for it, the fixed ones stay."""
+    ids = _col(ids)
+    if n is not None:
+        ids = truncate(ids, max(0, n - len(before) - len(after)))
+    fixed = [F.array(*(F.lit(i) for i in part)) if part else None for part in (before, after)]
+    parts = [p for p in (fixed[0], ids, fixed[1]) if p is not None]
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
 def pad(ids: Column | str, length: int, pad_id: int = 0) -> Column:
     """Cut or fill to exactly ``length`` ids."""
     kept = truncate(ids, length)

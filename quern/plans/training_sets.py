@@ -13,7 +13,7 @@ from quern.functions.chat import (
     messages_to_text, prompt_text, render_template, sharegpt_to_messages, sharegpt_to_text,
 )
 from quern.functions.text import once, strip_ws
-from quern.functions.tokens import attention_mask, mask_labels, pad, truncate
+from quern.functions.tokens import attention_mask, mask_labels, pad, truncate, with_special
 from quern.operators.blocks import pack_blocks
 from quern.operators.order import head
 
@@ -64,16 +64,18 @@ def pretraining_texts(df: DataFrame, order: Sequence[str], fields: Sequence[str]
 
 def pretraining_blocks(
     df: DataFrame, tokenizer, order: Sequence[str], block_size: int, fields: Sequence[str] = ("text",),
-    batch_rows: int = 1000,
+    batch_rows: int = 1000, before: Sequence[int] = (), after: Sequence[int] = (),
 ) -> DataFrame:
-    """Records to fixed-size blocks with labels."""
+    """Records to fixed-size blocks with labels; ``before`` and ``after`` are ids around each text."""
     texts = pretraining_texts(df, order, fields)
-    ids = texts.select(*order, tokenizer.ids("text").alias("ids"))
+    ids = texts.select(*order, with_special(tokenizer.ids("text"), before, after).alias("ids"))
     return pack_blocks(ids, "ids", block_size, order, batch_rows)
 
 
-def sft_texts(df: DataFrame, template: ChatTemplate, keep: Sequence[str], named_only: bool = False) -> DataFrame:
-    """The full text and the prompt text of a record of any supported shape.
+def sft_texts(df: DataFrame, template: ChatTemplate, keep: Sequence[str], named_only: bool = False,
+              generation: bool = False) -> DataFrame:
+    """The full text and the prompt text of a record of any supported shape; with ``generation`` a
+    prompt of messages ends where the answer opens.
 
     ShareGPT turns and messages go through the template; single question-answer records are ChatML.
     """
@@ -82,18 +84,23 @@ def sft_texts(df: DataFrame, template: ChatTemplate, keep: Sequence[str], named_
         rows = df.select(*keep, once(messages).alias("_m"))
         return rows.select(
             *keep, render_template("_m", template, named_only).alias("full_text"),
-            prompt_text("_m", template, named_only).alias("prompt_text"),
+            prompt_text("_m", template, named_only, generation).alias("prompt_text"),
         )
     prompt, answer = instruction_prompt(df), instruction_answer(df)
     return df.select(*keep, chatml_pair(prompt, answer).alias("full_text"), chatml_prompt(prompt).alias("prompt_text"))
 
 
-def sft_records(texts: DataFrame, tokenizer, max_length: int, keep: Sequence[str], pad_id: int = 0) -> DataFrame:
+def sft_records(texts: DataFrame, tokenizer, max_length: int, keep: Sequence[str], pad_id: int = 0,
+                before: Sequence[int] = (), after: Sequence[int] = ()) -> DataFrame:
     """``input_ids``, ``attention_mask`` and ``labels`` of exactly ``max_length`` positions.
 
-    As many leading labels are ignored as the prompt text has tokens, and all padding is.
+    As many leading labels are ignored as the prompt text has tokens, and all padding is. ``before``
+    and ``after`` are the ids a tokenizer puts around every text, prompts that are not empty included.
     """
-    ids = texts.select(*keep, tokenizer.ids("full_text").alias("ids"), tokenizer.ids("prompt_text").alias("prompt"))
+    prompt = F.when(F.col("prompt_text") == "", F.array().cast("array<int>")).otherwise(
+        with_special(tokenizer.ids("prompt_text"), before, after))
+    full = with_special(tokenizer.ids("full_text"), before, after, max_length if before or after else None)
+    ids = texts.select(*keep, full.alias("ids"), prompt.alias("prompt"))
     # Fixed per row before the per-position step, which would otherwise evaluate it at each position.
     sized = F.struct("ids", F.least(F.size("prompt"), F.lit(max_length)).alias("prompt_len"))
     ids = ids.select(*keep, once(sized).alias("s")).select(*keep, "s.*")
