@@ -72,15 +72,15 @@ def shingle_list(x: str) -> str:
             f"lambda i: concat(c[i], c[i + 1], c[i + 2]))) from (select {c} as c))")
 
 
-def near_ctes(source: str, t: float = 0.9) -> str:
+def near_ctes(source: str, t: float = 0.9, scope: str = "0") -> str:
     """CTEs from ``source(id, text)`` to ``gone(id)``: rows with an earlier surviving similar row,
     decided one by one in id order over the rows that have a similar earlier row."""
     return f"""
-    sh as materialized (select id, {shingle_list('text')} as s from {source}),
+    sh as materialized (select id, {scope} as g, {shingle_list('text')} as s from {source}),
     edges as materialized (
       select a, b from (
         select x.id as a, y.id as b, len(x.s) as n, len(y.s) as m, len(list_intersect(x.s, y.s)) as k
-        from sh x join sh y on x.id < y.id and len(x.s) >= {t} * len(y.s) and len(y.s) >= {t} * len(x.s))
+        from sh x join sh y on x.id < y.id and x.g = y.g and len(x.s) >= {t} * len(y.s) and len(y.s) >= {t} * len(x.s))
       where k / (n + m - k) >= {t}),
     nodes as materialized (
       select b, list(a) as earlier, row_number() over (order by b) as rn from edges group by b),
@@ -297,6 +297,13 @@ def line_sample(spark, sf_dir, first: int = 0) -> DataFrame:
     return order.sample_rows(lines.where(~tx.is_blank("line")), 20, F.concat_ws("-", "doc_id", "line_no"), 42)
 
 
+@query("calib_sample_stripped", """
+    select doc_id, text from documents where length(text) > 100 order by doc_id limit 128""")
+def calib_sample_stripped(spark, sf_dir):
+    rows = docs(spark, sf_dir).select("doc_id", F.concat(F.lit("\u3000\n "), "text", F.lit("\t" * 120)).alias("text"))
+    return training_sets.calibration_sample(rows, 128, ["doc_id"], strip=True)
+
+
 @query("calib_sample", "select doc_id, text from documents where length(text) > 100 order by doc_id limit 128")
 def calib_sample(spark, sf_dir):
     return training_sets.calibration_sample(docs(spark, sf_dir).select("doc_id", "text"), 128, ["doc_id"])
@@ -348,6 +355,16 @@ def clean_ctes(lo: int = 5, hi: int = 2000) -> str:
 CLEAN = text_cleaning.CleanParams(max_chars=2000, dedup=True, near_dedup=True, target="positive", label="label")
 
 
+@query("dedup_near_per_source", f"""
+    with recursive base as materialized (select doc_id as id, source, text from ({DOC_NORM})
+      qualify row_number() over (partition by source, text order by doc_id) = 1), {near_ctes('base', scope='source')}
+    select id as doc_id, source from base where id not in (select id from gone)""")
+def dedup_near_per_source(spark, sf_dir):
+    rows = docs(spark, sf_dir).select("doc_id", "source", tx.once(tx.normalize_text("text")).alias("text"))
+    unique = materialize(dedup_exact(rows, tx.content_md5("text"), ["doc_id"], ["source"]), "unique")
+    return dedup_near(unique, "doc_id", "text", 0.9, scope=["source"]).select("doc_id", "source")
+
+
 @query("clean_corpus", f"with recursive {clean_ctes()} select id as doc_id, text from d")
 def clean_corpus(spark, sf_dir):
     params = text_cleaning.CleanParams(max_chars=2000, dedup=True, near_dedup=True)
@@ -1014,6 +1031,39 @@ def jsonl_roundtrip(spark, sf_dir):
     return rows.select("doc_id", "text", "lang", F.col(readers.MALFORMED).alias("malformed"))
 
 
+@query("jsonl_malformed", """
+    select case when doc_id % 3 = 2 then doc_id end as doc_id, doc_id % 3 <> 2 as malformed from documents""")
+def jsonl_malformed(spark, sf_dir):
+    """Every third line is a list, every third an object with text behind it."""
+    path, n = _fresh(spark, "lines"), F.col("doc_id").cast("string")
+    record = F.concat(F.lit('{"doc_id": '), n, F.lit("}"))
+    line = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("["), n, F.lit("]"))).when(
+        F.col("doc_id") % 3 == 1, F.concat(record, F.lit(" tail"))).otherwise(record)
+    docs(spark, sf_dir).select(line.alias("value")).write.text(path)
+    rows = readers.read_jsonl(spark, path, "doc_id bigint")
+    return rows.select("doc_id", F.col(readers.MALFORMED).alias("malformed"))
+
+
+@query("route_roundtrip", """
+    select doc_id, text, source as subdir, lang || '_clean.jsonl' as name from documents""")
+def route_roundtrip(spark, sf_dir):
+    path = _fresh(spark, "routed")
+    file = F.concat(F.lit("/data/fetch_data/"), "source", F.lit("/"), "lang", F.lit(".jsonl"))
+    writers.route_output(docs(spark, sf_dir).withColumn("_file", file), path, columns=["doc_id", "text"])
+    rows = spark.read.schema("doc_id bigint, text string, subdir string, name string").json(path)
+    return rows.select("doc_id", "text", "subdir", "name")
+
+
+@query("dataset_roundtrip", """
+    select doc_id::varchar as text from documents union all select lang || doc_id as text from documents""")
+def dataset_roundtrip(spark, sf_dir):
+    """The same reader over a text file and a JSON file."""
+    base = _fresh(spark, "dataset")
+    docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("value")).write.text(f"{base}.txt")
+    docs(spark, sf_dir).select(F.concat("lang", F.col("doc_id").cast("string")).alias("text")).write.json(f"{base}.json")
+    return readers.read_dataset(spark, f"{base}.txt").select("text").union(readers.read_dataset(spark, f"{base}.json").select("text"))
+
+
 @query("splits_roundtrip", """
     select case lang when 'en' then 'train' when 'de' then 'validation' else 'test' end as split, doc_id, text
     from documents""")

@@ -45,13 +45,24 @@ def label_matches(label: Column | str, target: str) -> Column:
 def scorer_udf(load: Callable[[], Callable[[pd.Series], pd.Series]]):
     """An Arrow function from a classifier factory; ``load`` runs once per Python worker task.
 
-    The classifier maps a batch of texts to labels, with null for a text it cannot score.
+    The classifier maps a batch of texts to labels, with null for a text it cannot score. A batch on
+    which it fails is scored text by text; a text on which it fails has no verdict, so its row stays.
     """
+    def one(classify, text: str) -> str | None:
+        try:
+            return classify(pd.Series([text])).iloc[0]
+        except Exception:  # whatever a classifier raises over a text is that text's failure
+            return None
+
     @F.pandas_udf("string")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         classify = load()
         for texts in batches:
-            yield classify(texts)
+            try:
+                labels = classify(texts)
+            except Exception:
+                labels = pd.Series([one(classify, t) for t in texts], index=texts.index, dtype=object)
+            yield labels
 
     return score
 

@@ -117,8 +117,11 @@ def training_columns(df: DataFrame) -> DataFrame:
     return df.select("input_ids", "attention_mask", "labels")
 
 
-def calibration_sample(df: DataFrame, n: int, order: Sequence[str], text: str = "text", min_chars: int = 100) -> DataFrame:
-    """The first ``n`` texts longer than ``min_chars`` characters."""
+def calibration_sample(df: DataFrame, n: int, order: Sequence[str], text: str = "text", min_chars: int = 100,
+                       strip: bool = False) -> DataFrame:
+    """The first ``n`` texts longer than ``min_chars`` characters; ``strip`` takes white space off first."""
+    if strip:
+        df = df.withColumn(text, once(strip_ws(text)))
     return head(df.where(F.length(text) > min_chars), n, order)
 
 
