@@ -65,12 +65,26 @@ def test_label_prefix(spark):
         assert (filters.label_filter(df, target, label="label").count() == 1) == want
 
 
-def test_label_filter_sees_512_characters(spark):
+def test_label_filter_sees_the_whole_text_or_a_given_part(spark):
     def load():
         return lambda texts: texts.map(lambda t: "positive" if "!" in t else "negative")
 
     df = spark.createDataFrame([(1, "!" + "a" * 600), (2, "a" * 600 + "!")], "id int, text string")
-    assert [r["id"] for r in filters.label_filter(df, "positive", load=load).collect()] == [1]
+    assert [r["id"] for r in filters.label_filter(df, "positive", load=load, max_chars=512).collect()] == [1]
+    assert filters.label_filter(df, "positive", load=load).count() == 2
+
+
+def test_failed_scoring_keeps_the_row(spark):
+    def load():
+        def classify(texts):
+            if texts.str.contains("bad").any():
+                raise ValueError("cannot score")
+            return texts.map(lambda t: "positive" if "!" in t else "negative")
+
+        return classify
+
+    df = spark.createDataFrame([(1, "!"), (2, "bad"), (3, "no")], "id int, text string").coalesce(1)
+    assert [r["id"] for r in filters.label_filter(df, "positive", load=load).collect()] == [1, 2]
 
 
 def test_label_filter_with_fitted_pipeline(spark):

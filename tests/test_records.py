@@ -151,7 +151,7 @@ def test_preference_counts(spark):
     rows = [(1, "q", base, "r"), (2, "q", " " + base, "r "), (3, "q", base + " x", "r"), (4, "q", None, "r"),
             (5, "　", "c", "r"), (6, "", "c", "r"), (7, "q", "z" * 5000, "r"), (8, "q", "other", "r")]
     df = spark.createDataFrame(rows, "id bigint, prompt string, chosen string, rejected string")
-    result = preferences.clean_preferences(df, "id", preferences.PreferenceParams(dedup=True, near_dedup=True))
+    result = preferences.clean_preferences(df, "id", preferences.PreferenceParams(max_chars=4000, dedup=True, near_dedup=True))
     stats = result.stats().first().asDict()
     want = {"total": 8, "kept": 2, "dropped_len": 2, "dropped_missing": 2, "dropped_dup": 1, "dropped_near_dup": 1}
     assert {k: stats[k] for k in want} == want

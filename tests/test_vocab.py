@@ -96,7 +96,7 @@ def test_cleaning_accounts_for_every_row(spark):
             (7, long + " a", None, None), (8, None, ["only turn here"], None), (9, "text", ["a", "b"], None),
             (10, long, None, "positive"), (11, "fresh text", None, "Positive!")]
     df = spark.createDataFrame(rows, "id bigint, text string, dialog array<string>, label string")
-    params = CleanParams(dedup=True, near_dedup=True, target="positive", label="label")
+    params = CleanParams(max_chars=2000, dedup=True, near_dedup=True, target="positive", label="label")
     result = clean_corpus(df, "id", params)
     stats = result.stats().first().asDict()
     assert stats == {"total": 12, "malformed": 0, "too_many_turns": 1, "no_text": 1, "empty_after_clean": 1, "too_short": 1,
@@ -104,7 +104,7 @@ def test_cleaning_accounts_for_every_row(spark):
     assert sorted(r["id"] for r in result.kept.collect()) == [0, 8, 11]
     reasons = {r["id"]: r["drop_reason"] for r in result.reasons().collect()}
     assert len(reasons) == 12 and reasons[10] == "dedup" and reasons[7] == "near_dedup" and reasons[6] == "sentiment_filtered"
-    again = clean_corpus(result.kept, "id", CleanParams(dedup=True, near_dedup=True)).stats().first().asDict()
+    again = clean_corpus(result.kept, "id", CleanParams(max_chars=2000, dedup=True, near_dedup=True)).stats().first().asDict()
     assert again["kept"] == again["total"] == 3
 
 
