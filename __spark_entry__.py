@@ -935,14 +935,40 @@ def bpe_pairs(spark, sf_dir):
     return vocab.pair_counts(vocab.word_symbols(word_counts(spark, sf_dir)))
 
 
-@query("bpe_vocab")
+BPE_MERGES = 100
+
+
+@query("bpe_vocab", rf"""
+    with recursive {LINES}, nl as (select {norm('line')} as text from lines),
+    wc as materialized (select word, count(*) as freq from (
+      select unnest(string_split(regexp_replace(text, '(\p{{Nd}})', ' \1 ', 'g'), ' ')) as word from nl) where word <> '' group by word),
+    cc as (select char, count(*) as freq from (select unnest(string_split(text, '')) as char from nl) where char not in ('', ' ') group by char),
+    cv as (select char, freq, coalesce(sum(freq) over (order by freq desc, char rows between unbounded preceding and 1 preceding), 0) as before,
+      sum(freq) over () as total from cc),
+    cover as (select char as known from cv where before < total * 0.9995),
+    ch as (select word, freq, unnest(string_split(word, '')) as c, generate_subscripts(string_split(word, ''), 1) as i from wc),
+    w as materialized (select freq, string_agg(case when known is not null then chr(1) || c || chr(1) else
+        array_to_string(list_transform(range(1, strlen(c) + 1), lambda j: chr(1) || '<0x' || hex(encode(c))[2 * j - 1:2 * j] || '>' || chr(1)), '')
+        end, '' order by i) as s
+      from ch left join cover on c = known group by word, freq),
+    step as (
+      select 0 as k, freq, s, null::varchar as l, null::varchar as r, null::hugeint as n from w
+      union all
+      select k + 1, step.freq, replace(s, chr(1) || t.l || chr(1) || chr(1) || t.r || chr(1), chr(1) || t.l || t.r || chr(1)), t.l, t.r, t.n
+      from step, (
+        select p[1] as l, p[2] as r, sum(freq) as n from (
+          select freq, unnest(list_transform(range(1, len(c)), lambda i: [c[i], c[i + 1]])) as p
+          from (select freq, string_split(trim(s, chr(1)), chr(1) || chr(1)) as c from step)) group by p
+        order by n desc, l, r limit 1) t
+      where k < {BPE_MERGES})
+    select distinct (k - 1)::int as rank, l as "left", r as "right", l || r as token, n::bigint as freq from step where k > 0""")
 def bpe_vocab(spark, sf_dir):
-    """Merges over every line of every document; no line is too long."""
+    """Merges over every line of every document; no line is too long. The SQL merges one pair at a time."""
     lines = tx.explode_lines(docs(spark, sf_dir), "text", ["doc_id"])
     rows = lines.select(tx.once(tx.normalize_text("line")).alias("line"))
     words = materialize(vocab.word_counts(rows, "line"), "words")
     symbols = vocab.word_symbols(words, vocab.char_vocab(rows, "line", 0.9995))
-    return vocab.learn_bpe(symbols, merges=100)
+    return vocab.learn_bpe(symbols, merges=BPE_MERGES)
 
 
 NORM_LINES = f"""{LINES},

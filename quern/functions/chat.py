@@ -6,6 +6,7 @@ Messages are ``array<struct<role: string, content: string>>``; ShareGPT turns ar
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -60,6 +61,16 @@ TEMPLATES = {
 PLACEHOLDERS = ("{system}", "{content}", "{input}", "{output}")
 
 
+def parse_template(text: str) -> ChatTemplate:
+    """A template from its JSON form: ``messages`` (objects with ``role`` and ``template``) and an
+    optional ``separator``. What stands before the placeholder of the assistant opens an answer."""
+    found = json.loads(text)
+    roles = {m["role"]: m["template"] for m in found.get("messages") or []}
+    answer = roles.get("assistant", "")
+    used = next((p for p in PLACEHOLDERS if p in answer), None)
+    return ChatTemplate(roles, found.get("separator") or "", answer.split(used)[0] if used else "")
+
+
 def _text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 

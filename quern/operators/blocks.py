@@ -18,17 +18,23 @@ def pack_blocks(
 
     What is left over at the end of a batch is dropped. Returns ``batch``, ``block``, ``input_ids``,
     ``attention_mask`` and ``labels``. Rows with no ids take part in the batch count. ``sep_id`` adds
-    a separator after each row.
+    a separator after each row. ``order`` must identify a row: ids join their place by it, so that
+    they are moved to that join and to their blocks, and nowhere else.
     """
-    rows = row_index(df.select(*order, F.col(ids).alias("ids")), order, name="at")
-    if sep_id is not None:
-        rows = rows.withColumn("ids", F.concat("ids", F.array(F.lit(sep_id))))
+    extra = 0 if sep_id is None else 1
+    lengths = df.select(*order, (F.size(ids) + extra).cast("bigint").alias("n"))
+    numbered = row_index(lengths, order, name="at")
     batch = F.expr(f"at div {int(batch_rows)}").alias("batch")
-    sized = rows.select(batch, "at", "ids", F.size("ids").cast("bigint").alias("n"))
 
-    # The frame never spans more than batch_rows rows; only lengths are summed.
+    # Only lengths are numbered and summed; a frame never spans more than batch_rows of them.
     before = Window.partitionBy("batch").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).where("n > 0")
+    starts = numbered.select(*order, batch, "at", "n").withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    keys = [f"k{i}" for i in range(len(order))]
+    starts = starts.where("n > 0").select(*(F.col(c).alias(k) for c, k in zip(order, keys, strict=True)), "batch", "at", "n", "start")
+    body = F.col(ids) if sep_id is None else F.concat(F.col(ids), F.array(F.lit(sep_id)))
+    rows = df.select(*(F.col(c).alias(f"o{k}") for c, k in zip(order, keys, strict=True)), body.alias("ids"))
+    same = [rows[f"o{k}"].eqNullSafe(starts[k]) for k in keys]
+    placed = rows.join(starts, same).select("batch", "at", "ids", "n", "start")
     # Each row is cut where blocks end; only the pieces are passed on.
     def piece(block: Column) -> Column:
         lo = F.greatest(block * block_size - F.col("start"), F.lit(0))

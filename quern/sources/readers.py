@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.functions.chat import ChatTemplate, parse_template
+
 ORDER = "_order"
 MALFORMED = "_malformed"
 TSV_FORMAT = {"sep": "\t", "quote": "", "escape": ""}
@@ -99,6 +101,11 @@ def read_dataset(spark: SparkSession, path: str, schema: str | T.StructType | No
     return with_order(reader.json(path))
 
 
+def read_template(spark: SparkSession, path: str) -> ChatTemplate:
+    """A chat template from its JSON file, a setting of a few hundred bytes."""
+    return parse_template(spark.read.text(path, wholetext=True).first()["value"])
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """First column of a token list ``token<TAB>freq``, in file order; blank lines are skipped."""
     rows = with_order(spark.read.options(**TSV_FORMAT).schema("token string, freq string").csv(path))

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -5,8 +6,11 @@ from pyspark.sql import functions as F
 
 from quern.functions import chat, tokens
 from quern.functions.tokens import CharTokenizer, SubwordTokenizer, WhitespaceTokenizer
+from quern.operators import order
 from quern.operators.blocks import pack_blocks
 from quern.plans import preferences, training_sets
+from quern.session import materialize
+from quern.sources.readers import read_template
 
 MESSAGES = "messages array<struct<role string, content string>>"
 TALK = [("system", "S"), ("user", "U"), ("assistant", "A"), ("tool", "T")]
@@ -25,6 +29,23 @@ def test_templates(spark, name, want):
     assert row.select(chat.render_template("messages", chat.TEMPLATES[name])).first()[0] == want
 
 
+@pytest.mark.parametrize("name", list(chat.TEMPLATES))
+def test_template_file_equals_the_one_in_code(spark, tmp_path, name):
+    known = chat.TEMPLATES[name]
+    path = tmp_path / f"{name}.json"
+    made = {"messages": [{"role": r, "template": t} for r, t in known.roles.items()], "separator": known.separator, "stop_tokens": []}
+    path.write_text(json.dumps(made))
+    found = read_template(spark, str(path))
+    assert dict(found.roles) == dict(known.roles) and found.separator == known.separator
+    assert not known.generation or found.generation == known.generation
+
+
+def test_template_file_with_little_in_it():
+    assert chat.parse_template("{}") == chat.ChatTemplate({}, "", "")
+    bare = chat.parse_template('{"messages": [{"role": "assistant", "template": "fixed"}], "separator": "\\n"}')
+    assert (bare.separator, bare.generation) == ("\n", "")
+
+
 def test_named_only_leaves_bare_content(spark):
     row = spark.createDataFrame([(TALK,)], MESSAGES)
     got = row.select(chat.render_template("messages", chat.TEMPLATES["llama3"], named_only=True)).first()[0]
@@ -97,6 +118,17 @@ def test_pack_blocks_equals_a_loop(spark, block, batch, sep):
     assert all(r["labels"] == r["input_ids"] and r["attention_mask"] == [1] * block for r in got.collect())
 
 
+def test_pack_blocks_numbers_rows_by_lengths_alone(spark, monkeypatch):
+    """Null ids and a null order value keep their place in the batch count; no ids are written."""
+    written = []
+    monkeypatch.setattr(order, "materialize", lambda df, label: written.append(df.columns) or materialize(df, label))
+    rows = spark.createDataFrame([(None, 1, [1, 2]), ("a", 1, None), ("a", 2, [3]), ("b", 0, []), ("c", 0, [4, 5])],
+                                 "x string, y int, ids array<int>")
+    got = pack_blocks(rows, "ids", 2, ["x", "y"], batch_rows=3)
+    assert sorted((r["batch"], r["block"], r["input_ids"]) for r in got.collect()) == [(0, 0, [1, 2]), (1, 0, [4, 5])]
+    assert written == [["x", "y", "n", "_slice", "_place"]]
+
+
 def test_mlm_mask_rates_and_repeatability(spark):
     rows = spark.range(300).select("id", F.transform(F.sequence(F.lit(10), F.lit(209)), lambda x: x.cast("int")).alias("ids"))
     def run(df):
