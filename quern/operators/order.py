@@ -55,10 +55,24 @@ def row_index(
 
 
 def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows by ``order``."""
+    """The first ``n`` rows by ``order``; of rows alike in ``order`` at the end, any.
+
+    Beyond ``SMALL_LIMIT`` only the order columns are numbered. The row at place ``n`` is the cut-off,
+    and the table is filtered by it where it is scanned; no other column is sorted or written.
+    """
     if n <= SMALL_LIMIT:
         return df.orderBy(*order).limit(n)
-    return row_index(df, order, name="_at").where(F.col("_at") < n).drop("_at")
+    numbered = row_index(df.select(*order), order, name="_at")
+    key = F.struct(*order)
+    cut = numbered.where(F.col("_at") == n - 1).select(key.alias("cut")).scalar()
+    # Rows alike the cut-off: the places before them, and how many. None when the table ends before.
+    last = numbered.where(key == cut).agg(F.min("_at").alias("ahead"), F.count("*").alias("alike")).first()
+    if last["ahead"] is None:
+        return df
+    wanted = n - last["ahead"]
+    if last["alike"] == wanted:
+        return df.where(key <= cut)
+    return df.where(key < cut).unionByName(df.where(key == cut).limit(wanted))
 
 
 def head_per_group(df: DataFrame, n: int, by: Sequence[str], order: Sequence[str]) -> DataFrame:

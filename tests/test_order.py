@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from quern.operators import filters, order
+from quern.session import materialize
 
 
 def shuffled(spark, n, seed=0):
@@ -38,6 +39,27 @@ def test_large_and_small_heads_agree(spark, monkeypatch):
     assert order.head(df, 10**7, ["id"]).count() == 2000
 
 
+def test_large_head_with_nulls_ties_and_wide_rows(spark, monkeypatch):
+    monkeypatch.setattr(order, "SMALL_LIMIT", 0)
+    written = []
+    monkeypatch.setattr(order, "materialize", lambda df, label: written.append(df.columns) or materialize(df, label))
+    rows = [(None, 2), (None, 1), ("a", None), ("a", 5), ("a", 5), ("a", 5), ("b", 0)]
+    df = spark.createDataFrame([(x, y, "text" * 9) for x, y in rows], "x string, y int, text string").repartition(3)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0))
+    for n in range(1, 10):
+        got = [(r["x"], r["y"]) for r in order.head(df, n, ["x", "y"]).collect()]
+        assert sorted(got, key=str) == sorted(ordered[:n], key=str)
+    assert order.head(df.limit(0), 5, ["x", "y"]).count() == 0
+    assert all("text" not in columns for columns in written)
+
+
+def test_large_head_by_a_struct(spark, monkeypatch):
+    monkeypatch.setattr(order, "SMALL_LIMIT", 0)
+    df = shuffled(spark, 300).select(F.struct((F.col("id") % 5).alias("a"), "id").alias("place"), "id")
+    want = sorted((i % 5, i) for i in range(0, 2100, 7))[:70]
+    assert sorted((r["place"]["a"], r["id"]) for r in order.head(df, 70, ["place"]).collect()) == want
+
+
 def test_trimming_holds_up_to_the_limit(spark):
     def plan(n):
         return order.head_per_group(shuffled(spark, 10), n, ["g"], ["id"])._jdf.queryExecution().executedPlan().toString()
