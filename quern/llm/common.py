@@ -6,6 +6,7 @@ import sys
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,25 @@ def map_texts(
     return positional.mapInArrow(run, plain).toDF(*schema.names), name
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows that cut no group of the sorted column ``key``."""
+    held, count, last = [], 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        fresh = np.flatnonzero(np.concatenate([[last is not None and keys[0] != last], keys[1:] != keys[:-1]]))
+        last = keys[-1]
+        if count + batch.num_rows >= rows and len(fresh):
+            cut = int(fresh[-1])
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            batch, held, count = batch.slice(cut), [], 0
+        held.append(batch)
+        count += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def worker_store(name: str) -> dict:
     """A dictionary that lives as long as the worker process; functions arrive anew with each task.
     Callers bound its size, and only keep what follows from its key."""

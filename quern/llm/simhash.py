@@ -10,8 +10,9 @@ fingerprint goes to four shards, named by block number and value. A shard of mor
 shard gets a BK-tree, in which a node's children are keyed by their Hamming distance to it, and
 every fingerprint of the shard descends only along edges within the radius of its own distance. The
 trees of all shards grow with the corpus, so they are not broadcast: tree and queries of a shard meet
-in one task by its key. A task reports its links as stars, never as pairs, and the stars become
-components by distributed contraction.
+in one task by its key. A task reads its shards in order of their keys and holds a run of them, not
+its whole partition. It reports a run's links as stars, never as pairs, and the stars become components
+by distributed contraction.
 
 Defined results: a null or empty text has fingerprint zero, and zero links like any other; fewer than
 three words are one shingle; repeated rows have equal fingerprints; null ids count as larger than all
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import LOWER, map_texts, stored
+from quern.llm.common import LOWER, map_texts, stored, whole_groups
 from quern.llm.graph import components
 
 RADIUS = 3
@@ -36,6 +37,8 @@ SEED = 42
 FULL_SHARD = 4096
 #: Tree visits that one step of a descent holds at most, and hashes expanded to bits at once.
 FRONTIER = 1 << 20
+#: Rows that a task gathers before it builds the trees of their shards.
+RUN_ROWS = 1 << 19
 HASHES = 1 << 16
 
 
@@ -194,15 +197,13 @@ def near_links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         raise ValueError("four blocks find fingerprints within three bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if held:
-            table = pa.Table.from_batches(held)
+        for table in whole_groups(batches, "key", RUN_ROWS):
             a, b = local_stars(table["key"].to_numpy(), table["fp"].to_numpy().view(np.uint64), radius)
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     # Two shards that share a hash only share a tree.
     keyed = _shards(nodes).select("fp", F.xxhash64("shard").alias("key"))
-    return keyed.repartition("key").mapInArrow(run, "a bigint, b bigint")
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_components(prints: DataFrame, doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
