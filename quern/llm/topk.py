@@ -11,7 +11,8 @@ relative 1e-9 and pruning asks for a strictly smaller score, so ties stay.
 
 Queries come in blocks of at most ``QUERIES`` vectors; each block is one pass over the vectors. A
 first pass over the longest vectors gives every query a threshold to start from. A task returns at
-most k rows per query.
+most k rows per query, and a block's rows are written before the next block is read, so the driver
+holds one block at a time.
 
 Defined results: vectors that are null, or hold a null or non-finite component, take no part; only
 vectors of the query's size are candidates; a zero vector scores zero with all; components beyond
@@ -179,7 +180,7 @@ def _block(vectors: DataFrame, queries: list, first: list, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, is_query: Column, vec_id: str, vector: str, k: int = 10) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` of the rows that ``is_query`` picks, against all other rows."""
     queries = quantized(vectors.where(is_query & F.col(vec_id).isNotNull()), vec_id, vector)
-    queries = queries.groupBy("id").agg(F.min(F.struct("v", "norm2")).alias("q")).select("id", "q.v", "q.norm2")
+    queries = stored(queries.groupBy("id").agg(F.min(F.struct("v", "norm2")).alias("q")).select("id", "q.v", "q.norm2"), "queries")
     # By length, then id: rows of one length do not have to share a task.
     dealt = stored(quantized(vectors, vec_id, vector).repartitionByRange(F.col("norm2").desc(), "id"), "vectors")
     first = dealt.orderBy(F.col("norm2").desc(), "id").limit(FIRST).collect()
@@ -188,7 +189,7 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str, vector: str, k: int
     found = []
     for b in range(blocks):
         block = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
-        found.append(_block(dealt, block, first, k))
+        found.append(stored(_block(dealt, block, first, k), "best"))
     if not found:
         return dealt.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     every = functools.reduce(DataFrame.union, found)
