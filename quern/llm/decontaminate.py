@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import map_texts
+from quern.llm.common import free_name, map_texts
 
 WINDOW = 13
 SAMPLE = 8
@@ -225,10 +225,11 @@ def find_contamination(
     merged = merge_spans(F.flatten(F.array(*(F.col(f"{n}.spans") for n in names))))
     inside = F.flatten(F.array(*(F.col(f"{n}.items") for n in names)))
     first = F.col(names[0])
-    docs = docs.withColumn("_spans", merged)
-    words = count_words(F.col(text), F.col("_spans"))
+    spans = free_name(docs, "_spans")
+    docs = docs.withColumn(spans, merged)
+    words = count_words(F.col(text), F.col(spans))
     out = F.struct(first["n_words"].alias("n_words"), words.alias("n_hit"),
-                   F.array_sort(F.array_distinct(inside)).alias("items"), F.col("_spans").alias("spans"))
+                   F.array_sort(F.array_distinct(inside)).alias("items"), F.col(spans).alias("spans"))
     return docs.select(*columns, out.alias(names[0])), names[0]
 
 
