@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quern.llm import archives, decontaminate, pieces, pii, quality, registry, reshard, secrets, simhash, tokentree, topk
-from quern.llm.common import fresh_path, map_texts
+from quern.llm.common import fresh_path, map_texts, whole_groups
 from quern.llm.graph import components
 
 SF = "/root/testdata/sf0.001"
@@ -46,6 +47,16 @@ def test_map_texts_keeps_columns(spark):
     assert {r["doc_id"]: r[name]["n"] for r in out.collect()} == {0: 3, 900: 0, 901: 0, None: 7}
 
 
+def test_whole_groups_cut_no_group():
+    r = np.random.default_rng(6)
+    for keys in (np.sort(r.integers(0, 12, 200)), np.zeros(50, np.int64), np.arange(30), np.zeros(0, np.int64)):
+        batches = [pa.RecordBatch.from_arrays([pa.array(keys[i:i + 7])], ["key"]) for i in range(0, len(keys), 7)]
+        made = [t["key"].to_pylist() for t in whole_groups(iter([*batches, *batches[:0]]), "key", 20)]
+        assert sum(made, []) == keys.tolist()
+        assert all(a[-1] != b[0] for a, b in itertools.pairwise(made))
+    assert len(made) == 0 and list(whole_groups(iter([]), "key", 5)) == []
+
+
 # ---------------------------------------------------------------- 1 archives
 
 def test_archives_round_trip(spark):
@@ -147,9 +158,10 @@ def test_contamination_equals_brute_force(spark, monkeypatch):
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     for limit in (decontaminate.BLOCK_BYTES, 200):
         monkeypatch.setattr(decontaminate, "BLOCK_BYTES", limit)
-        out, name = decontaminate.find_contamination(frame(spark, texts), benchmark)
+        out, name = decontaminate.find_contamination(frame(spark, texts).withColumnRenamed("n_words", "_spans"), benchmark)
         for row in out.collect():
             got = row[name]
+            assert row["_spans"] in ("x", None)
             assert (got["n_words"], got["n_hit"], got["items"]) == brute_contamination(row["text"], items), row["text"]
             left = decontaminate.remove_spans((row["text"] or "").encode(), [(s["start"], s["end"]) for s in got["spans"]])
             assert brute_contamination(left, [])[0] == got["n_words"] - got["n_hit"]
@@ -160,7 +172,9 @@ def test_contamination_equals_brute_force(spark, monkeypatch):
 
 # ---------------------------------------------------------------- 5 top-k
 
-def test_top_k_equals_brute_force(spark):
+@pytest.mark.parametrize("block", [2048, 2])
+def test_top_k_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "QUERIES", block)
     r = np.random.default_rng(3)
     rows = [(i, [float(x) for x in r.normal(size=8) * (1 + i % 7)]) for i in range(400)]
     rows += [(i, rows[7][1]) for i in range(400, 460)] + [(500, None), (600, [None] * 8), (700, [float("nan")] * 8), (800, [1.0, 2.0]), (900, [0.0] * 8), (900, [0.0] * 8), (None, rows[3][1])]
@@ -220,9 +234,10 @@ def brute_components(prints):
     return {f: find(f) for f in prints}
 
 
-@pytest.mark.parametrize("full", [4096, 4])
-def test_simhash_equals_brute_force(spark, monkeypatch, full):
+@pytest.mark.parametrize("full, run", [(4096, 1 << 19), (4, 10)])
+def test_simhash_equals_brute_force(spark, monkeypatch, full, run):
     monkeypatch.setattr(simhash, "FULL_SHARD", full)
+    monkeypatch.setattr(simhash, "RUN_ROWS", run)
     r = random.Random(8)
     words = [f"w{i}" for i in range(300)]
     texts = [" ".join(r.choice(words) for _ in range(r.choice((1, 2, 40, 200)))) for _ in range(60)]
