@@ -6,6 +6,8 @@ Order columns must identify a row. First-come rules follow them, never the physi
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ SMALL_LIMIT = 10_000
 # Spark trims each task to its best k rows ahead of a window shuffle only while k stays below
 # spark.sql.optimizer.windowGroupLimitThreshold, which is 1,000.
 WINDOW_TRIM_LIMIT = 999
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def row_index(
@@ -40,6 +43,17 @@ def row_index(
     )
     stored = materialize(ranged, "row-index")
 
+    if within:
+        # One row per slice and group that meet; a large group is spread over its slices.
+        before = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        meets = stored.groupBy("_slice", *within).agg(F.count("*").alias("_n"), F.min("_place").alias("_least"))
+        meets = meets.select(
+            F.col("_slice").alias("_s"), *(F.col(c).alias(f"_g{i}") for i, c in enumerate(within)),
+            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_shift"),
+        )
+        same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(within)]
+        placed = stored.join(meets, reduce(and_, same, F.col("_slice") == F.col("_s")))
+        return placed.select(*df.columns, (F.col("_shift") + F.col("_place")).alias(name))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice: as many as there are shuffle partitions, whatever the data size.
     starts = stored.groupBy("_slice").agg(F.count("*").alias("_n")).select(
@@ -48,9 +62,6 @@ def row_index(
     placed = stored.join(F.broadcast(starts), "_slice").withColumn(
         name, F.col("_start") + F.col("_place")
     )
-    if within:
-        first = placed.groupBy(*within).agg(F.min(name).alias("_first"))
-        placed = placed.join(first, list(within)).withColumn(name, F.col(name) - F.col("_first"))
     return placed.select(*df.columns, name)
 
 
@@ -79,14 +90,23 @@ def head_per_group(df: DataFrame, n: int, by: Sequence[str], order: Sequence[str
     """The first ``n`` rows of each group; 0 keeps all rows.
 
     For small ``n`` each task trims to its own first ``n`` rows per group ahead of the shuffle, so
-    a group that holds most of the table does not reach one task. Larger ``n`` goes by row numbers.
+    a group that holds most of the table does not reach one task. Larger ``n`` numbers the group and
+    order columns alone; the row at place ``n`` of each longer group is its cut-off, and the table is
+    filtered by the cut-offs, which are broadcast while they are small. ``order`` must identify a row
+    there: rows alike the cut-off all stay.
     """
     if n <= 0:
         return df
     if n <= WINDOW_TRIM_LIMIT:
         place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         return df.withColumn("_at", place).where(F.col("_at") <= n).drop("_at")
-    return row_index(df, order, by, "_at").where(F.col("_at") < n).drop("_at")
+    numbered = row_index(df.select(*by, *(c for c in order if c not in by)), order, by, "_at")
+    cuts = materialize(numbered.where(F.col("_at") == n - 1).select(
+        *(F.col(c).alias(f"_g{i}") for i, c in enumerate(by)), F.struct(*order).alias("_cut")), "head-cuts")
+    size = cuts.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)])
+    joined = df.join(F.broadcast(cuts) if size <= BROADCAST_BYTES else cuts, same, "left")
+    return joined.where(F.col("_cut").isNull() | (F.struct(*order) <= F.col("_cut"))).select(*df.columns)
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

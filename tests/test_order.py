@@ -27,6 +27,19 @@ def test_row_index_within_groups(spark):
         assert [at for _, at in sorted(members)] == list(range(len(members)))
 
 
+def test_null_groups_are_groups(spark, monkeypatch):
+    df = spark.createDataFrame([(i, None if i % 3 else "a", "x" * i) for i in range(300)], "id int, g string, wide string").repartition(5)
+    at = {r["id"]: r["at"] for r in order.row_index(df, ["id"], ["g"], "at").collect()}
+    assert at == {i: i // 3 if i % 3 == 0 else i - i // 3 - 1 for i in range(300)}
+    small = sorted(r["id"] for r in order.head_per_group(df, 120, ["g"], ["id"]).collect())
+    for size in (order.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(order, "BROADCAST_BYTES", size)
+        monkeypatch.setattr(order, "WINDOW_TRIM_LIMIT", 10)
+        large = order.head_per_group(df, 120, ["g"], ["id"])
+        assert sorted(r["id"] for r in large.collect()) == small and large.columns == df.columns
+    assert len(small) == 220
+
+
 def test_large_and_small_heads_agree(spark, monkeypatch):
     df = shuffled(spark, 2000)
     want = sorted(r["id"] for r in order.head(df, 700, ["id"]).collect())
