@@ -705,6 +705,24 @@ def sft_labels_special(spark, sf_dir):
     return sft_special(spark, sf_dir).select("conv_id", joined("labels").alias("labels"))
 
 
+SFT_OPEN = "length('<|im_start|>assistant') + 1"
+
+
+@query("sft_labels_spans", f"""
+    with m as (select conv_id, turn, role, {CHATML_SQL} as t from conversations),
+    s as (select conv_id, string_agg(t, '' order by turn) as t, string_agg(case when role = 'assistant'
+        then repeat('0', {SFT_OPEN}) || repeat('1', length(t) - ({SFT_OPEN})) else repeat('0', length(t)) end, '' order by turn) as k
+      from m group by conv_id),
+    l as (select conv_id, k, list_transform(string_split(t, ''), lambda c: unicode(c))[1:1022] as ids from s),
+    w as (select conv_id, [-100] || list_transform(range(1, len(ids) + 1), lambda j: case when k[j] = '1' then ids[j] else -100 end) || [2] as w from l)
+    select conv_id, array_to_string(list_transform(range(1, 1025), lambda j: coalesce(w[j], -100)), ',') as labels from w""")
+def sft_labels_spans(spark, sf_dir):
+    """Every answer keeps its labels, behind what opens it; begin and end ids around the record."""
+    rows = training_sets.sft_span_records(
+        messages(spark, sf_dir), chat.TEMPLATES["chatml"], CHARS, 1024, ["conv_id"], before=[1], after=[2])
+    return rows.select("conv_id", joined("labels").alias("labels"))
+
+
 # ---------------------------------------------------------------- preferences
 
 PAIRS = f"""{QA},

@@ -145,6 +145,18 @@ def _fill(template: str, placeholders: tuple[str, ...], content: Column) -> Colu
     return F.concat(*pieces)
 
 
+def render_message(m: Column, template: ChatTemplate, named_only: bool = False) -> Column:
+    """One message as its role's template has it."""
+    content = _text(m["content"])
+    out = content
+    for role, text in template.roles.items():
+        fill = PLACEHOLDERS
+        if named_only:
+            fill = ("{system}",) if role == "system" else ("{content}",)
+        out = F.when(m["role"] == role, _fill(text, fill, content)).otherwise(out)
+    return out
+
+
 def render_template(
     messages: Column | str, template: ChatTemplate, named_only: bool = False
 ) -> Column:
@@ -153,17 +165,9 @@ def render_template(
     ``named_only`` fills just ``{system}`` for the system role and ``{content}`` for the others; a
     template that uses ``{input}`` or ``{output}`` then yields the bare content.
     """
-    def segment(m: Column) -> Column:
-        content = _text(m["content"])
-        out = content
-        for role, text in template.roles.items():
-            fill = PLACEHOLDERS
-            if named_only:
-                fill = ("{system}",) if role == "system" else ("{content}",)
-            out = F.when(m["role"] == role, _fill(text, fill, content)).otherwise(out)
-        return out
-
-    return F.array_join(F.transform(_col(messages), segment), template.separator)
+    return F.array_join(
+        F.transform(_col(messages), lambda m: render_message(m, template, named_only)), template.separator
+    )
 
 
 def prompt_text(
@@ -180,6 +184,26 @@ def prompt_text(
     return F.when(F.size(rest) > 0, F.concat(text, F.lit(template.generation))).otherwise(text)
 
 
+def answer_parts(messages: Column | str, template: ChatTemplate, named_only: bool = False) -> Column:
+    """Every message in two parts that read as `render_template` when joined:
+    ``array<struct<open, body, answer>>``.
+
+    ``open`` is the separator before the message and, for the assistant, what opens an answer;
+    ``answer`` is true for the assistant's bodies.
+    """
+    def split(m: Column, i: Column) -> Column:
+        text, answer = render_message(m, template, named_only), _text(m["role"]) == "assistant"
+        opened = answer & text.startswith(template.generation)
+        separator = F.when(i > 0, F.lit(template.separator)).otherwise("")
+        return F.struct(
+            F.when(opened, F.concat(separator, F.lit(template.generation))).otherwise(separator).alias("open"),
+            F.when(opened, F.substr(text, F.lit(len(template.generation) + 1))).otherwise(text).alias("body"),
+            answer.alias("answer"),
+        )
+
+    return F.transform(_col(messages), split)
+
+
 def chatml_prompt(prompt: Column | str) -> Column:
     """A single user turn in ChatML, up to where the assistant starts to answer."""
     return F.concat(

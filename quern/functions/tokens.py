@@ -1,23 +1,19 @@
 """Tokenizers as Column functions, and fixed-length model inputs built from token ids.
 
-Whitespace and character tokenizers are plain Spark expressions. Subword models run in Arrow
-batches; the serialized model is broadcast once and loaded once per Python worker.
+A tokenizer is any object whose ``tokens``, ``ids`` and ``decode`` make Columns of Columns. Those here
+are plain Spark expressions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from collections.abc import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quern.functions.text import _col
 
 IGNORED_LABEL = -100
-MAX_MODEL_BYTES = 256 * 1024 * 1024
 
 
 class WhitespaceTokenizer:
@@ -49,63 +45,6 @@ class CharTokenizer:
         return F.decode(F.unhex(F.array_join(code_bytes, "")), "UTF-32")
 
 
-def _load_huggingface(model: bytes):
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_str(model.decode("utf-8"))
-    return {
-        "tokens": lambda text: tok.encode(text, add_special_tokens=False).tokens,
-        "ids": lambda text: tok.encode(text, add_special_tokens=False).ids,
-        "decode": lambda ids: tok.decode([int(i) for i in ids]),
-    }
-
-
-def _load_sentencepiece(model: bytes):
-    import sentencepiece
-
-    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-    return {
-        "tokens": lambda text: sp.encode(text, out_type=str),
-        "ids": lambda text: sp.encode(text, out_type=int),
-        "decode": lambda ids: sp.decode([int(i) for i in ids]),
-    }
-
-
-LOADERS = {"huggingface": _load_huggingface, "sentencepiece": _load_sentencepiece}
-
-
-class SubwordTokenizer:
-    """A tokenizer file (`tokenizer.json` of the tokenizers library, or a SentencePiece model)."""
-
-    def __init__(self, spark: SparkSession, model: bytes, kind: str = "huggingface",
-                 unk_token: str | None = "[UNK]"):
-        if len(model) > MAX_MODEL_BYTES:
-            raise ValueError("tokenizer model is too large to broadcast")
-        self.unk_token = unk_token
-        self._model = spark.sparkContext.broadcast(model)
-        self._load = LOADERS[kind]
-
-    def _apply(self, what: str, returns: str, c: Column | str) -> Column:
-        model, load = self._model, self._load
-
-        @F.pandas_udf(returns)
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            convert = load(model.value)[what]
-            for batch in batches:
-                yield batch.map(lambda v: None if v is None else convert(v))
-
-        return run(_col(c))
-
-    def tokens(self, text: Column | str) -> Column:
-        return self._apply("tokens", "array<string>", text)
-
-    def ids(self, text: Column | str) -> Column:
-        return self._apply("ids", "array<int>", text)
-
-    def decode(self, ids: Column | str) -> Column:
-        return self._apply("decode", "string", ids)
-
-
 def truncate(values: Column | str, n: int) -> Column:
     """The first ``n`` elements."""
     return F.slice(_col(values), 1, n)

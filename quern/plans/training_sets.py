@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.chat import (
-    ChatTemplate, chatml_pair, chatml_prompt, instruction_answer, instruction_prompt,
+    ChatTemplate, answer_parts, chatml_pair, chatml_prompt, instruction_answer, instruction_prompt,
     messages_to_text, prompt_text, render_template, sharegpt_to_messages, sharegpt_to_text,
 )
 from quern.functions.text import once, strip_ws
-from quern.functions.tokens import attention_mask, mask_labels, pad, truncate, with_special
+from quern.functions.tokens import IGNORED_LABEL, attention_mask, mask_labels, pad, truncate, with_special
 from quern.operators.blocks import pack_blocks
 from quern.operators.order import head
 
@@ -112,6 +112,35 @@ def sft_records(texts: DataFrame, tokenizer, max_length: int, keep: Sequence[str
     return padded.select(*keep, "input_ids", "attention_mask", labels.alias("labels"))
 
 
+def sft_span_records(df: DataFrame, template: ChatTemplate, tokenizer, max_length: int, keep: Sequence[str],
+                     pad_id: int = 0, before: Sequence[int] = (), after: Sequence[int] = (),
+                     named_only: bool = False) -> DataFrame:
+    """As `sft_records` for ``messages``, but every answer keeps its labels and all else is ignored.
+
+    The parts of a message are tokenised by themselves, so no token spans what is learned and what is
+    not. ``before`` is ignored too; ``after`` ends the record and is learned.
+    """
+    def cells(ids: Column, learned: Column) -> Column:
+        return F.transform(ids, lambda x: F.struct(
+            x.alias("id"), F.when(learned, x).otherwise(F.lit(IGNORED_LABEL)).alias("label")))
+
+    def fixed(ids: Sequence[int], learned: bool) -> Column:
+        return cells(F.array(*(F.lit(i) for i in ids)).cast("array<int>"), F.lit(learned))
+
+    each = F.transform(
+        answer_parts("messages", template, named_only),
+        lambda p: F.concat(cells(tokenizer.ids(p["open"]), F.lit(False)), cells(tokenizer.ids(p["body"]), p["answer"])),
+    )
+    room = max(0, max_length - len(before) - len(after))
+    whole = F.concat(fixed(before, False), truncate(F.flatten(each), room), fixed(after, True))
+    rows = df.select(*keep, once(whole).alias("_c"))
+    ids, labels = F.transform("_c", lambda c: c["id"]), F.transform("_c", lambda c: c["label"])
+    return rows.select(
+        *keep, pad(ids, max_length, pad_id).alias("input_ids"), attention_mask("_c", max_length).alias("attention_mask"),
+        pad(labels, max_length, IGNORED_LABEL).alias("labels"),
+    )
+
+
 def training_columns(df: DataFrame) -> DataFrame:
     """Only what a trainer reads."""
     return df.select("input_ids", "attention_mask", "labels")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.functions import chat, tokens
-from quern.functions.tokens import CharTokenizer, SubwordTokenizer, WhitespaceTokenizer
+from quern.functions.tokens import CharTokenizer, WhitespaceTokenizer
 from quern.operators import order
 from quern.operators.blocks import pack_blocks
 from quern.plans import preferences, training_sets
@@ -154,28 +154,20 @@ def test_char_tokenizer_round_trip(one):
     assert one(WhitespaceTokenizer().tokens("t"), "  a  b ") == ["a", "b"]
 
 
-def test_subword_tokenizers(spark):
-    tk = pytest.importorskip("tokenizers")
-    tok = tk.Tokenizer(tk.models.WordPiece({"[UNK]": 0, "play": 1, "##ing": 2, "now": 3}, unk_token="[UNK]"))
-    tok.pre_tokenizer = tk.pre_tokenizers.Whitespace()
-    tok.decoder = tk.decoders.WordPiece()
-    wrapped = SubwordTokenizer(spark, tok.to_str().encode())
-    rows = spark.createDataFrame([("playing now zzz",), (None,)], "t string")
-    got = rows.select(wrapped.tokens("t").alias("w"), wrapped.ids("t").alias("i")).collect()
-    assert got[0]["w"] == ["play", "##ing", "now", "[UNK]"] and got[0]["i"] == [1, 2, 3, 0] and got[1]["w"] is None
-    assert rows.select(training_sets.truncate_text("t", wrapped, 2)).first()[0] == "playing"
-
-
-def test_sentencepiece_model(spark, tmp_path):
-    spm = pytest.importorskip("sentencepiece")
-    (tmp_path / "c.txt").write_text("the cat sat on the mat\n" * 50)
-    spm.SentencePieceTrainer.train(input=str(tmp_path / "c.txt"), model_prefix=str(tmp_path / "m"), vocab_size=20, model_type="bpe", minloglevel=2)
-    model = (tmp_path / "m.model").read_bytes()
-    wrapped = SubwordTokenizer(spark, model, kind="sentencepiece", unk_token="<unk>")
-    direct = spm.SentencePieceProcessor(model_proto=model)
-    rows = spark.createDataFrame([("the cat",)], "t string")
-    assert rows.select(wrapped.tokens("t")).first()[0] == direct.encode("the cat", out_type=str)
-    assert rows.select(wrapped.decode(wrapped.ids("t"))).first()[0] == "the cat"
+def test_answer_spans(spark):
+    template = chat.ChatTemplate({"user": "U:{content}", "assistant": "A:{content}"}, "|", "A:")
+    turns = [[("user", "hi"), ("assistant", "yo"), ("assistant", None), ("tool", "x"), ("assistant", "é")], [], [("assistant", "abcdefghij")]]
+    rows = [(i, [{"role": r, "content": c} for r, c in t]) for i, t in enumerate(turns)]
+    df = spark.createDataFrame(rows, "id int, messages array<struct<role: string, content: string>>")
+    made = training_sets.sft_span_records(df, template, CharTokenizer(), 12, ["id"], pad_id=7, before=[1], after=[2])
+    got = {r["id"]: r for r in made.collect()}
+    whole = {r["id"]: r["t"] for r in df.select("id", chat.render_template("messages", template).alias("t")).collect()}
+    for i, row in got.items():
+        text = [1, *map(ord, whole[i][:10]), 2]
+        assert row["input_ids"] == text + [7] * (12 - len(text)) and sum(row["attention_mask"]) == len(text)
+    learned = {i: "".join(chr(x) for x in r["labels"] if x > 2) for i, r in got.items()}
+    assert whole[0] == "U:hi|A:yo|A:|x|A:é" and learned == {0: "yo", 1: "", 2: "abcdefgh"}
+    assert [r["labels"].count(2) for r in got.values()] == [1, 1, 1]
 
 
 def test_preference_counts(spark):
