@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import content_md5, explode_lines, normalize_text, once
 from quern.operators.dedup import dedup_exact
 from quern.operators.order import head
+from quern.session import materialize
 
 
 @dataclass(frozen=True)
@@ -75,19 +76,22 @@ class CorpusResult:
 def clean_lines(
     lines: DataFrame, order: Sequence[str], params: CorpusParams = CorpusParams(), line: str = "line"
 ) -> CorpusResult:
-    """Normalise, filter by length, drop repeated lines anywhere in the corpus, cap."""
+    """Normalise, filter by length, drop repeated lines anywhere in the corpus, cap.
+
+    Prepared and kept lines are written once; the counts read narrow columns of these tables.
+    """
     rows = lines.select(*order, once(normalize_text(line)).alias("line"))
     reason = (
         F.when(F.col("line") == "", "empty_after_clean")
         .when(F.length("line") < params.min_chars, "too_short")
         .when(F.length("line") > params.max_chars, "too_long")
     )
-    prepared = rows.withColumn("drop_reason", reason)
+    prepared = materialize(rows.withColumn("drop_reason", reason), "lines-prepared")
     passed = prepared.where(F.col("drop_reason").isNull()).drop("drop_reason")
     kept = dedup_exact(passed, content_md5("line"), order)
     if params.max_lines:
         kept = head(kept, params.max_lines, order)
-    return CorpusResult(order, params, prepared, kept)
+    return CorpusResult(order, params, prepared, materialize(kept, "lines-kept"))
 
 
 def build_corpus(

@@ -98,6 +98,9 @@ def clean_preferences(
         ~length.between(params.min_chars, params.max_chars), "length"
     )
     prepared = rows.select(order, *params.keys, "_joined", reason.alias("drop_reason"))
+    if params.dedup or params.near_dedup:
+        # Stages and counts read this table; the input is scanned once.
+        prepared = materialize(prepared, "preference-prepared")
     passed = prepared.where(F.col("drop_reason").isNull()).drop("drop_reason")
     unique = dedup_exact(passed, content_md5("_joined"), [order]) if params.dedup else passed
     distinct = unique

@@ -136,9 +136,13 @@ def prepare(df: DataFrame, order: str, params: CleanParams) -> DataFrame:
 def clean_corpus(df: DataFrame, order: str, params: CleanParams = CleanParams()) -> CleanResult:
     """Run the job. ``order`` is one column that identifies and orders the rows.
 
-    The label filter comes last: a row it removes still suppresses later duplicates.
+    The label filter comes last: a row it removes still suppresses later duplicates. With
+    deduplication or a label filter the prepared rows are written once: stages, counts and reasons
+    read that table, so the input is scanned once and its order keys stay what they were.
     """
     prepared = prepare(df, order, params)
+    if params.dedup or params.near_dedup or params.target:
+        prepared = materialize(prepared, "clean-prepared")
     passed = prepared.where(F.col("drop_reason").isNull()).drop("drop_reason")
     unique = dedup_exact(passed, content_md5("text"), [order], params.scope) if params.dedup else passed
     distinct = unique
@@ -149,5 +153,8 @@ def clean_corpus(df: DataFrame, order: str, params: CleanParams = CleanParams())
     if params.target:
         kept = label_filter(distinct, params.target, label=params.label, load=params.classifier,
                             max_chars=params.classifier_chars)
+        if params.classifier is not None:
+            # Scored once, whatever reads the result.
+            kept = materialize(kept, "clean-kept")
     extra = [c for c in dict.fromkeys([*params.scope, *params.keep]) if c != "text"]
     return CleanResult(order, prepared, unique, distinct, kept.select(order, *extra, "text"))
