@@ -1,10 +1,13 @@
 """Quality classifier: votes of the nearest labelled documents in a latent space.
 
-Features of a text are counts of pairs of neighbouring byte classes (letters by case, digits,
-spacing, each punctuation mark, bytes beyond ASCII) and of words that repeat the word before, and the
-share of repeated lines. Weighted counts of a bounded labelled sample give, by singular value
-decomposition, a latent space; sample vectors and projection travel to every task, where each
-document's cosines to all sample vectors are computed in blocks. The nearest ``NEIGHBOURS`` vote with
+Features of a text are its terms, words (ASCII letters in lower case) and runs of ``GRAM`` bytes of
+the whole text, each hashed to ``BUCKETS`` columns; beside them the counts of pairs of neighbouring
+byte classes (letters by case, digits, spacing, each punctuation mark, bytes beyond ASCII) and of
+words that repeat the word before, and the share of repeated lines. Runs of bytes stand for terms
+where words are not spaced. Counts of a bounded labelled sample, weighted by their inverse document
+frequency, give, by singular value decomposition, a latent space; sample vectors and projection travel
+to every task, where each document's cosines to all sample vectors are computed in blocks. The nearest
+``NEIGHBOURS`` vote with
 a power of their similarity. The sample holds the labels in equal numbers where it can, and votes are
 weighted by what each label's share is among the labelled rows.
 
@@ -18,6 +21,8 @@ once per distinct label; without labels every score is 0.5; equal texts have equ
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import free_name, map_texts, utf8
+from quern.llm.common import LOWER, free_name, map_texts, utf8
 
 SAMPLE = 1500
 DIMENSIONS = 48
@@ -33,6 +38,11 @@ NEIGHBOURS = 25
 POWER = 8
 KEEP = 0.7
 BLOCK = 1024
+#: Columns for hashed words, and as many for hashed runs of bytes; a power of two.
+BUCKETS = 2048
+GRAM = 4
+#: Positions whose runs are hashed at a time.
+CHUNK = 1 << 20
 
 
 def _classes() -> tuple[bytes, int]:
@@ -60,8 +70,29 @@ def _classes() -> tuple[bytes, int]:
 
 
 _TABLE, CLASSES = _classes()
-#: Beside the pairs: repeated words, repeated lines.
-WIDTH = CLASSES * CLASSES + 2
+#: Pairs, repeated words, repeated lines; then words and runs of bytes.
+SHAPES = CLASSES * CLASSES + 2
+WIDTH = SHAPES + 2 * BUCKETS
+
+
+def _words(words: list[bytes]) -> np.ndarray:
+    """Shares of the words by bucket."""
+    counts = Counter(words)
+    at = np.fromiter((zlib.crc32(w) % BUCKETS for w in counts), np.int64, len(counts))
+    return np.bincount(at, np.fromiter(counts.values(), np.float64, len(counts)), BUCKETS) / len(words)
+
+
+def _runs(text: bytes) -> np.ndarray:
+    """Shares of the runs of ``GRAM`` bytes by bucket."""
+    codes, out = np.frombuffer(text, np.uint8), np.zeros(BUCKETS, np.int64)
+    last = len(codes) - GRAM + 1
+    for at in range(0, last, CHUNK):
+        end = min(at + CHUNK, last)
+        run = np.zeros(end - at, np.uint32)
+        for k in range(GRAM):
+            run = run << 8 | codes[at + k:end + k]
+        out += np.bincount((run * np.uint32(2654435761)) >> (33 - BUCKETS.bit_length()), minlength=BUCKETS)
+    return out / last
 
 
 def features(text: bytes) -> np.ndarray:
@@ -73,12 +104,29 @@ def features(text: bytes) -> np.ndarray:
         out[:CLASSES * CLASSES] = np.bincount(pairs, minlength=CLASSES * CLASSES) / len(pairs)
     words = text.split()
     if len(words) > 1:
-        out[-2] = sum(map(bytes.__eq__, words[1:], words)) / len(words)
+        out[SHAPES - 2] = sum(map(bytes.__eq__, words[1:], words)) / len(words)
         lines = [line for line in text.split(b"\n") if line]
-        out[-1] = 1 - len(set(lines)) / len(lines)
+        out[SHAPES - 1] = 1 - len(set(lines)) / len(lines)
+    lower = text.translate(LOWER)
+    if words:
+        out[SHAPES:SHAPES + BUCKETS] = _words(lower.split())
+    if len(text) >= GRAM:
+        out[SHAPES + BUCKETS:] = _runs(lower)
     return np.sqrt(out)
 
 
+def _right(matrix: np.ndarray, dimensions: int) -> np.ndarray:
+    """The right singular vectors, in columns, of the largest singular values that are not zero. They
+    come from the products of rows, or of columns where those are fewer."""
+    by_rows = len(matrix) <= matrix.shape[1]
+    square = matrix @ matrix.T if by_rows else matrix.T @ matrix
+    values, vectors = np.linalg.eigh(square)
+    values, vectors = values[:-dimensions - 1:-1], vectors[:, :-dimensions - 1:-1]
+    vectors = vectors[:, values > max(values[0], 1e-12) * 1e-5]
+    right = matrix.T @ vectors if by_rows else vectors
+    return right / np.maximum(np.linalg.norm(right, axis=0), 1e-12)
+
+
 class Neighbours:
     """Latent vectors of the labelled sample, and the votes of those nearest to a text."""
 
@@ -87,8 +135,7 @@ class Neighbours:
         present = (sample > 0).sum(axis=0)
         self.weight = (1 + np.log((1 + len(sample)) / (1 + present))).astype(np.float32)
         weighted = sample * self.weight
-        _, _, right = np.linalg.svd(weighted.astype(np.float64), full_matrices=False)
-        self.projection = right[:dimensions].T.astype(np.float32)
+        self.projection = _right(weighted, dimensions).astype(np.float32)
         self.vectors = self._latent(weighted)
         self.labels = labels.astype(np.float32)
         good = labels.mean()
@@ -124,6 +171,18 @@ class Neighbours:
         return work
 
 
+def _packed(row: np.ndarray) -> bytes:
+    """Places and values of what is not zero."""
+    at = np.flatnonzero(row)
+    return at.astype(np.uint16).tobytes() + row[at].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out, n = np.zeros(WIDTH, np.float32), len(raw) // 6
+    out[np.frombuffer(raw, np.uint16, n)] = np.frombuffer(raw, np.float32, n, 2 * n)
+    return out
+
+
 def held_out(doc_id: str) -> Column:
     """Rows that no model learns from."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -132,7 +191,7 @@ def held_out(doc_id: str) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "quality", sample: int = SAMPLE) -> Neighbours | None:
     """Learn from labelled rows that are not held out; at most ``2 * sample`` rows reach the driver,
-    as vectors of a fixed width. None without labelled rows."""
+    as the columns that are not zero, of a fixed width at most. None without labelled rows."""
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where(
         "id is not null and y in (0, 1)").where(~held_out("id")).distinct()
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
@@ -145,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(t).tobytes() for t in utf8(batch.column(1))]
+            made = [_packed(features(t)) for t in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.binary())], ["id", "y", "v"])
 
     # Texts may repeat an id; one of them stays, whatever the order of rows.
@@ -154,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     got = vectors.groupBy("id", "y").agg(F.min("v").alias("v")).orderBy("id", "y").collect()
     if not got:
         return None
-    matrix = np.stack([np.frombuffer(r["v"], np.float32) for r in got])
+    matrix = np.stack([_unpacked(r["v"]) for r in got])
     return Neighbours(matrix, np.array([r["y"] for r in got]), counts.get(1, 0) / sum(counts.values()))
 
 

@@ -296,6 +296,33 @@ def test_quality_on_held_out_rows(spark):
     assert {r[name]["score"] for r in none.collect()} == {0.5}
 
 
+def test_words_decide_where_shapes_are_alike(letters):
+    """Good and bad texts alike in word lengths, marks and byte classes, of words of their own."""
+    r = random.Random(5)
+    words = {y: ["".join(r.choice(letters) for _ in range(n)) for n in (2, 3, 4, 5, 6) * 8] for y in (0, 1)}
+
+    def text(y):
+        return (". ".join(" ".join(r.choice(words[y][k::5]) for k in range(5)) for _ in range(12)) + ".").encode()
+
+    labels = np.arange(80) % 2
+    model = quality.Neighbours(np.stack([quality.features(text(y)) for y in labels]), labels, 0.5)
+    scores = model.score(np.stack([quality.features(text(y)) for y in labels]))
+    assert (scores[labels == 1] > 0.9).all() and (scores[labels == 0] < 0.1).all()
+
+
+def test_terms_are_of_the_whole_text(monkeypatch):
+    monkeypatch.setattr(quality, "CHUNK", 7)
+    text = b"Some words, some more words; then the last one"
+    runs = [text.lower()[i:i + quality.GRAM] for i in range(len(text) - quality.GRAM + 1)]
+    want = np.zeros(quality.BUCKETS)
+    for run in runs:
+        want[(int.from_bytes(run, "big") * 2654435761) % 2 ** 32 >> 21] += 1 / len(runs)
+    got = quality.features(text)
+    assert np.allclose(got[quality.SHAPES + quality.BUCKETS:] ** 2, want)
+    assert (quality._unpacked(quality._packed(got)) == got).all()
+    assert not quality.features(b"").any()
+
+
 def test_votes_equal_brute_force():
     r = np.random.default_rng(0)
     sample, labels = r.random((40, quality.WIDTH)).astype(np.float32), (np.arange(40) % 2)
