@@ -6,12 +6,14 @@ runs of letters, runs of digits, single other characters. A segment is up to ``M
 count, checksum, octets, length, characters around it, word before it) for its type. Dynamic
 programming over all segmentations picks boundaries and types together. Weights are learned by
 gradient ascent of the conditional likelihood on regions in which the base patterns are the truth: a
-bounded number of regions from the corpus (``SAMPLE_DOCS``), and regions made from templates, which
+bounded number of regions from the corpus (``SAMPLE_DOCS``, long ones in pieces), and regions made from templates, which
 also hold the variants that the base patterns miss (telephone numbers without a plus, separated by
 dots or hyphens). A segment is added where it touches no base span; base spans always stay.
 
-Defined results: a null or empty text has no spans; equal texts have equal spans; regions longer than
-``MAX_REGION`` characters are read in pieces cut at a space where there is one.
+Long regions are decoded as one sequence, ``STEP`` atoms at a time: a segment spans ``MAX_ATOMS`` at
+most, so the candidates of one step are held at a time, and of each atom only its best last segment.
+
+Defined results: a null or empty text has no spans; equal texts have equal spans.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ SAMPLE_DOCS = 1000
 SAMPLE_REGIONS = 300
 MAX_ATOMS = 16
 MAX_CHARS = 64
-MAX_REGION = 400
+STEP = 2048
+TRAIN_CHARS = 400
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -98,16 +101,23 @@ _WORD_BEFORE = re.compile(r"([^\W\d_]+)\W*\Z")
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches that can hold personal data, in pieces of at most ``MAX_REGION`` characters."""
-    out = []
-    for m in _REGION.finditer(text):
-        start = m.start()
-        while m.end() - start > MAX_REGION:
-            cut = text.rfind(" ", start + 1, start + MAX_REGION)
-            cut = cut if cut > 0 else start + MAX_REGION
+    """Stretches that can hold personal data."""
+    return [m.span() for m in _REGION.finditer(text)]
+
+
+def _train_pieces(text: str) -> list[tuple[int, int]]:
+    """Regions to learn from, in pieces of about ``TRAIN_CHARS`` characters at most, cut at a space and
+    through no base span. Spans are looked for in whole regions."""
+    out, spans = [], None
+    for start, end in regions(text):
+        while end - start > TRAIN_CHARS:
+            spans = base_spans(text) if spans is None else spans
+            cut = text.rfind(" ", start + 1, start + TRAIN_CHARS)
+            cut = cut if cut > 0 else start + TRAIN_CHARS
+            cut = min((a for a, _, b in spans if start < a < cut < b), default=cut)
             out.append((start, cut))
             start = cut
-        out.append((start, m.end()))
+        out.append((start, end))
     return out
 
 
@@ -134,6 +144,11 @@ def segment_features(text: str, start: int, end: int) -> list[str]:
     ]
 
 
+def atoms(text: str, start: int, end: int) -> list[int]:
+    """Bounds of the atoms of a region."""
+    return [start] + [m.end() for m in _ATOM.finditer(text, start, end)]
+
+
 class Field:
     """The trained field: weights per feature and type; type 0 is a single atom outside."""
 
@@ -145,9 +160,13 @@ class Field:
 
     def lattice(self, text: str, start: int, end: int, grow: bool = False):
         """Atom bounds, segments ``(from, to)`` ordered by end, and their feature numbers."""
-        bounds = [start] + [start + m.end() for m in _ATOM.finditer(text[start:end])]
+        bounds = atoms(text, start, end)
+        return bounds, *self.candidates(text, bounds, 1, len(bounds), grow)
+
+    def candidates(self, text: str, bounds: list[int], first: int, last: int, grow: bool = False):
+        """Segments that end at the bounds ``first`` to ``last - 1``, and their feature numbers."""
         segments, rows = [], []
-        for j in range(1, len(bounds)):
+        for j in range(first, last):
             for i in range(j - 1, max(-1, j - 1 - MAX_ATOMS), -1):
                 if j - i > 1 and (bounds[j] - bounds[i] > MAX_CHARS or not text[bounds[i]:bounds[i] + 1].strip()):
                     continue
@@ -157,7 +176,7 @@ class Field:
                     for n in names:
                         self.index.setdefault(n, len(self.index) + 1)
                 rows.append([self.index.get(n, 0) for n in names])
-        return bounds, segments, np.array(rows)
+        return segments, np.array(rows)
 
     def scores(self, segments: list, rows: np.ndarray) -> np.ndarray:
         out = self.weights[rows].sum(axis=1)
@@ -166,19 +185,19 @@ class Field:
 
     def decode(self, text: str, start: int, end: int) -> list[tuple[int, int, int]]:
         """Best segmentation: ``(start, kind, end)`` of its typed segments."""
-        bounds, segments, rows = self.lattice(text, start, end)
-        score = self.scores(segments, rows)
-        kind = score.argmax(axis=1)
-        value = score.max(axis=1)
-        best, back = [0.0] + [-np.inf] * (len(bounds) - 1), [0] * len(bounds)
-        for s, (i, j) in enumerate(segments):
-            if best[i] + value[s] > best[j]:
-                best[j], back[j] = best[i] + value[s], s
+        bounds = atoms(text, start, end)
+        best, back = [0.0] + [-np.inf] * (len(bounds) - 1), [(0, 0)] * len(bounds)
+        for first in range(1, len(bounds), STEP):
+            segments, rows = self.candidates(text, bounds, first, min(first + STEP, len(bounds)))
+            score = self.scores(segments, rows)
+            for (i, j), kind, value in zip(segments, score.argmax(axis=1).tolist(), score.max(axis=1).tolist(), strict=True):
+                if best[i] + value > best[j]:
+                    best[j], back[j] = best[i] + value, (i, kind)
         out, j = [], len(bounds) - 1
         while j:
-            i = segments[back[j]][0]
-            if kind[back[j]]:
-                out.append((bounds[i], int(kind[back[j]]) - 1, bounds[j]))
+            i, kind = back[j]
+            if kind:
+                out.append((bounds[i], kind - 1, bounds[j]))
             j = i
         return out[::-1]
 
@@ -273,12 +292,12 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
             out = []
             for raw in utf8(batch.column(0)):
                 chars = raw.decode()
-                out += [chars[max(0, a - 20):b + 2] for a, b in regions(chars)[:2]]
+                out += [chars[max(0, a - 20):b + 2] for a, b in _train_pieces(chars)[:2]]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["region"])
 
     found = rows.select("text").mapInArrow(cut, "region string").distinct()
     texts = [r["region"] for r in found.orderBy(F.xxhash64("region"), "region").limit(SAMPLE_REGIONS).collect()]
-    examples = [_example(t, a, b, base_spans(t)) for t in texts for a, b in regions(t)]
+    examples = [_example(t, a, b, base_spans(t)) for t in texts for a, b in _train_pieces(t)]
     examples += [_example(t, a, b, s) for t, s in _templates() for a, b in regions(t)]
     return Field().fit(examples)
 

@@ -378,6 +378,24 @@ def test_personal_data(spark, field):
     assert pii.mask("mail a.b@c.de or +49 (632) 555-4827.", field) == "mail [EMAIL] or [PHONE]."
 
 
+def test_long_regions_lose_no_number(field, monkeypatch):
+    text = "(555) 123-4567, " * 200
+    for shift in range(15):
+        start = "1" * shift + " " if shift else ""
+        assert len(pii.regions(start + text)) == 1
+        assert pii.mask(start + text, field).count("[PHONE]") == 200
+    whole = field.decode(text, 0, len(text) - 1)
+    monkeypatch.setattr(pii, "STEP", 7)
+    assert field.decode(text, 0, len(text) - 1) == whole
+
+
+def test_pieces_to_learn_from_cut_no_base_span():
+    text = " ".join(["+49 (632) 555-4827,", "1.2.3.4", "12 34"] * 60)
+    pieces_ = pii._train_pieces(text)
+    assert len(pieces_) > 3 and max(b - a for a, b in pieces_) <= pii.TRAIN_CHARS and "".join(text[a:b] for a, b in pieces_) == text
+    assert all(any(a <= x and y <= b for a, b in pieces_) for x, _, y in pii.base_spans(text))
+
+
 def test_segmentation_is_the_best_of_all(field):
     for text in ("ab 12-34", "1.2.3.4", "+1 (222) 333"):
         bounds, segments, rows = field.lattice(text, 0, len(text))
