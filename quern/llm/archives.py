@@ -4,8 +4,10 @@ An ARC file starts with a version block that names the fields of its header line
 have five fields, version 2 lines ten, and the last one declares the length of what follows. The
 reader walks a file by these lengths, so payloads may hold any bytes. Conversion keeps the content
 and gives each record a name-based identifier (of file, offset and header line), an ISO timestamp, a
-type by scheme and content, and digests of block and payload. Among records with equal payloads of at
-least ``REVISIT_BYTES`` bytes one is the response and the others become revisits without payload.
+type by content (a response has an HTTP status line, whatever the scheme of its URL, and a resource has
+none), and digests of block and payload. Among records with equal payloads of at least
+``REVISIT_BYTES`` bytes one stays as it is, a response where there is one, and the others become
+revisits without payload.
 
 Files are written with Spark's text writer, whose line separator is the end of a record; a partition
 is a file, and the first row of each carries the version block or the warcinfo record. Files are read
@@ -38,6 +40,8 @@ ARC_FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 KEY_HEADER = "X-Record-Key"
+#: Of a revisit without an HTTP header that tells the length of its payload.
+SIZE_HEADER = "X-Payload-Length"
 CHUNK = 1 << 20
 
 
@@ -182,8 +186,7 @@ def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame
             uri, date = field["URL"], field["Archive-date"]
             stamp = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
             ident = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name} {place} {uri}')}>"
-            http = uri.lower().startswith(("http://", "https://"))
-            yield (name, place, ident, uri, stamp, "response" if http and head else "resource", field["Content-type"], _key(head),
+            yield (name, place, ident, uri, stamp, "response" if head else "resource", field["Content-type"], _key(head),
                    head if payloads else None, body if payloads else None, len(body), _sha1(body), _sha1(content) if payloads else None)
 
     return _files(spark, path).mapInArrow(_parser(rows, ARC_ROW), ARC_ROW)
@@ -216,13 +219,14 @@ def _parser(rows, ddl: str):
 
 
 def revisits(records: DataFrame) -> DataFrame:
-    """``(file, place)`` of the records that repeat a payload, and the response they refer to.
+    """``(file, place)`` of the records that repeat a payload, and the record they refer to.
 
-    Of equal payloads the largest key responds, then the last in file order. Each task reduces its
+    Of equal payloads a response is kept before a resource, then the largest key, then the last in file
+    order. Each task reduces its
     records to one per digest ahead of the shuffle; the join moves keys and digests only.
     """
-    large = records.where((F.col("kind") == "response") & (F.col("payload_bytes") >= REVISIT_BYTES))
-    rank = F.struct("key", "file", "place", "record_id", "uri", "stamp")
+    large = records.where(F.col("payload_bytes") >= REVISIT_BYTES)
+    rank = F.struct((F.col("kind") == "response").alias("response"), "key", "file", "place", "record_id", "uri", "stamp")
     kept = large.groupBy("payload_digest").agg(F.max(rank).alias("to"), F.count("*").alias("copies")).where("copies > 1")
     copies = large.select("payload_digest", "file", "place").join(kept, "payload_digest")
     return copies.where((F.col("file") != F.col("to.file")) | (F.col("place") != F.col("to.place"))).select(
@@ -247,6 +251,7 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
         F.when(~repeat, F.concat(F.lit("WARC-Block-Digest: "), F.col("block_digest"))),
         F.when(repeat, F.concat(F.lit(f"WARC-Profile: {REVISIT_PROFILE}\r\nWARC-Refers-To: "), F.col("to.record_id"),
                                 F.lit("\r\nWARC-Refers-To-Target-URI: "), F.col("to.uri"), F.lit("\r\nWARC-Refers-To-Date: "), F.col("to.stamp"))),
+        F.when(repeat & (F.length("http") == 0), F.concat(F.lit(f"{SIZE_HEADER}: "), F.col("payload_bytes"))),
         F.concat(F.lit("Content-Type: "), media), F.concat(F.lit("Content-Length: "), F.octet_length(block)),
     ]
     head = F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"))
@@ -288,7 +293,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             digest = field["warc-payload-digest"]
             size, sound = len(body), True
             if kind == "revisit":
-                size = int(http_field(head, "Content-Length") or 0)
+                size = int(field.get(SIZE_HEADER.lower()) or http_field(head, "Content-Length") or 0)
             else:
                 sound = digest == _sha1(body) and field.get("warc-block-digest") == _sha1(block)
             yield (field["warc-record-id"], kind, _key(head), field["warc-target-uri"], field["warc-date"], field.get("warc-refers-to"),

@@ -77,6 +77,30 @@ def test_archives_round_trip(spark):
     assert all(r["kind"] == "resource" or r["kind"] == "response" for r in got if r["payload_bytes"] < 1000)
 
 
+def test_pages_of_any_scheme_answer_and_revisit(spark):
+    """The query's own rule: of equal payloads the largest page_id responds, whatever the url is."""
+    big, other = "a" * 1000, "b" * 1500
+    urls = ["http://a/", "", "ftp://b/c", " http://d/", "dns:e", "no scheme", None]
+    rows = [(i, u, big) for i, u in enumerate(urls)] + [(10, "http://f/", other), (11, "", other), (12, "", "small"), (13, "ftp://g", "small")]
+    path = fresh_path(spark, "pages")
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(2).write.parquet(f"{path}/pages.parquet")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in registry.op1_arc_to_warc(spark, path).collect()}
+    want = {i: ("revisit", 6, 1000) for i in range(6)} | {6: ("response", None, 1000), 10: ("revisit", 11, 1500), 11: ("response", None, 1500)}
+    assert got == want | {i: ("response", None, 5) for i in (12, 13)}
+
+
+def test_records_without_http_header_revisit(spark):
+    body = b"x" * 1200
+    line = lambda u, c: f"{u} 0.0.0.0 {archives.ARC_DATE} text/plain {len(c)}\n".encode() + c + b"\n"
+    about = f"1 0 pages\n{archives.ARC_FIELDS[1]}\n".encode()
+    raw = line("filedesc://x", about) + line("ftp://a", body) + line("ftp://b", body) + line("dns:c", b"short")
+    arc, warc = fresh_path(spark, "arc"), fresh_path(spark, "warc")
+    spark.createDataFrame([(raw.decode(),)], "value string").write.option("lineSep", "\n").text(arc)
+    archives.convert(spark, arc, warc)
+    got = sorted((r["uri"], r["kind"], r["payload_bytes"], r["sound"]) for r in archives.read_warc(spark, warc).collect())
+    assert got == [("dns:c", "resource", 5, True), ("ftp://a", "revisit", 1200, True), ("ftp://b", "resource", 1200, True)]
+
+
 def test_archive_versions_by_length():
     one = b"filedesc://x 0 1 text/plain 73\n1 0 o\nURL IP-address Archive-date Content-type Archive-length\n\n\n"
     head = archives.ARC_FIELDS[2]
@@ -296,6 +320,7 @@ def test_quality_on_held_out_rows(spark):
     assert {r[name]["score"] for r in none.collect()} == {0.5}
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnop", "абвгдежзийклмноп", "的一是不了人我在有他这中大来上国"])
 def test_words_decide_where_shapes_are_alike(letters):
     """Good and bad texts alike in word lengths, marks and byte classes, of words of their own."""
     r = random.Random(5)
