@@ -15,8 +15,8 @@ most k rows per query, and a block's rows are written before the next block is r
 holds one block at a time.
 
 Defined results: vectors that are null, or hold a null or non-finite component, take no part; only
-vectors of the query's size are candidates; a zero vector scores zero with all; components beyond
-``LIMIT`` in size saturate there, so that scores fit 64 bits; a null id is no query and ranks behind
+vectors of the query's size are candidates; a zero vector scores zero with all; a component whose
+integer does not fit 64 bits, or a product that does not, is an error; a null id is no query and ranks behind
 all ids among ties; a query id that repeats is asked once, with its smallest vector; repeated rows are
 candidates of their own, and only rows with the query's own id are left out.
 """
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from quern.llm.common import stored
 
 SCALE = 1024
-LIMIT = 1 << 28
+#: Integers of components stay below this in size, or the row is an error.
+LIMIT = 1 << 63
 QUERIES = 2048
 BUCKET = 2048
 FIRST = 2048
@@ -47,21 +48,28 @@ LAST_ID = (1 << 63) - 1
 def quantized(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """``(id, v, norm2)`` of the vectors that take part; the norm is of the integers."""
     x = F.col(vector)
-    scaled = F.transform(x, lambda c: F.greatest(F.lit(-float(LIMIT)), F.least(F.lit(float(LIMIT)), F.floor(c.cast("double") * SCALE).cast("double"))).cast("int"))
+    def scaled_one(c: Column) -> Column:
+        y = c.cast("double") * SCALE
+        return F.when(F.abs(y) < float(LIMIT), F.floor(y)).otherwise(F.raise_error(F.concat(F.lit("component does not fit 64 bits: "), c.cast("string"))))
+
+    scaled = F.transform(x, scaled_one)
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     whole = F.when(x.isNotNull() & ~bad, x)
     df = df.select(F.col(vec_id).cast("bigint").alias("id"), whole.alias(vector)).where(F.col(vector).isNotNull())
-    rows = df.select("id", scaled.alias("v"))
+    rows = df.select("id", scaled.cast("array<bigint>").alias("v"))
     norm = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
     return rows.select("id", "v", norm.alias("norm2"))
 
 
 def products(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Exact integer products; floating point where every partial sum is exact there."""
-    top = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, vectors.shape[1])
-    if top < 2.0 ** 53:
+    """Exact integer products; floating point where every partial sum is exact there, and Python's
+    integers where one might not fit 64 bits."""
+    top = int(np.abs(vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(1, vectors.shape[1])
+    if top < 2 ** 53:
         return (vectors.astype(np.float64) @ queries.astype(np.float64).T).astype(np.int64)
-    return vectors.astype(np.int64) @ queries.astype(np.int64).T
+    if top < LIMIT:
+        return vectors.astype(np.int64) @ queries.astype(np.int64).T
+    return vectors.astype(object) @ queries.astype(object).T
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -120,6 +128,13 @@ class Search:
                     self._take(q, ids[some], score)
 
     def _take(self, q: int, ids: np.ndarray, score: np.ndarray) -> None:
+        if score.dtype == object:
+            # Python's integers; a query's product with itself is not asked for and may be any size.
+            other = ids != self.ids[q]
+            ids, score = ids[other], score[other]
+            if any(not -LIMIT < x < LIMIT for x in score):
+                raise OverflowError("an inner product does not fit 64 bits")
+            score = score.astype(np.int64)
         some = (score >= self.floor[q]) & (ids != self.ids[q])
         if not some.any():
             return
@@ -156,7 +171,7 @@ def _search_all(searches: dict[int, Search], table: pa.Table) -> None:
 def _block(vectors: DataFrame, queries: list, first: list, k: int) -> DataFrame:
     """Best k of every query in each task, as ``(query_id, id, score)``."""
     arrow = lambda rows: pa.table({"id": pa.array([r["id"] for r in rows], pa.int64()), "norm2": pa.array([r["norm2"] for r in rows], pa.float64()),
-                                   "v": pa.array([r["v"] for r in rows], pa.list_(pa.int32()))})
+                                   "v": pa.array([r["v"] for r in rows], pa.list_(pa.int64()))})
     start = {m.shape[1]: Search(ids, m, k) for ids, m, _ in _matrix(arrow(queries))}
     _search_all(start, arrow(first))
     plans = {size: (s.ids, s.queries, s.floor) for size, s in start.items()}

@@ -214,6 +214,23 @@ def test_top_k_equals_brute_force(spark, monkeypatch, block):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0, "vec_id", "embedding").count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    r = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in r.normal(size=200) * (1e4 if i % 3 else 3e5)]) for i in range(120)]
+    made = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), F.col("vec_id") % 100 == 0, "vec_id", "embedding").collect()
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    assert max(abs(x) for _, v in whole for x in v) > 1 << 28 and sum(x * x for x in whole[0][1]) > 1 << 63
+    for q, v in (whole[0], whole[100]):
+        want = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q)[:10]
+        assert [(-x["score"], x["vec_id"]) for x in sorted(made, key=lambda x: x["rank"]) if x["query_id"] == q] == want
+    a, b = np.array([[1 << 40, 1 << 40]]), np.array([[1 << 30, -(1 << 30) + 1]])
+    assert topk.products(a, b).tolist() == [[1 << 40]]
+    with pytest.raises(OverflowError):
+        topk.Search(np.array([1]), a, 3).bucket(np.array([2]), a, np.array([2.0 ** 40.5]))
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.quantized(spark.createDataFrame([(1, [1e30])], "i bigint, v array<float>"), "i", "v").collect()
+
+
 # ---------------------------------------------------------------- 6 secrets
 
 def test_ledger_scans_unseen_blobs_only(spark):
