@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,8 @@ NEIGHBOURS = 25
 POWER = 8
 KEEP = 0.7
 BLOCK = 1024
+#: Columns of the sample that are dense at a time.
+COLUMNS = 512
 #: Columns for hashed words, and as many for hashed runs of bytes; a power of two.
 BUCKETS = 2048
 GRAM = 4
@@ -115,38 +117,89 @@ def features(text: bytes) -> np.ndarray:
     return np.sqrt(out)
 
 
-def _right(matrix: np.ndarray, dimensions: int) -> np.ndarray:
-    """The right singular vectors, in columns, of the largest singular values that are not zero. They
-    come from the products of rows, or of columns where those are fewer."""
-    by_rows = len(matrix) <= matrix.shape[1]
-    square = matrix @ matrix.T if by_rows else matrix.T @ matrix
-    values, vectors = np.linalg.eigh(square)
-    values, vectors = values[:-dimensions - 1:-1], vectors[:, :-dimensions - 1:-1]
-    vectors = vectors[:, values > max(values[0], 1e-12) * 1e-5]
-    right = matrix.T @ vectors if by_rows else vectors
-    return right / np.maximum(np.linalg.norm(right, axis=0), 1e-12)
+class _Sample:
+    """Weighted rows of the sample, kept as the places and values that are not zero. Dense copies are
+    made of ``COLUMNS`` columns at a time."""
+
+    def __init__(self, packed: Sequence[bytes]):
+        sizes = [len(raw) // 6 for raw in packed]
+        self.shape = len(packed), WIDTH
+        self.rows = np.repeat(np.arange(len(packed), dtype=np.int32), sizes)
+        self.places = np.concatenate([np.frombuffer(raw, np.uint16, n) for raw, n in zip(packed, sizes, strict=True)])
+        self.values = np.concatenate([np.frombuffer(raw, np.float32, n, 2 * n) for raw, n in zip(packed, sizes, strict=True)])
+        present = np.bincount(self.places[self.values > 0], minlength=WIDTH)
+        self.weight = (1 + np.log((1 + len(packed)) / (1 + present))).astype(np.float32)
+        self.values = self.values * self.weight[self.places]
+
+    def columns(self) -> Iterator[tuple[slice, np.ndarray]]:
+        for start in range(0, WIDTH, COLUMNS):
+            end = min(start + COLUMNS, WIDTH)
+            inside = (self.places >= start) & (self.places < end)
+            dense = np.zeros((self.shape[0], end - start), np.float32)
+            dense[self.rows[inside], self.places[inside].astype(np.int64) - start] = self.values[inside]
+            yield slice(start, end), dense
+
+    def products(self) -> np.ndarray:
+        """Products of all pairs of rows."""
+        out = np.zeros((self.shape[0], self.shape[0]), np.float32)
+        for _, dense in self.columns():
+            out += dense @ dense.T
+        return out
+
+    def right(self, dimensions: int) -> np.ndarray:
+        """The right singular vectors, in columns, of the largest singular values that are not zero."""
+        values, vectors = leading(self.products(), dimensions)
+        vectors = vectors[:, values > max(values[0], 1e-12) * 1e-5].astype(np.float32)
+        out = np.zeros((WIDTH, vectors.shape[1]), np.float32)
+        for at, dense in self.columns():
+            out[at] = dense.T @ vectors
+        return out / np.maximum(np.linalg.norm(out, axis=0), 1e-12)
+
+    def projected(self, projection: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.shape[0], projection.shape[1]), np.float32)
+        for at, dense in self.columns():
+            out += dense @ projection[at]
+        return out
+
+
+def leading(square: np.ndarray, count: int, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """The ``count`` largest eigenvalues, falling, of a symmetric matrix without negative ones, and their
+    vectors, by subspace iteration: a block of vectors is multiplied until its values stay."""
+    size = len(square)
+    width = min(size, count + 16)
+    block = np.linalg.qr(np.random.default_rng(5).standard_normal((size, width)))[0].astype(np.float32)
+    values = np.zeros(width)
+    for _ in range(rounds):
+        image = square @ block
+        found, turn = np.linalg.eigh((block.T @ image).astype(np.float64))
+        block = np.linalg.qr((image @ turn[:, ::-1]).astype(np.float64))[0].astype(np.float32)
+        before, values = values, found[::-1]
+        if np.abs(values - before)[:count].max() <= 1e-6 * max(values[0], 1e-30):
+            break
+    image = square @ block
+    values, turn = np.linalg.eigh((block.T @ image).astype(np.float64))
+    return values[::-1][:count], (block @ turn[:, ::-1])[:, :count]
 
 
 class Neighbours:
-    """Latent vectors of the labelled sample, and the votes of those nearest to a text."""
+    """Latent vectors of the labelled sample, and the votes of those nearest to a text. ``sample`` holds
+    packed rows, or rows of features."""
 
-    def __init__(self, sample: np.ndarray, labels: np.ndarray, share: float,
+    def __init__(self, sample: Sequence[bytes] | np.ndarray, labels: np.ndarray, share: float,
                  dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS, power: float = POWER):
-        present = (sample > 0).sum(axis=0)
-        self.weight = (1 + np.log((1 + len(sample)) / (1 + present))).astype(np.float32)
-        weighted = sample * self.weight
-        self.projection = _right(weighted, dimensions).astype(np.float32)
-        self.vectors = self._latent(weighted)
+        rows = _Sample([_packed(r) for r in sample] if isinstance(sample, np.ndarray) else sample)
+        self.weight = rows.weight
+        self.projection = rows.right(dimensions)
+        self.vectors = _unit(rows.projected(self.projection))
         self.labels = labels.astype(np.float32)
         good = labels.mean()
         # Votes count as if labels came in their natural shares.
         up, down = share / max(good, 1e-9), (1 - share) / max(1 - good, 1e-9)
         self.prior = np.where(labels == 1, up, down).astype(np.float32)
-        self.neighbours, self.power = min(neighbours, len(sample)), power
+        self.neighbours, self.power = min(neighbours, len(labels)), power
 
     def _latent(self, weighted: np.ndarray) -> np.ndarray:
-        latent = weighted @ self.projection
-        return latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+        return _unit(weighted @ self.projection)
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         """Share of the votes for label 1, for rows of features."""
@@ -171,6 +224,10 @@ class Neighbours:
         return work
 
 
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+
+
 def _packed(row: np.ndarray) -> bytes:
     """Places and values of what is not zero."""
     at = np.flatnonzero(row)
@@ -213,8 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     got = vectors.groupBy("id", "y").agg(F.min("v").alias("v")).orderBy("id", "y").collect()
     if not got:
         return None
-    matrix = np.stack([_unpacked(r["v"]) for r in got])
-    return Neighbours(matrix, np.array([r["y"] for r in got]), counts.get(1, 0) / sum(counts.values()))
+    return Neighbours([bytes(r["v"]) for r in got], np.array([r["y"] for r in got]), counts.get(1, 0) / sum(counts.values()))
 
 
 def with_quality(docs: DataFrame, model: Neighbours | None, text: str = "text",
