@@ -2,7 +2,7 @@
 
 The field reads a region (words with digits or ``@`` and what joins them) as a sequence of atoms:
 runs of letters, runs of digits, single other characters. A segment is up to ``MAX_ATOMS`` atoms and
-``MAX_CHARS`` characters; its score is the sum of weights of features of the whole span (shape, digit
+``MAX_CHARS`` characters, of digits enough for its type (see ``Atoms.segments``); its score is the sum of weights of features of the whole span (shape, digit
 count, checksum, octets, length, characters around it, word before it) for its type. Dynamic
 programming over all segmentations picks boundaries and types together. Weights are learned by
 gradient ascent of the conditional likelihood on regions in which the base patterns are the truth: a
@@ -10,17 +10,21 @@ bounded number of regions from the corpus (``SAMPLE_DOCS``, long ones in pieces)
 also hold the variants that the base patterns miss (telephone numbers without a plus, separated by
 dots or hyphens). A segment is added where it touches no base span; base spans always stay.
 
-Long regions are decoded as one sequence, ``STEP`` atoms at a time: a segment spans ``MAX_ATOMS`` at
-most, so the candidates of one step are held at a time, and of each atom only its best last segment.
+Regions of a batch are decoded together, in arrays, ``STEP`` atoms at a time; a region of any length is
+one sequence. Dynamic programming runs over the segments that are worth more than their atoms outside.
 
-Defined results: a null or empty text has no spans; equal texts have equal spans.
+Defined results: a null or empty text has no spans; equal texts have equal spans; bytes that are not
+UTF-8 count as U+FFFD.
 """
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import random
 import re
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,7 +38,10 @@ SAMPLE_DOCS = 1000
 SAMPLE_REGIONS = 300
 MAX_ATOMS = 16
 MAX_CHARS = 64
-STEP = 2048
+STEP = 16384
+#: Digits of a segment without ``@`` and dots: fewer or more make no telephone or card number.
+LEAST_DIGITS = 7
+MOST_DIGITS = 19
 TRAIN_CHARS = 400
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -92,17 +99,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-# ---------------------------------------------------------------- regions, atoms, features
+# ---------------------------------------------------------------- regions
 
-_REGION = re.compile(r"[^\s@0-9]*+[@0-9]\S*(?: {1,2}[^\s@0-9]*+[@0-9]\S*)*")
-_ATOM = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]", re.S)
-_RUN = re.compile(r"9+|a+")
-_WORD_BEFORE = re.compile(r"([^\W\d_]+)\W*\Z")
+#: Plain words with the space behind them, then a word with a digit or an ``@``.
+_NEXT = re.compile(r"(?:[^\s@0-9]*+\s)*+([^\s@0-9]*+[@0-9]\S*+)")
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches that can hold personal data."""
-    return [m.span() for m in _REGION.finditer(text)]
+    """Stretches that can hold personal data: words with digits or ``@``, joined where one or two spaces
+    part them. Every character is read once."""
+    out: list[tuple[int, int]] = []
+    match = _NEXT.match(text)
+    while match:
+        start, end = match.span(1)
+        if out and start - out[-1][1] <= 2 and not text[out[-1][1]:start].strip(" "):
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((start, end))
+        match = _NEXT.match(text, end)
+    return out
+
+
+def _hopeless(text: str, start: int, end: int) -> bool:
+    """Whether no segment of the region can be typed."""
+    digits = len(_DIGITS.sub("", text[start:end]))
+    return digits < LEAST_DIGITS and text.find("@", start, end) < 0 and (digits < 4 or text.count(".", start, end) < 3)
 
 
 def _train_pieces(text: str) -> list[tuple[int, int]]:
@@ -121,32 +142,169 @@ def _train_pieces(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def _shape(span: str) -> str:
-    """Letters a, digits 9, runs of up to four kept and longer ones marked."""
-    plain = re.sub("[0-9]", "9", re.sub("[A-Za-z]", "a", span))
-    return _RUN.sub(lambda m: m[0] if len(m[0]) <= 4 and m[0][0] == "9" else m[0][0] + ("" if m[0][0] == "a" else "+"), plain)
-
-
-def segment_features(text: str, start: int, end: int) -> list[str]:
-    """Features of a whole candidate span and of what stands around it."""
-    span = text[start:end]
-    digits = _DIGITS.sub("", span)
-    before, after = text[start - 1:start], text[end:end + 1]
-    outside = lambda c: "w" if c.isalnum() else "s" if not c or c.isspace() else c
-    parts = span.split(".")
-    word = _WORD_BEFORE.search(text[max(0, start - 16):start])
-    return [
-        "shape=" + _shape(span), f"digits={min(len(digits), 20)}", f"marks={''.join(sorted(set(re.sub('[A-Za-z0-9]', '', span))))[:6]}",
-        f"ends={outside(span[0])}{outside(span[-1])}", f"left={outside(before)}", f"right={outside(after)}",
-        f"luhn={14 <= len(digits) <= 19 and luhn(digits)}", f"octets={len(parts) == 4 and all(p.isascii() and p.isdigit() and _octet(p) for p in parts)}",
-        f"at={span.count('@')}:{bool(_DOMAIN.fullmatch(span.partition('@')[2]))}", f"size={min((end - start) // 4, 12)}",
-        f"word={word[1].lower() if word else ''}", f"letters={any(c.isalpha() for c in span)}",
-    ]
+# ---------------------------------------------------------------- atoms and features
 
+_WORD_BEFORE = re.compile(r"([^\W\d_]+)\W*\Z")
+_FEATURES = ("shape", "digits", "marks", "ends", "left", "right", "luhn", "octets", "at", "size", "word", "letters")
+_WINDOW = 16
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    x = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+
+
+class Atoms:
+    """The atoms of many regions, and the features of candidate segments, as integer codes in arrays.
+
+    Each region brings ``_WINDOW`` characters before it and one behind it; a line break stands where the
+    text has none. ``prefix`` sums over atoms give digits, marks and checksums of any segment.
+    """
+
+    def __init__(self, found: list[tuple[str, int, int]]):
+        parts = [("\n" + t[max(0, a - _WINDOW):a], t[a:b], t[b:b + 1] or "\n") for t, a, b in found]
+        self.text = "".join("".join(p) for p in parts)
+        codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        body = np.array([[len(x) for x in p] for p in parts], np.int64).reshape(-1, 3)
+        ends = body.sum(axis=1).cumsum()
+        self.origin = ends - body.sum(axis=1)
+        first, last = self.origin + body[:, 0], ends - body[:, 2]
+        distinct, which = np.unique(codes, return_inverse=True)
+        chars = [chr(c) for c in distinct.tolist()]
+        look = lambda test: np.array([test(c) for c in chars], bool)[which]
+        letter = ((codes | 32) >= 97) & ((codes | 32) <= 122) & (codes < 128)
+        digit = (codes >= 48) & (codes <= 57)
+        kind = np.where(letter, 1, np.where(digit, 2, 3))
+        word, space, alpha = look(str.isalnum), look(str.isspace), look(str.isalpha)
+        inside = np.zeros(len(codes) + 1, np.int64)
+        np.add.at(inside, first, 1)
+        np.add.at(inside, last, -1)
+        inside = inside.cumsum()[:-1] > 0
+        begins = inside & ((kind == 3) | (kind != np.roll(kind, 1)))
+        begins[first[first < last]] = True
+        self.at = np.flatnonzero(begins)
+        self.region = np.searchsorted(first, self.at, "right") - 1
+        self.end = np.minimum(np.append(self.at[1:], len(codes)), last[self.region])
+        #: Where a position of ``text`` lies in the text of its region.
+        self.shift = np.array([a for _, a, _ in found], np.int64)[self.region] - first[self.region]
+        n, self.kind = self.end - self.at, kind[self.at]
+        code = codes[self.at].astype(np.int64)
+        outside = np.where(word, 1, np.where(space, 2, codes.astype(np.int64) + 3))
+        self.space = space[self.at]
+        self.first_class, self.last_class = outside[self.at], outside[self.end - 1]
+        self.left, self.right = outside[self.at - 1], outside[self.end]
+        self.digits = np.where(self.kind == 2, n, 0)
+        self.dots, self.ats = (code == 46).astype(np.int64), (code == 64).astype(np.int64)
+        self.alpha = (self.kind == 1) | alpha[self.at]
+        self.shape = _mixed(np.where(self.kind == 3, code + 8, np.where(self.kind == 1, 1, 2 + np.minimum(n, 5))))
+        self.mark = np.where(self.kind == 3, _mixed(code), np.uint64(0))
+        order = np.lexsort((np.arange(len(code)), code))
+        self.same = np.full(len(code), -1)
+        again = (code[order][1:] == code[order][:-1]) & (self.kind[order][1:] == 3)
+        self.same[order[1:][again]] = order[:-1][again]
+        self._checksums(codes, digit)
+        self._octets(codes)
+        self._domains(code, n)
+        self.word = self._words(word)
+
+    def _checksums(self, codes: np.ndarray, digit: np.ndarray) -> None:
+        """Sums over the digits before each place, plain and doubled, by the parity of the digit's rank."""
+        value = np.where(digit, codes.astype(np.int64) - 48, 0)
+        self.rank = np.concatenate([[0], digit.cumsum()])
+        doubled = value * 2 - 9 * (value > 4)
+        even = digit & (self.rank[:-1] % 2 == 0)
+        sums = [np.concatenate([[0], np.where(side, v, 0).cumsum()]) for side in (even, digit & ~even) for v in (value, doubled)]
+        self.sums = np.stack(sums).reshape(2, 2, -1)
+
+    def _octets(self, codes: np.ndarray) -> None:
+        """Whether an atom is a number of at most 255, with any zeros before it."""
+        self.octet = np.zeros(len(self.at), bool)
+        numbers = np.flatnonzero(self.kind == 2)
+        value = np.zeros(len(numbers), np.int64)
+        end = self.end[numbers]
+        for back in (3, 2, 1):
+            at = end - back
+            value = value * 10 + np.where(at >= self.at[numbers], codes[np.maximum(at, 0)].astype(np.int64) - 48, 0)
+        length = end - self.at[numbers]
+        self.octet[numbers] = (value <= 255) & (length <= 3)
+        for k in np.flatnonzero(length > 3).tolist():
+            self.octet[numbers[k]] = _octet(self.text[self.at[numbers[k]]:end[k]])
+
+    def _domains(self, code: np.ndarray, n: np.ndarray) -> None:
+        """For each atom: whether what stands from behind the last ``@`` to its end is a domain."""
+        self.domain = np.zeros(len(code), bool)
+        label = (self.kind != 3) | (code == 45)
+        for at in np.flatnonzero(self.ats).tolist():
+            held, dots = False, 0
+            for k in range(at + 1, min(at + MAX_ATOMS, len(code))):
+                if self.region[k] != self.region[at] or not (label[k] or code[k] == 46 and held):
+                    break
+                held = bool(label[k])
+                dots += not held
+                self.domain[k] = held and dots > 0
+
+    def _words(self, word: np.ndarray) -> np.ndarray:
+        """Code of the word before each atom, 0 for none."""
+        codes, out = {"": 0}, np.zeros(len(self.at), np.int64)
+        before = np.maximum.accumulate(np.where(word, np.arange(len(word)), -1))
+        nearest = before[self.at - 1]
+        origin = self.origin[self.region]
+        for k in np.flatnonzero((nearest >= np.maximum(origin, self.at - _WINDOW)) & (nearest >= 0)).tolist():
+            if self.text[nearest[k]].isdecimal():
+                continue
+            match = _WORD_BEFORE.search(self.text[max(origin[k], self.at[k] - _WINDOW):self.at[k]])
+            if match:
+                out[k] = codes.setdefault(match[1].lower(), zlib.crc32(match[1].lower().encode("utf-8", "surrogatepass")) + 1)
+        return out
 
-def atoms(text: str, start: int, end: int) -> list[int]:
-    """Bounds of the atoms of a region."""
-    return [start] + [m.end() for m in _ATOM.finditer(text, start, end)]
+    def segments(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(from, to)`` of the candidates that start at the atoms ``first`` to ``last - 1``, and a code
+        per feature. Single atoms are all candidates. Longer segments have to be typed, so only those are
+        that begin and end without a space and hold an ``@``, digits enough, or three dots and four digits."""
+        i = np.arange(first, last)
+        shape, marks = np.zeros(len(i), np.uint64), np.zeros(len(i), np.uint64)
+        digits, dots, ats, alpha = (np.zeros(len(i), np.int64) for _ in range(4))
+        out_i, out_j, rows = [], [], []
+        for length in range(1, MAX_ATOMS + 1):
+            a = i + length - 1
+            alive = a < len(self.at)
+            alive[alive] &= (self.region[a[alive]] == self.region[i[alive]]) & (
+                (length == 1) | (self.end[a[alive]] - self.at[i[alive]] <= MAX_CHARS) & ~self.space[i[alive]])
+            i, a = i[alive], a[alive]
+            if not len(i):
+                break
+            with np.errstate(over="ignore"):
+                shape = shape[alive] * _BASE + self.shape[a]
+                marks = marks[alive] + np.where(self.same[a] < i, self.mark[a], np.uint64(0))
+            digits, dots = digits[alive] + self.digits[a], dots[alive] + self.dots[a]
+            ats, alpha = ats[alive] + self.ats[a], alpha[alive] + self.alpha[a]
+            hope = (ats > 0) | (digits >= LEAST_DIGITS) & (digits <= MOST_DIGITS) | (dots == 3) & (digits >= 4)
+            take = np.flatnonzero(hope & ~self.space[a] | (length == 1))
+            if not len(take):
+                continue
+            ii, aa, d, n_at = i[take], a[take], digits[take], ats[take]
+            start, end = self.at[ii], self.end[aa]
+            octets = np.zeros(len(ii), bool)
+            if length == 7:
+                octets = (dots[take] == 3) & np.logical_and.reduce([self.octet[ii + k] for k in (0, 2, 4, 6)])
+                octets &= np.logical_and.reduce([self.dots[ii + k] == 1 for k in (1, 3, 5)])
+            rows.append(np.stack([
+                shape[take].view(np.int64), np.minimum(d, 20), marks[take].view(np.int64),
+                self.first_class[ii] * (1 << 22) + self.last_class[aa], self.left[ii], self.right[aa],
+                self._luhn(start, end, d), octets, n_at * 2 + ((n_at == 1) & self.domain[aa]),
+                np.minimum((end - start) // 4, 12), self.word[ii], alpha[take] > 0]).astype(np.int64))
+            out_i.append(ii)
+            out_j.append(aa + 1)
+        if not rows:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(_FEATURES)), np.int64)
+        return np.concatenate(out_i), np.concatenate(out_j), np.concatenate(rows, axis=1).T
+
+    def _luhn(self, start: np.ndarray, end: np.ndarray, digits: np.ndarray) -> np.ndarray:
+        last = (self.rank[end] - 1) % 2
+        plain = self.sums[last, 0, end] - self.sums[last, 0, start]
+        doubled = self.sums[1 - last, 1, end] - self.sums[1 - last, 1, start]
+        return (digits >= 14) & (digits <= 19) & ((plain + doubled) % 10 == 0)
 
 
 class Field:
@@ -155,73 +313,114 @@ class Field:
     types = 1 + len(KINDS)
 
     def __init__(self):
-        self.index: dict[str, int] = {}
+        self.codes: list[np.ndarray] = [np.zeros(0, np.int64) for _ in _FEATURES]
         self.weights = np.zeros((1, self.types))
 
-    def lattice(self, text: str, start: int, end: int, grow: bool = False):
+    def _numbers(self, rows: np.ndarray) -> np.ndarray:
+        """Feature numbers of feature codes; 0 for those never seen."""
+        out, before = np.zeros(rows.shape, np.int64), 1
+        for f, known in enumerate(self.codes):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, rows[:, f]), len(known) - 1)
+                out[:, f] = np.where(known[at] == rows[:, f], at + before, 0)
+            before += len(known)
+        return out
+
+    def lattice(self, text: str, start: int, end: int):
         """Atom bounds, segments ``(from, to)`` ordered by end, and their feature numbers."""
-        bounds = atoms(text, start, end)
-        return bounds, *self.candidates(text, bounds, 1, len(bounds), grow)
-
-    def candidates(self, text: str, bounds: list[int], first: int, last: int, grow: bool = False):
-        """Segments that end at the bounds ``first`` to ``last - 1``, and their feature numbers."""
-        segments, rows = [], []
-        for j in range(first, last):
-            for i in range(j - 1, max(-1, j - 1 - MAX_ATOMS), -1):
-                if j - i > 1 and (bounds[j] - bounds[i] > MAX_CHARS or not text[bounds[i]:bounds[i] + 1].strip()):
-                    continue
-                segments.append((i, j))
-                names = segment_features(text, bounds[i], bounds[j])
-                if grow:
-                    for n in names:
-                        self.index.setdefault(n, len(self.index) + 1)
-                rows.append([self.index.get(n, 0) for n in names])
-        return segments, np.array(rows)
-
-    def scores(self, segments: list, rows: np.ndarray) -> np.ndarray:
-        out = self.weights[rows].sum(axis=1)
-        out[[j - i > 1 for i, j in segments], 0] = -np.inf  # outside is one atom at a time
+        atoms = Atoms([(text, start, end)])
+        i, j, rows = atoms.segments(0, len(atoms.at))
+        order = np.lexsort((-i, j))
+        bounds = [start, *(atoms.end + atoms.shift).tolist()]
+        return bounds, list(zip(i[order].tolist(), j[order].tolist())), self._numbers(rows[order])
+
+    def scores(self, segments: list | np.ndarray, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), self.types))
+        for f in range(rows.shape[1]):
+            out += self.weights[rows[:, f]]
+        spans = np.asarray(segments).reshape(-1, 2)
+        out[spans[:, 1] - spans[:, 0] > 1, 0] = -np.inf  # outside is one atom at a time
         return out
 
+    def decode_all(self, found: list[tuple[str, int, int]]) -> list[list[tuple[int, int, int]]]:
+        """Best segmentation of each region: ``(start, kind, end)`` of its typed segments.
+
+        All atoms can stay outside, so only a segment that is worth more than its atoms outside can be
+        part of the best segmentation; dynamic programming runs over those."""
+        out: list[list[tuple[int, int, int]]] = [[] for _ in found]
+        if not found:
+            return out
+        atoms = Atoms(found)
+        alone = np.zeros(len(atoms.at) + 1)
+        better: list[tuple[np.ndarray, ...]] = []
+        held: list[tuple[np.ndarray, ...]] = []
+        for first in range(0, len(atoms.at), STEP):
+            i, j, rows = atoms.segments(first, min(first + STEP, len(atoms.at)))
+            score = self.scores(np.stack([i, j], axis=1), self._numbers(rows))
+            single = j - i == 1
+            alone[i[single] + 1] = score[single, 0]
+            kind = score[:, 1:].argmax(axis=1) + 1
+            held.append((i, j, kind, score[np.arange(len(kind)), kind]))
+        alone = alone.cumsum()
+        for i, j, kind, value in held:
+            gain = value - (alone[j] - alone[i])
+            keep = gain > 1e-12
+            better.append((j[keep], -i[keep], kind[keep], gain[keep]))
+        j, i, kind, gain = (np.concatenate(x) for x in zip(*better))
+        order = np.lexsort((i, j))
+        ends, worth, back = [0], [0.0], [None]  # the best up to each atom at which something better ends
+        for jj, ii, k, g in zip(j[order].tolist(), (-i[order]).tolist(), kind[order].tolist(), gain[order].tolist(), strict=True):
+            at = bisect.bisect_right(ends, ii) - 1
+            if worth[at] + g > worth[-1]:
+                state = (worth[at] + g, (at, ii, jj, k))
+                if ends[-1] == jj:
+                    worth[-1], back[-1] = state
+                else:
+                    ends.append(jj)
+                    worth.append(state[0])
+                    back.append(state[1])
+        at = len(ends) - 1
+        while back[at]:
+            at, ii, jj, k = back[at]
+            shift = int(atoms.shift[ii])
+            out[int(atoms.region[ii])].append((int(atoms.at[ii]) + shift, k - 1, int(atoms.end[jj - 1]) + shift))
+        return [spans[::-1] for spans in out]
+
     def decode(self, text: str, start: int, end: int) -> list[tuple[int, int, int]]:
-        """Best segmentation: ``(start, kind, end)`` of its typed segments."""
-        bounds = atoms(text, start, end)
-        best, back = [0.0] + [-np.inf] * (len(bounds) - 1), [(0, 0)] * len(bounds)
-        for first in range(1, len(bounds), STEP):
-            segments, rows = self.candidates(text, bounds, first, min(first + STEP, len(bounds)))
-            score = self.scores(segments, rows)
-            for (i, j), kind, value in zip(segments, score.argmax(axis=1).tolist(), score.max(axis=1).tolist(), strict=True):
-                if best[i] + value > best[j]:
-                    best[j], back[j] = best[i] + value, (i, kind)
-        out, j = [], len(bounds) - 1
-        while j:
-            i, kind = back[j]
-            if kind:
-                out.append((bounds[i], kind - 1, bounds[j]))
-            j = i
-        return out[::-1]
+        return self.decode_all([(text, start, end)])[0]
 
     def fit(self, examples: list[tuple[str, int, int, list[tuple[int, int, int]]]], rounds: int = 12,
             rate: float = 0.3, decay: float = 1e-3) -> Field:
         """Stochastic gradient ascent of the conditional likelihood of the given segmentations."""
+        atoms = Atoms([e[:3] for e in examples])
+        i, j, rows = atoms.segments(0, len(atoms.at))
+        order = np.lexsort((-i, j))
+        i, j, rows = i[order], j[order], rows[order]
+        self.codes = [np.unique(rows[:, f]) for f in range(rows.shape[1])]
+        rows = self._numbers(rows)
         work = []
-        for text, start, end, spans in examples:
-            bounds, segments, rows = self.lattice(text, start, end, grow=True)
-            at = {b: k for k, b in enumerate(bounds)}
-            wanted = {(at[a], at[b]): k + 1 for a, k, b in spans if a in at and b in at}
-            inside = {k for i, j in wanted for k in range(i, j)}
-            truth = [wanted.get((i, j), 0 if j - i == 1 and i not in inside else -1) for i, j in segments]
-            if all(s in set(segments) for s in wanted):
-                work.append((len(bounds), segments, rows, np.array(truth)))
-        self.weights = np.zeros((len(self.index) + 1, self.types))
-        order = random.Random(7)
+        # Segments lie by end, so those of a region lie together.
+        cuts = np.searchsorted(atoms.region[i], np.arange(len(examples) + 1))
+        starts = np.searchsorted(atoms.region, np.arange(len(examples) + 1))
+        for e, (_, _, _, spans) in enumerate(examples):
+            low, high, base = cuts[e], cuts[e + 1], starts[e]
+            begin = {int(p + s): k for k, (p, s) in enumerate(zip(atoms.at[base:starts[e + 1]], atoms.shift[base:starts[e + 1]]))}
+            close = {int(p + s): k + 1 for k, (p, s) in enumerate(zip(atoms.end[base:starts[e + 1]], atoms.shift[base:starts[e + 1]]))}
+            segments = list(zip((i[low:high] - base).tolist(), (j[low:high] - base).tolist()))
+            wanted = {(begin[a], close[b]): k + 1 for a, k, b in spans if a in begin and b in close}
+            covered = {k for a, b in wanted for k in range(a, b)}
+            truth = [wanted.get((a, b), 0 if b - a == 1 and a not in covered else -1) for a, b in segments]
+            if segments and all(s in set(segments) for s in wanted):
+                work.append((int(starts[e + 1] - base) + 1, segments, rows[low:high], np.array(truth)))
+        self.weights = np.zeros((sum(map(len, self.codes)) + 1, self.types))
+        draw = random.Random(7)
         for _ in range(rounds):
-            order.shuffle(work)
-            for n, segments, rows, truth in work:
-                score = self.scores(segments, rows)
+            draw.shuffle(work)
+            for n, segments, numbers, truth in work:
+                score = self.scores(segments, numbers)
                 chance = _marginals(n, segments, score)
                 chance[truth >= 0, truth[truth >= 0]] -= 1
-                np.add.at(self.weights, rows, -rate / rows.shape[1] * chance[:, None, :])
+                np.add.at(self.weights, numbers, -rate / numbers.shape[1] * chance[:, None, :])
                 self.weights[0] = 0
             self.weights *= 1 - decay
         return self
@@ -291,7 +490,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
         for batch in batches:
             out = []
             for raw in utf8(batch.column(0)):
-                chars = raw.decode()
+                chars = raw.decode("utf-8", "replace")
                 out += [chars[max(0, a - 20):b + 2] for a, b in _train_pieces(chars)[:2]]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["region"])
 
@@ -303,34 +502,71 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
 
 
 _CANDIDATE = re.compile(rb"[0-9@]")
+#: Characters of regions decoded together.
+TOGETHER = 1 << 18
+
+
+class _Cover:
+    """Answers whether a base span overlaps or holds a stretch, from the furthest end of all earlier ones."""
+
+    def __init__(self, base: list[tuple[int, int, int]]):
+        self.starts = [a for a, _, _ in base]
+        self.reach = list(itertools.accumulate((b for _, _, b in base), max))
+
+    def holds(self, start: int, end: int) -> bool:
+        at = bisect.bisect_right(self.starts, start)
+        return at > 0 and self.reach[at - 1] >= end
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect.bisect_left(self.starts, end)
+        return at > 0 and self.reach[at - 1] > start
+
+
+def all_spans_of(texts: list[str], field: Field) -> list[tuple[list, list]]:
+    """Base spans of each text, and base spans with the added ones. Regions of many texts are decoded together."""
+    bases = [base_spans(t) for t in texts]
+    covers, both = [_Cover(b) for b in bases], [list(b) for b in bases]
+
+    def settle(found: list[tuple[int, int, int]]) -> None:
+        for (n, _, _), spans in zip(found, field.decode_all([(texts[n], a, b) for n, a, b in found]), strict=True):
+            both[n] += [s for s in spans if not covers[n].meets(s[0], s[2])]
+
+    waiting, chars = [], 0
+    for n, text in enumerate(texts):
+        for start, end in regions(text):
+            # A region that a base span fills has nothing to add.
+            if not covers[n].holds(start, end) and not _hopeless(text, start, end):
+                waiting.append((n, start, end))
+                chars += end - start
+                if chars > TOGETHER:
+                    settle(waiting)
+                    waiting, chars = [], 0
+    settle(waiting)
+    return [(base, sorted(all_)) for base, all_ in zip(bases, both, strict=True)]
 
 
 def all_spans(text: str, field: Field) -> tuple[list, list]:
     """Base spans, and base spans with the added ones."""
-    base = base_spans(text)
-    added = []
-    for start, end in regions(text):
-        # A region that base spans fill has nothing to add.
-        if any(a <= start and end <= b for a, _, b in base):
-            continue
-        for a, kind, b in field.decode(text, start, end):
-            if not any(x < b and a < y for x, _, y in base):
-                added.append((a, kind, b))
-    return base, sorted(base + added)
+    return all_spans_of([text], field)[0]
 
 
 def _dicts(spans: list[tuple[int, int, int]]) -> list[dict]:
     return [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans]
 
 
+def _spans_where(texts: list[bytes], field: Field) -> Iterator[tuple[str, list, list]]:
+    """Each text with its spans; texts without a digit or ``@`` have none."""
+    chars = [t.decode("utf-8", "replace") for t in texts]
+    at = [n for n, t in enumerate(texts) if _CANDIDATE.search(t)]
+    made = dict(zip(at, all_spans_of([chars[n] for n in at], field), strict=True))
+    for n, text in enumerate(chars):
+        yield text, *made.get(n, ([], []))
+
+
 def find(field: Field) -> Callable[[], Callable[[list[bytes]], list]]:
     def work(texts: list[bytes]) -> list:
-        base, both = [], []
-        for t in texts:
-            made = all_spans(t.decode(), field) if _CANDIDATE.search(t) else ([], [])
-            base.append(_dicts(made[0]))
-            both.append(_dicts(made[1]))
-        return [base, both]
+        found = list(_spans_where(texts, field))
+        return [[_dicts(base) for _, base, _ in found], [_dicts(both) for _, _, both in found]]
 
     return lambda: work
 
@@ -343,15 +579,19 @@ def with_pii(docs: DataFrame, field: Field, text: str = "text", name: str = "_pi
 def with_masked(docs: DataFrame, field: Field, text: str = "text", name: str = "_masked", keep: list[str] | None = None) -> tuple[DataFrame, str]:
     """All columns and a struct with the text in which every span reads ``[KIND]``."""
     def work(texts: list[bytes]) -> list:
-        return [[mask(t.decode(), field) if _CANDIDATE.search(t) else t.decode() for t in texts]]
+        return [[_masked(t, both) for t, _, both in _spans_where(texts, field)]]
 
     return map_texts(docs, text, lambda: work, "text string", name, keep)
 
 
 def mask(text: str, field: Field) -> str:
+    return _masked(text, all_spans(text, field)[1])
+
+
+def _masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     """Overlapping spans are masked as one, under the kind of the first."""
     out, last = [], 0
-    for a, kind, b in all_spans(text, field)[1]:
+    for a, kind, b in spans:
         if a >= last:
             out += [text[last:a], f"[{KINDS[kind].upper()}]"]
         last = max(last, b)
