@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import (
-    archives, decontaminate, pieces, pii, quality, reshard, secrets, simhash, tokentree, topk,
+    archives, decontaminate, pieces, pii, quality, reshard, runs, secrets, simhash, tokentree, topk,
 )
 from quern.llm.common import fresh_path, read_table, stored, text_or_empty
 
@@ -172,7 +172,42 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(secrets.spans_text(base), 256).alias("base_sha256"), secrets.spans_text(spans).alias("spans"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", runs.folded("text", "doc_id").alias("text"))
+    rows, name = runs.with_runs(docs, keep=["doc_id"])
+    found = F.col(name)["runs"]
+    rows = rows.select(
+        "doc_id", F.size(found).cast("bigint").alias("n_runs"), runs.longest(found).alias("best"),
+        F.sha2(runs.lines(found), 256).alias("runs_sha256"), F.sha2(F.col(name)["collapsed"], 256).alias("collapsed_sha256"))
+    return rows.selectExpr(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", "1000 * best.length div best.period as exponent_milli",
+        "runs_sha256", "collapsed_sha256")
+
+
+_CRC = """xor(list_reduce(list_prepend(4294967295::ubigint, flatten(list_transform(string_split(doc_id::varchar, ''),
+    lambda c: list_transform(range(0, 8), lambda k: ((ascii(c) >> k::int) & 1)::ubigint)))),
+    lambda c, b: case when (xor(c, b) & 1::ubigint) = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end), 4294967295::ubigint)::bigint"""
+OP13 = f"""
+    with d as (select doc_id, {_CRC} as h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+    p as (select *, h // 10 as g, len(w) as n from d),
+    a as (select *, g % n as a from p where h % 10 = 0 and n > 0),
+    t as (select doc_id, w from p where h % 10 <> 0 or n = 0 union all
+          select doc_id, list_transform(range(0, n), lambda i: w[1 + case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + g % 8)) end]) from a),
+    x as (select doc_id, n, unnest(w) as word, unnest(range(0, n)) as i from (select doc_id, w, len(w) as n from t)),
+    e as (select l.doc_id, r.i - l.i as q, l.i from x l join x r on l.doc_id = r.doc_id and l.word = r.word and r.i > l.i and 2 * (r.i - l.i) <= l.n),
+    s as (select doc_id, q, min(i) as start, count(*) + q as length
+          from (select *, i - row_number() over (partition by doc_id, q order by i) as island from e) group by doc_id, q, island),
+    f as (select doc_id, start, length, min(q) as period from s where length >= greatest(12, 2 * q) group by doc_id, start, length),
+    b as (select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as listed,
+            first({{'start': start, 'length': length, 'period': period}} order by length desc, start, period) as best from f group by doc_id),
+    c as (select distinct doc_id, unnest(range(start + period, start + length)) as i from f),
+    k as (select x.doc_id, string_agg(word, ' ' order by x.i) as kept from x left join c on x.doc_id = c.doc_id and x.i = c.i where c.i is null group by x.doc_id)
+    select t.doc_id, coalesce(n_runs, 0)::bigint as n_runs, best.start::bigint as start, best.length::bigint as length, best.period::bigint as period,
+      (1000 * best.length // best.period)::bigint as exponent_milli, sha256(coalesce(listed, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
+    from t left join b using (doc_id) left join k using (doc_id)"""
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_arc_to_warc, op2_reshard, op3_sentencepiece, op4_decontaminate, op5_top_k, op6_secret_ledger, op7_simhash,
-    op8_quality, op9_edit_counts, op10_personal_data)}
-SQL = {"op1_arc_to_warc": OP1, "op4_decontaminate": OP4, "op5_top_k": OP5, "op6_secret_ledger": OP6}
+    op8_quality, op9_edit_counts, op10_personal_data, op13_periodic_runs)}
+SQL = {"op1_arc_to_warc": OP1, "op4_decontaminate": OP4, "op5_top_k": OP5, "op6_secret_ledger": OP6, "op13_periodic_runs": OP13}
