@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import (
-    archives, decontaminate, pieces, pii, quality, reshard, runs, secrets, simhash, tokentree, topk,
+    archives, decontaminate, hosts, pieces, pii, quality, reshard, runs, secrets, simhash, tokentree, topk,
 )
 from quern.llm.common import fresh_path, read_table, stored, text_or_empty
 
@@ -172,6 +172,54 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(secrets.spans_text(base), 256).alias("base_sha256"), secrets.spans_text(spans).alias("spans"))
 
 
+def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures are written once, without texts; counts by host and verdicts read that table."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows, name = hosts.measured(docs)
+    rows = stored(rows.drop("text"), "measures")
+    rows, kept = hosts.judged(rows, name, hosts.condemned(rows, name))
+    got = F.col(name)
+    return rows.select("doc_id", *(got[m].alias(m) for m in hosts.MEASURES), got["base_failed"].alias("base_failed"), F.col(kept).alias("kept"))
+
+
+_RULES = {
+    "short": f"n_words < {hosts.STRICT_WORDS}",
+    "repeats": f"100 * n_repeat_words > {hosts.STRICT_REPEATED} * n_words",
+    "symbols": f"100 * n_symbols > {hosts.SYMBOLS} * word_chars",
+    "lines": f"n_dup_lines > 0 and 100 * n_dup_lines >= {hosts.LINES} * n_lines",
+    "lengths": f"not unspaced and (word_chars < {hosts.LENGTHS[0]} * n_words or word_chars > {hosts.LENGTHS[1]} * n_words)",
+}
+
+
+def _shrunk(r: str) -> str:
+    share = f"(ff_{r} - n * m_{r} * m_{r} - (hosts - 1) * m_{r} * (1 - m_{r})) / (m_{r} * (1 - m_{r}) * (n - nn / n - (hosts - 1)))"
+    ok = f"m_{r} > 0 and m_{r} < 1 and hosts > 1 and n - nn / n - (hosts - 1) > 0"
+    weight = f"case when {ok} and {share} > 1e-12 then round(least(greatest(1 / ({share}) - 1, 0), n), 6) else n end"
+    return f"select host, round((f_{r} + m_{r} * w) / (h.n + w), 9) > {hosts.LIMIT} as bad_{r} from h, (select *, {weight}::double as w from s)"
+
+
+OP12 = rf"""
+    with d as (select doc_id, source as host, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+                 list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from documents),
+    g as (select doc_id, i, array_to_string(w[i:i + 4], ' ') as p from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from d where len(w) > 5)),
+    r as (select doc_id, count(distinct place) as n from (
+            select doc_id, unnest(range(i, i + 5)) as place from (select doc_id, i, count(*) over (partition by doc_id, p) as k from g) where k > 1) group by doc_id),
+    v as (select doc_id, host, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+            len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines,
+            coalesce(r.n, 0)::bigint as n_repeat_words, len(l) as n_lines,
+            regexp_matches(t, '[\x{{0E00}}-\x{{0EFF}}\x{{1000}}-\x{{109F}}\x{{1780}}-\x{{17FF}}\x{{3040}}-\x{{30FF}}\x{{3400}}-\x{{4DBF}}\x{{4E00}}-\x{{9FFF}}]') as unspaced
+          from d left join r using (doc_id)),
+    f as (select *, n_words < {hosts.LEAST_WORDS} or 100 * n_repeat_words > {hosts.REPEATED} * n_words as base_failed,
+            {', '.join(f'({c}) as x_{r}' for r, c in _RULES.items())} from v),
+    h as (select host, count(*) as n, {', '.join(f'count(*) filter (x_{r}) as f_{r}' for r in hosts.RULES)} from f where host is not null group by host),
+    s as (select *, {', '.join(f'sf_{r} / n as m_{r}' for r in hosts.RULES)} from (select count(*) as hosts, sum(n) as n, sum(n::double * n) as nn,
+            {', '.join(f'sum(f_{r}) as sf_{r}, sum(f_{r}::double * f_{r} / n) as ff_{r}' for r in hosts.RULES)} from h)),
+    {', '.join(f'b_{r} as ({_shrunk(r)})' for r in hosts.RULES)}
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      not base_failed and not ({' or '.join(f'(x_{r} and coalesce(bad_{r}, false))' for r in hosts.RULES)}) as kept
+    from f {' '.join(f'left join b_{r} using (host)' for r in hosts.RULES)}"""
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", runs.folded("text", "doc_id").alias("text"))
     rows, name = runs.with_runs(docs, keep=["doc_id"])
@@ -187,7 +235,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CRC = """xor(list_reduce(list_prepend(4294967295::ubigint, flatten(list_transform(string_split(doc_id::varchar, ''),
     lambda c: list_transform(range(0, 8), lambda k: ((ascii(c) >> k::int) & 1)::ubigint)))),
     lambda c, b: case when (xor(c, b) & 1::ubigint) = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end), 4294967295::ubigint)::bigint"""
-OP13 = f"""
+OP13 = rf"""
     with d as (select doc_id, {_CRC} as h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
     p as (select *, h // 10 as g, len(w) as n from d),
     a as (select *, g % n as a from p where h % 10 = 0 and n > 0),
@@ -209,5 +257,5 @@ OP13 = f"""
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_arc_to_warc, op2_reshard, op3_sentencepiece, op4_decontaminate, op5_top_k, op6_secret_ledger, op7_simhash,
-    op8_quality, op9_edit_counts, op10_personal_data, op13_periodic_runs)}
-SQL = {"op1_arc_to_warc": OP1, "op4_decontaminate": OP4, "op5_top_k": OP5, "op6_secret_ledger": OP6, "op13_periodic_runs": OP13}
+    op8_quality, op9_edit_counts, op10_personal_data, op12_host_rules, op13_periodic_runs)}
+SQL = {"op1_arc_to_warc": OP1, "op4_decontaminate": OP4, "op5_top_k": OP5, "op6_secret_ledger": OP6, "op12_host_rules": OP12, "op13_periodic_runs": OP13}
