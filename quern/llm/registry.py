@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import (
-    archives, decontaminate, hosts, pieces, pii, quality, reshard, runs, secrets, simhash, tokentree, topk,
+    archives, decontaminate, hosts, pieces, pii, quality, reshard, runs, secrets, simhash, tokentree, topk, whitening,
 )
 from quern.llm.common import fresh_path, read_table, stored, text_or_empty
 
@@ -172,6 +172,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(secrets.spans_text(base), 256).alias("base_sha256"), secrets.spans_text(spans).alias("spans"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures are written once, without texts; counts by host and verdicts read that table."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -257,5 +262,5 @@ OP13 = rf"""
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_arc_to_warc, op2_reshard, op3_sentencepiece, op4_decontaminate, op5_top_k, op6_secret_ledger, op7_simhash,
-    op8_quality, op9_edit_counts, op10_personal_data, op12_host_rules, op13_periodic_runs)}
+    op8_quality, op9_edit_counts, op10_personal_data, op11_whitening, op12_host_rules, op13_periodic_runs)}
 SQL = {"op1_arc_to_warc": OP1, "op4_decontaminate": OP4, "op5_top_k": OP5, "op6_secret_ledger": OP6, "op12_host_rules": OP12, "op13_periodic_runs": OP13}
