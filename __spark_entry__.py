@@ -15,6 +15,7 @@ from quern.functions import chat, shingles, text as tx
 from quern.functions.tokens import CharTokenizer, WhitespaceTokenizer, mlm_mask, truncate, with_special
 from quern.operators import filters, order, vocab
 from quern.operators.blocks import pack_blocks
+from quern.operators.bpe import train_bpe
 from quern.operators.dedup import dedup_exact
 from quern.operators.neardup import dedup_near
 from quern.plans import line_corpus, preferences, text_cleaning, training_sets
@@ -954,46 +955,127 @@ def bpe_pairs(spark, sf_dir):
 
 
 BPE_MERGES = 100
-
-
-@query("bpe_vocab", rf"""
-    with recursive {LINES}, nl as (select {norm('line')} as text from lines),
-    wc as materialized (select word, count(*) as freq from (
-      select unnest(string_split(regexp_replace(text, '(\p{{Nd}})', ' \1 ', 'g'), ' ')) as word from nl) where word <> '' group by word),
-    cc as (select char, count(*) as freq from (select unnest(string_split(text, '')) as char from nl) where char not in ('', ' ') group by char),
+NORM_KNOWN = f"""known as materialized (select distinct token from (
+      select unnest(string_split({norm('text')}, ' ')) as token from benchmark) where token <> '')"""
+
+
+def bpe_steps(merges: int) -> str:
+    """The word table after each merge, one pair at a time: ``step`` (k, word, freq, s and the pair merged)."""
+    return rf"""{LINES}, bl as (select doc_id, line_no, {norm('line')} as text from lines),
+    bw as materialized (select doc_id, line_no, word, pos from (
+      select doc_id, line_no, unnest(c) as word, generate_subscripts(c, 1) - 1 as pos from (
+        select doc_id, line_no, list_filter(string_split(regexp_replace(text, '(\p{{Nd}})', ' \1 ', 'g'), ' '), lambda x: x <> '') as c from bl))),
+    wc as materialized (select word, count(*) as freq from bw group by word),
+    cc as (select char, count(*) as freq from (select unnest(string_split(text, '')) as char from bl) where char not in ('', ' ') group by char),
     cv as (select char, freq, coalesce(sum(freq) over (order by freq desc, char rows between unbounded preceding and 1 preceding), 0) as before,
       sum(freq) over () as total from cc),
     cover as (select char as known from cv where before < total * 0.9995),
     ch as (select word, freq, unnest(string_split(word, '')) as c, generate_subscripts(string_split(word, ''), 1) as i from wc),
-    w as materialized (select freq, string_agg(case when known is not null then chr(1) || c || chr(1) else
+    w as materialized (select word, freq, string_agg(case when known is not null then chr(1) || c || chr(1) else
         array_to_string(list_transform(range(1, strlen(c) + 1), lambda j: chr(1) || '<0x' || hex(encode(c))[2 * j - 1:2 * j] || '>' || chr(1)), '')
         end, '' order by i) as s
       from ch left join cover on c = known group by word, freq),
     step as (
-      select 0 as k, freq, s, null::varchar as l, null::varchar as r, null::hugeint as n from w
+      select 0 as k, word, freq, s, null::varchar as l, null::varchar as r, null::hugeint as n from w
       union all
-      select k + 1, step.freq, replace(s, chr(1) || t.l || chr(1) || chr(1) || t.r || chr(1), chr(1) || t.l || t.r || chr(1)), t.l, t.r, t.n
+      select k + 1, word, step.freq, replace(s, chr(1) || t.l || chr(1) || chr(1) || t.r || chr(1), chr(1) || t.l || t.r || chr(1)), t.l, t.r, t.n
       from step, (
         select p[1] as l, p[2] as r, sum(freq) as n from (
           select freq, unnest(list_transform(range(1, len(c)), lambda i: [c[i], c[i + 1]])) as p
           from (select freq, string_split(trim(s, chr(1)), chr(1) || chr(1)) as c from step)) group by p
         order by n desc, l, r limit 1) t
-      where k < {BPE_MERGES})
-    select distinct (k - 1)::int as rank, l as "left", r as "right", l || r as token, n::bigint as freq from step where k > 0""")
-def bpe_vocab(spark, sf_dir):
+      where k < {merges})"""
+
+
+BPE_PIECES = f"""{bpe_steps(BPE_MERGES)},
+    pieces as materialized (select word, freq, string_split(trim(s, chr(1)), chr(1) || chr(1)) as pieces from step where k = {BPE_MERGES})"""
+
+
+def bpe_model(spark, sf_dir, **options):
     """Merges over every line of every document; no line is too long. The SQL merges one pair at a time."""
     lines = tx.explode_lines(docs(spark, sf_dir), "text", ["doc_id"])
     rows = lines.select(tx.once(tx.normalize_text("line")).alias("line"))
     words = materialize(vocab.word_counts(rows, "line"), "words")
     symbols = vocab.word_symbols(words, vocab.char_vocab(rows, "line", 0.9995))
-    return vocab.learn_bpe(symbols, merges=BPE_MERGES)
+    return train_bpe(symbols, **(options or {"merges": BPE_MERGES}))
+
+
+@query("bpe_vocab", f"""
+    with recursive {bpe_steps(BPE_MERGES)}
+    select distinct (k - 1)::int as rank, l as "left", r as "right", l || r as token, n::bigint as freq from step where k > 0""")
+def bpe_vocab(spark, sf_dir):
+    return bpe_model(spark, sf_dir).merges
+
+
+@query("bpe_word_pieces", f"""
+    with recursive {BPE_PIECES} select word, freq, array_to_string(pieces, ' ') as pieces from pieces""")
+def bpe_word_pieces(spark, sf_dir):
+    return bpe_model(spark, sf_dir).pieces.select("word", "freq", F.array_join("pieces", " ").alias("pieces"))
+
+
+@query("bpe_line_tokens", f"""
+    with recursive {BPE_PIECES},
+    t as (select doc_id, line_no, flatten(list(pieces order by pos)) as tokens from bw join pieces using (word) group by doc_id, line_no)
+    select doc_id, line_no::bigint as line_no, coalesce(len(tokens), 0)::bigint as n_tokens, coalesce(array_to_string(tokens, ' '), '') as tokens
+    from bl left join t using (doc_id, line_no)""")
+def bpe_line_tokens(spark, sf_dir):
+    """Every line of every document in the learned pieces."""
+    table_ = vocab.PieceTable(bpe_model(spark, sf_dir).pieces)
+    lines = normal_lines(spark, sf_dir)
+    found = table_.encode(lines, "line", ["doc_id", "line_no"])
+    return found.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.size("tokens").cast("bigint").alias("n_tokens"),
+                        F.array_join("tokens", " ").alias("tokens"))
+
+
+BPE_LINES = f"""{BPE_PIECES},
+    broken as (select doc_id, line_no from bw left join pieces using (word) group by doc_id, line_no
+      having sum(coalesce(len(pieces), 1)) > 3 or bool_or(pieces is null))"""
+
+
+@query("fragmented_tokens_bpe", f"""
+    with recursive {BPE_LINES},
+    t as (select doc_id, line_no, unnest(c) as token, generate_subscripts(c, 1) - 1 as pos from (
+      select doc_id, line_no, list_filter(string_split(text, ' '), lambda x: x <> '') as c from bl join broken using (doc_id, line_no))),
+    f as (select token, count(*) as freq, min((doc_id, line_no, pos)) as seen from t group by token)
+    select token, freq, seen[1]::bigint as doc_id, seen[2]::bigint as line_no, seen[3]::bigint as "at" from f""")
+def fragmented_tokens_bpe(spark, sf_dir):
+    """Words on lines that the learned pieces break up."""
+    pieces = vocab.PieceTable(bpe_model(spark, sf_dir).pieces)
+    found = vocab.fragmented_token_freq(normal_lines(spark, sf_dir), "line", ["doc_id", "line_no"], pieces, WORDS, 3)
+    seen = F.col("first_seen")
+    return found.select("token", "freq", *(seen[c].cast("bigint").alias(c) for c in ("doc_id", "line_no", "at")))
+
+
+@query("extend_vocab_bpe", f"""
+    with recursive {NORM_KNOWN}, {BPE_PIECES},
+    t as (select doc_id, line_no, unnest(c) as token, len(c) as n from (
+      select doc_id, line_no, list_filter(string_split(text, ' '), lambda x: x <> '') as c from bl)),
+    hit as (select doc_id, line_no from t left join known k using (token) group by doc_id, line_no having max(n) > 3 or bool_or(k.token is null)),
+    p as (select doc_id, line_no, pos, unnest(pieces) as token, generate_subscripts(pieces, 1) - 1 as piece
+      from bw join hit using (doc_id, line_no) join pieces using (word)),
+    f as (select token, count(*) as freq, min((doc_id, line_no, pos, piece)) as seen from p group by token),
+    v as (select token, row_number() over (order by token) - 1 as id from known),
+    c as (select token, row_number() over (order by freq desc, seen) - 1 + (select count(*) from known) as id
+      from f where freq >= 5 and token not in (select token from known))
+    select token, id::bigint as id, false as added from v union all select token, id::bigint, true from c""")
+def extend_vocab_bpe(spark, sf_dir):
+    """The vocabulary with learned pieces that are frequent on lines which its words break up."""
+    known = benchmark_words(spark, sf_dir)
+    aux = vocab.PieceTable(bpe_model(spark, sf_dir).pieces)
+    freq = vocab.fragmented_token_freq(normal_lines(spark, sf_dir), "line", ["doc_id", "line_no"], WORDS, aux, 3, known)
+    base = order.row_index(known, ["token"], name="id")
+    return vocab.extend_vocab(base, vocab.candidate_tokens(freq, base, 5), [-F.col("freq"), "first_seen"])
+
+
+def normal_lines(spark, sf_dir) -> DataFrame:
+    lines = tx.explode_lines(docs(spark, sf_dir), "text", ["doc_id"])
+    return lines.select("doc_id", "line_no", tx.once(tx.normalize_text("line")).alias("line"))
 
 
 NORM_LINES = f"""{LINES},
     nl as materialized (select doc_id, line_no, line from (select doc_id, line_no, {norm('line')} as line from lines)
       where line <> ''),
-    known as materialized (select distinct token from (
-      select unnest(string_split({norm('text')}, ' ')) as token from benchmark) where token <> ''),
+    {NORM_KNOWN},
     tokens as (select doc_id, line_no, unnest(string_split(line, ' ')) as token,
       generate_subscripts(string_split(line, ' '), 1) - 1 as pos, len(string_split(line, ' ')) as n from nl),
     hit as (select doc_id, line_no from tokens left join known k using (token)
@@ -1008,10 +1090,8 @@ def benchmark_words(spark, sf_dir) -> DataFrame:
 
 
 def token_freq(spark, sf_dir) -> DataFrame:
-    lines = tx.explode_lines(docs(spark, sf_dir), "text", ["doc_id"])
-    lines = lines.select("doc_id", "line_no", tx.once(tx.normalize_text("line")).alias("line"))
     known = benchmark_words(spark, sf_dir)
-    return vocab.fragmented_token_freq(lines, "line", ["doc_id", "line_no"], WORDS, WORDS, 3, known)
+    return vocab.fragmented_token_freq(normal_lines(spark, sf_dir), "line", ["doc_id", "line_no"], WORDS, WORDS, 3, known)
 
 
 @query("fragmented_tokens", f"""

@@ -8,11 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import _col, strip_ws
+from quern.operators.bpe import train_bpe
 from quern.operators.order import row_index
-from quern.session import materialize
-
-# Stands between the symbols of a word. Normalised text holds no control characters.
-GAP = "\x01"
 
 
 def char_counts(df: DataFrame, text: str) -> DataFrame:
@@ -91,69 +88,68 @@ def pair_counts(words: DataFrame) -> DataFrame:
     return listed.groupBy("left", "right").agg(F.sum("freq").alias("freq"))
 
 
-def _next_merges(top: list, limit: int) -> list:
-    """The leading pairs that one-by-one merging would certainly pick next, in the same order.
+def learn_bpe(words: DataFrame, merges: int | None = None, **options) -> DataFrame:
+    """The merges of ``bpe.train_bpe``, which also has the options: ``rank``, ``left``, ``right``, ``token``, ``freq``."""
+    return train_bpe(words, merges, **options).merges
 
-    Merging (a, b) changes no count but those of pairs that end in a or start with b. Pairs are taken
-    down the ranking until one is of that kind, or is made of equal symbols and so overlaps itself.
-    The pairs that merges create are no more frequent than the changed ones, which all rank at or
-    below the pair that ended the run, so everything strictly above its frequency is settled.
-    """
-    first = top[0]
-    taken, lefts, rights = [first], {first["left"]}, {first["right"]}
-    if first["left"] == first["right"]:
-        return taken
-    for at, pair in enumerate(top[1:], 1):
-        left, right = pair["left"], pair["right"]
-        if left == right or left in rights or right in lefts or at == limit:
-            return [first] + [p for p in taken[1:] if p["freq"] > pair["freq"]]
-        taken.append(pair)
-        lefts.add(left)
-        rights.add(right)
-    return taken
-
-
-def learn_bpe(
-    words: DataFrame, merges: int, per_round: int = 32, min_freq: int = 1, write_every: int = 32
-) -> DataFrame:
-    """Byte-pair merges from a word table (``symbols``, ``freq``): ``rank``, ``left``, ``right``,
-    ``token``, ``freq``.
 
-    The same merges, in the same order, as taking the most frequent pair (ties by left, then right
-    symbol) one at a time. A round applies every merge that is already certain. Only the head of the
-    pair ranking reaches the driver, ``per_round`` + 1 rows; words stay distributed, one row per
-    distinct word, and are written out after every ``write_every`` merges.
+class PieceTable:
+    """A tokenizer that is a table: each word's pieces, as ``bpe.train_bpe`` leaves them.
+
+    It works on whole tables of texts: words are looked up by a join, so no vocabulary has to fit into an
+    expression. The table is broadcast while it has fewer than ``broadcast_rows`` rows, else the join is dealt
+    out by word and a salt, so that a frequent word spreads over ``salts`` tasks. Words outside the table
+    are unknown; each counts as one piece.
     """
-    spark = words.sparkSession
-    checked = F.when(F.exists("symbols", lambda s: s.contains(GAP)), F.raise_error(F.lit("a word holds the separator \\x01")))
-    words = words.withColumn("symbols", F.coalesce(checked, F.col("symbols")))
-    marked = F.transform("symbols", lambda s: F.concat(F.lit(GAP), s, F.lit(GAP)))
-    # An explicit partition count: the word table is small in bytes but costly to count pairs in.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    table = words.select("freq", F.array_join(marked, "").alias("spelling")).repartition(parts, "spelling")
-    table = materialize(table, "bpe-words")
-    spelling, pending = F.col("spelling"), 0
-    learned: list[tuple] = []
-    while len(learned) < merges:
-        symbols = F.split(F.trim(spelling, F.lit(GAP)), GAP + GAP)
-        pairs = pair_counts(table.select("freq", symbols.alias("symbols")))
-        ranking = pairs.where(F.col("freq") >= min_freq).orderBy(F.desc("freq"), "left", "right")
-        top = ranking.limit(per_round + 1).collect()
-        if not top:
-            break
-        for pair in _next_merges(top, per_round)[: merges - len(learned)]:
-            left, right = pair["left"], pair["right"]
-            apart, joined = f"{GAP}{left}{GAP}{GAP}{right}{GAP}", f"{GAP}{left}{right}{GAP}"
-            spelling = F.replace(spelling, F.lit(apart), F.lit(joined))
-            learned.append((len(learned), left, right, left + right, pair["freq"]))
-            pending += 1
-        if pending >= write_every:
-            # Words merged into one symbol have no pairs left.
-            rest = table.select("freq", spelling.alias("spelling"))
-            table = materialize(rest.where(F.col("spelling").contains(GAP + GAP)), "bpe-words")
-            spelling, pending = F.col("spelling"), 0
-    schema = "rank int, left string, right string, token string, freq bigint"
-    return spark.createDataFrame(learned, schema)
+
+    def __init__(self, pieces: DataFrame, split_digits: bool = True, unk_token: str = "<unk>",
+                 broadcast_rows: int = 200_000, salts: int = 16):
+        self.pieces = pieces.select("word", "pieces")
+        self.split_digits, self.unk_token = split_digits, unk_token
+        self.salts = salts if self.pieces.limit(broadcast_rows).count() >= broadcast_rows else 0
+
+    def words(self, text: Column | str) -> Column:
+        return split_words(text, self.split_digits)
+
+    def look_up(self, rows: DataFrame, place: Sequence[str]) -> DataFrame:
+        """``rows`` (column ``word``) with ``pieces``, null for unknown words. ``place`` tells rows apart."""
+        if not self.salts:
+            return rows.join(F.broadcast(self.pieces), "word", "left")
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*place), F.lit(self.salts)).cast("int"))
+        spread = self.pieces.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
+        return salted.join(spread, ["word", "_salt"], "left").drop("_salt")
+
+    def encode(self, df: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
+        """``order`` and ``tokens``: the pieces of each text, none for a blank or null one."""
+        words = df.select(*order, F.posexplode_outer(self.words(text)).alias("at", "word"))
+        found = self.look_up(words, [*order, "at"])
+        parts = F.when(F.col("word").isNull(), F.array().cast("array<string>")).otherwise(F.coalesce("pieces", F.array(F.lit(self.unk_token))))
+        # One group per text, as long as that text.
+        listed = found.groupBy(*order).agg(F.sort_array(F.collect_list(F.struct("at", parts.alias("parts")))).alias("all"))
+        return listed.select(*order, F.flatten(F.col("all.parts")).alias("tokens"))
+
+    def broken_up(self, lines: DataFrame, text: str, order: Sequence[str], most: int) -> DataFrame:
+        """``order`` and ``text`` of the lines with more than ``most`` pieces or an unknown word.
+
+        A word has a piece at least, so only lines of at most ``most`` words are looked up; they carry their text."""
+        lines = lines.select(*order, text)
+        count = F.size(self.words(text))
+        words = lines.where(count <= most).select(*order, text, F.posexplode(self.words(text)).alias("_at", "word"))
+        found = self.look_up(words, [*order, "_at"])
+        judged = found.groupBy(*order).agg(
+            F.any_value(text).alias(text), F.sum(F.coalesce(F.size("pieces"), F.lit(1))).alias("_n"), F.bool_or(F.col("pieces").isNull()).alias("_odd"))
+        few = judged.where((F.col("_n") > most) | F.col("_odd")).select(*order, text)
+        return lines.where(count > most).unionByName(few)
+
+    def token_freq(self, lines: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
+        """``token``, ``freq`` and ``first_seen`` (order, word, piece). Words are counted before they are looked up."""
+        words = lines.select(*order, F.posexplode(self.words(text)).alias("at", "word"))
+        counted = words.groupBy("word").agg(F.count("*").alias("n"), F.min(F.struct(*order, "at")).alias("seen"))
+        found = counted.join(self.pieces, "word", "left")
+        parts = F.coalesce("pieces", F.array(F.lit(self.unk_token)))
+        spread = found.select("n", "seen", F.posexplode(parts).alias("piece", "token"))
+        return spread.groupBy("token").agg(
+            F.sum("n").alias("freq"), F.min(F.struct(*(F.col("seen")[c].alias(c) for c in (*order, "at")), "piece")).alias("first_seen"))
 
 
 def fragmented_token_freq(
@@ -162,27 +158,34 @@ def fragmented_token_freq(
 ) -> DataFrame:
     """Auxiliary tokens on lines the base tokenizer breaks up: ``token``, ``freq``, ``first_seen``.
 
-    A line counts when the base tokenizer needs more than ``max_base_pieces`` tokens, or yields its
+    Either tokenizer makes Columns of Columns or is a ``PieceTable``. A line counts when the base tokenizer needs more than ``max_base_pieces`` tokens, or yields its
     unknown token. A tokenizer that works from a word list passes that list as ``known`` (column
     ``token``): base words outside it count as unknown.
     """
     lines = df.select(*order, strip_ws(text).alias("line")).where(F.col("line") != "")
-    pieces = base.tokens("line")
-    lines = lines.withColumn("base", pieces).withColumn("aux", aux.tokens("line"))
+    if isinstance(base, PieceTable):
+        hits = base.broken_up(lines, "line", order, max_base_pieces)
+    else:
+        hits = _broken_up(lines, order, base, max_base_pieces, known)
+    if isinstance(aux, PieceTable):
+        return aux.token_freq(hits, "line", order)
+    seen = hits.select(*order, F.posexplode(aux.tokens("line")).alias("at", "token"))
+    return seen.groupBy("token").agg(
+        F.count("*").alias("freq"), F.min(F.struct(*order, "at")).alias("first_seen")
+    )
+
+
+def _broken_up(lines: DataFrame, order: Sequence[str], base, max_base_pieces: int, known: DataFrame | None) -> DataFrame:
+    lines = lines.withColumn("base", base.tokens("line"))
     many = F.size("base") > max_base_pieces
     if known is not None:
         few = lines.where(~many)
         words = few.select(*order, F.explode("base").alias("token"))
         unknown = words.join(known.select("token"), "token", "left_anti").select(*order).distinct()
-        hits = lines.where(many).unionByName(few.join(unknown, list(order), "left_semi"))
-    elif base.unk_token is not None:
-        hits = lines.where(many | F.array_contains("base", base.unk_token))
-    else:
-        hits = lines.where(many)
-    seen = hits.select(*order, F.posexplode("aux").alias("at", "token"))
-    return seen.groupBy("token").agg(
-        F.count("*").alias("freq"), F.min(F.struct(*order, "at")).alias("first_seen")
-    )
+        return lines.where(many).unionByName(few.join(unknown, list(order), "left_semi"))
+    if base.unk_token is not None:
+        return lines.where(many | F.array_contains("base", base.unk_token))
+    return lines.where(many)
 
 
 def candidate_tokens(freq: DataFrame, vocab: DataFrame, min_freq: int = 5) -> DataFrame:

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from quern.functions.tokens import WhitespaceTokenizer
-from quern.operators import vocab
+from quern.operators import bpe, vocab
 from quern.plans.line_corpus import CorpusParams, clean_lines
 from quern.plans.text_cleaning import CleanParams, clean_corpus
 
@@ -30,13 +30,54 @@ def merges_one_by_one(words, count):
     return out
 
 
-@pytest.mark.parametrize("seed, alphabet, write_every", [(1, "abc", 4), (2, "abcdefgh", 1000), (3, "aab", 2), (4, "etaoin😀", 8)])
-def test_bpe_equals_one_by_one_merging(spark, seed, alphabet, write_every):
+@pytest.mark.parametrize("seed, alphabet, per_round, max_chains", [
+    (1, "abc", 8, 10**6), (2, "abcdefgh", 1000, 10**6), (3, "aab", 20, 40), (4, "etaoin😀", 40, 10**6), (5, "ab", 1000, 1)])
+def test_bpe_equals_one_by_one_merging(spark, seed, alphabet, per_round, max_chains):
     rng = random.Random(seed)
     words = {"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 9))): rng.randint(1, 40) for _ in range(150)}
     rows = spark.createDataFrame(list(words.items()), "word string, freq bigint")
-    got = vocab.learn_bpe(vocab.word_symbols(rows), 60, per_round=8, write_every=write_every).orderBy("rank").collect()
-    assert [(r["left"], r["right"], r["freq"]) for r in got] == merges_one_by_one(words.items(), 60)
+    count = 12 if max_chains == 1 else 60
+    made = bpe.train_bpe(vocab.word_symbols(rows), count, per_round=per_round, max_chains=max_chains)
+    got = made.merges.orderBy("rank").collect()
+    want = merges_one_by_one(words.items(), count)
+    assert [(r["left"], r["right"], r["freq"]) for r in got] == want
+    ranks = {(a, b): k for k, (a, b, _) in enumerate(want)}
+    pieces = {r["word"]: r["pieces"] for r in made.pieces.collect()}
+    assert pieces == {w: bpe.apply_merges(list(w), ranks) for w in words}
+
+
+def test_bpe_of_a_vocabulary_size(spark):
+    rows = spark.createDataFrame([("abab", 5), ("abc", 3), ("c", 9), ("", 4)], "word string, freq bigint")
+    made = vocab.learn_bpe(vocab.word_symbols(rows).where("word <> ''"), vocab_size=7, reserved=2)
+    assert [r["token"] for r in made.orderBy("rank").collect()] == ["ab", "abab"]
+    with pytest.raises(ValueError):
+        vocab.learn_bpe(rows)
+
+
+def test_a_symbol_made_twice_ends_the_round(spark):
+    """``abc`` comes from a + bc and from ab + c; its counts need all words."""
+    words = {"abcx": 50, "bcq": 60, "zab": 58, "abcy": 40, "bc": 30, "ab": 30, "abc": 20, "xabc": 30}
+    rows = spark.createDataFrame(list(words.items()), "word string, freq bigint")
+    got = vocab.learn_bpe(vocab.word_symbols(rows), 8).orderBy("rank").collect()
+    assert [(r["left"], r["right"], r["freq"]) for r in got] == merges_one_by_one(words.items(), 8)
+
+
+@pytest.mark.parametrize("broadcast_rows", [1000, 1])
+def test_piece_table(spark, broadcast_rows):
+    pieces = spark.createDataFrame([("the", ["th", "e"]), ("cat", ["cat"]), ("2", ["2"]), ("sat", ["s", "a", "t"])], "word string, pieces array<string>")
+    table = vocab.PieceTable(pieces, broadcast_rows=broadcast_rows)
+    lines = ["the cat", "cat", "", None, "the cat sat", "dog", "cat 22", "cat cat cat cat", "cat cat cat"]
+    df = spark.createDataFrame(list(enumerate(lines)), "o bigint, line string")
+    got = {r["o"]: r["tokens"] for r in table.encode(df, "line", ["o"]).collect()}
+    assert got == {0: ["th", "e", "cat"], 1: ["cat"], 2: [], 3: [], 4: ["th", "e", "cat", "s", "a", "t"], 5: ["<unk>"],
+                   6: ["cat", "2", "2"], 7: ["cat"] * 4, 8: ["cat"] * 3}
+    assert {r["o"] for r in table.broken_up(df, "line", ["o"], 3).collect()} == {4, 5, 7}
+    words = vocab.fragmented_token_freq(df, "line", ["o"], table, WhitespaceTokenizer(), 3)
+    assert {r["token"]: r["freq"] for r in words.collect()} == {"the": 1, "cat": 5, "sat": 1, "dog": 1}
+    both = vocab.fragmented_token_freq(df, "line", ["o"], table, table, 3)
+    assert {r["token"]: (r["freq"], tuple(r["first_seen"])) for r in both.collect()} == {
+        "th": (1, (4, 0, 0)), "e": (1, (4, 0, 1)), "cat": (5, (4, 1, 0)), "s": (1, (4, 2, 0)), "a": (1, (4, 2, 1)), "t": (1, (4, 2, 2)),
+        "<unk>": (1, (5, 0, 0))}
 
 
 def test_bpe_stops_when_nothing_is_left(spark):
