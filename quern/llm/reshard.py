@@ -3,10 +3,11 @@
 A layout is a parquet table with a folder per shard and size class. Its blocks are the rows of one
 shard and class (bytes up to the next power of two), so there are at most shards x 64 of them,
 whatever the size of the table; only their counts and bytes come to the driver. The flow network: each
-old shard sends its rows to the new shard of the same number for nothing, or block by block, at the
-block's mean bytes per row, to a hub and from there to any shard. New shards take the rows per shard
-that are common to all, and the remainder, one row each, where it is cheapest. Within a block the
-smallest rows move first, ties by their place in the files.
+old shard sends its rows to the new shard of the same number for nothing, or block by block, at their
+bytes, to a hub and from there to any shard. New shards take the rows per shard that are common to all,
+and the remainder, one row each, where it is cheapest: for each old shard that is too large the row whose
+move hangs on that choice is looked up, and has an arc of its own at its exact bytes. Within a block the
+smallest rows move first, ties by their place in the files, so no plan moves fewer bytes.
 
 Only blocks with moving rows are rewritten; the files of all other blocks stay as they are and are
 part of the new layout. Slots number the rows of a new shard through its files. Law ``rows``: counts
@@ -77,18 +78,35 @@ def min_cost_flow(count: int, arcs: list[tuple[int, int, int, float]], source: i
             graph[arc.to][arc.back].room += push
 
 
-def plan_moves(blocks: dict[tuple[int, int], tuple[int, int]], shards: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
+def marginal_places(blocks: dict[tuple[int, int], tuple[int, int]], shards: int) -> dict[int, tuple[int, int]]:
+    """``{old shard: (class, place in its block)}`` of the largest row that leaves a shard if it gets no row
+    of the remainder, and stays if it gets one. Which shards get one is decided by the bytes of these rows."""
+    even, out = sum(n for n, _ in blocks.values()) // shards, {}
+    for s in sorted({s for s, _ in blocks if s < shards}):
+        own = sorted((c, n) for (t, c), (n, _) in blocks.items() if t == s)
+        place = sum(n for _, n in own) - even - 1
+        for c, n in own:
+            if 0 <= place < n:
+                out[s] = c, place
+            place -= n
+    return out
+
+
+def plan_moves(blocks: dict[tuple[int, int], tuple[int, int]], shards: int,
+               marginal: dict[int, int] | None = None) -> dict[tuple[int, int], list[tuple[int, int]]]:
     """Rows that leave each block: ``{(shard, class): [(new shard, rows), …]}``, all else stays.
 
-    ``blocks`` has rows and bytes by old shard and class. Old shards may be more or fewer than new ones.
+    ``blocks`` has rows and bytes by old shard and class, ``marginal`` the bytes of the rows that
+    ``marginal_places`` names (default: the mean of their block). Old shards may be more or fewer than new ones.
     """
     old = sorted({s for s, _ in blocks})
     total = sum(n for n, _ in blocks.values())
     even, rest = divmod(total, shards)
+    places = marginal_places(blocks, shards)
     source, sink, hub, more = 0, 1, 2, 3
     out = {s: 4 + i for i, s in enumerate(old)}
     into = {j: 4 + len(old) + j for j in range(shards)}
-    arcs, block_at = [], {}
+    arcs, arcs_of = [], {}
     for s in old:
         own = {c: v for (t, c), v in blocks.items() if t == s}
         n = sum(v[0] for v in own.values())
@@ -96,8 +114,15 @@ def plan_moves(blocks: dict[tuple[int, int], tuple[int, int]], shards: int) -> d
         if s in into:
             arcs.append((out[s], into[s], n, 0.0))
         for c, (rows, size) in sorted(own.items()):
-            block_at[s, c] = len(arcs)
-            arcs.append((out[s], hub, rows, size / rows))
+            parts = [(rows, size / rows)]
+            if s in places:
+                at, place = places[s]
+                edge = float((marginal or {}).get(s, own[at][1] / own[at][0]))
+                # Rows below the marginal one always move and rows above it never do.
+                parts = ([(rows, min(size / rows, edge))] if c < at else [(rows, max(size / rows, edge))] if c > at else
+                         [(place, min(size / rows, edge)), (1, edge), (rows - place - 1, max(size / rows, edge))])
+            arcs_of[s, c] = range(len(arcs), len(arcs) + len(parts))
+            arcs += [(out[s], hub, n, cost) for n, cost in parts]
     hub_at = {}
     for j in range(shards):
         hub_at[j] = len(arcs)
@@ -106,8 +131,8 @@ def plan_moves(blocks: dict[tuple[int, int], tuple[int, int]], shards: int) -> d
     flow = min_cost_flow(4 + len(old) + shards, arcs, source, sink)
     wanted = [[j, flow[at]] for j, at in hub_at.items() if flow[at]]
     moves: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-    for block, at in sorted(block_at.items()):
-        left = flow[at]
+    for block, at in sorted(arcs_of.items()):
+        left = sum(flow[k] for k in at)
         while left:
             take = min(left, wanted[0][1])
             moves[block].append((wanted[0][0], take))
@@ -117,6 +142,20 @@ def plan_moves(blocks: dict[tuple[int, int], tuple[int, int]], shards: int) -> d
     return dict(moves)
 
 
+def _marginal_sizes(rows: DataFrame, places: dict[int, tuple[int, int]]) -> dict[int, int]:
+    """Bytes of the rows at the given places of their blocks, smallest rows first: counts by size over those
+    blocks alone, of which there is one for each shard."""
+    if not places:
+        return {}
+    spark = rows.sparkSession
+    named = spark.createDataFrame([(s, c, place) for s, (c, place) in places.items()], "shard int, class int, _place bigint")
+    counts = rows.select("shard", "class", "size").join(F.broadcast(named), ["shard", "class"]).groupBy("shard", "_place", "size").agg(F.count("*").alias("n"))
+    # As many rows to a shard as its block has different sizes, which the class bounds.
+    upto = F.sum("n").over(Window.partitionBy("shard").orderBy("size").rowsBetween(Window.unboundedPreceding, 0))
+    found = counts.withColumn("_upto", upto).where("_upto > _place").groupBy("shard").agg(F.min("size").alias("size"))
+    return {r["shard"]: r["size"] for r in found.collect()}
+
+
 def size_of(text: str) -> Column:
     return F.octet_length(text_or_empty(text)).cast("bigint") + 1
 
@@ -143,7 +182,7 @@ def _write_blocks(sized: DataFrame, path: str) -> None:
     salted = sized.join(F.broadcast(files), ["shard", "class"])  # shards x 64 rows at most
     salt = F.pmod(F.xxhash64(*sized.columns), F.col("_files").cast("bigint"))  # of the whole row, so a rerun deals alike
     count = max(1, files.agg(F.sum("_files")).first()[0] or 1)
-    dealt = salted.withColumn("_salt", salt).repartition(min(count, 4096) * 2, "shard", "class", "_salt")
+    dealt = salted.withColumn("_salt", salt).repartition(count * 2, "shard", "class", "_salt")
     dealt.drop("_salt", "_files").write.partitionBy("shard", "class").parquet(path)
 
 
@@ -180,7 +219,8 @@ def reshard(spark: SparkSession, old: str, new: str, shards: int, columns: list[
     """
     rows = read_layout(spark, old, schema)
     stats = rows.groupBy("shard", "class").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).collect()
-    moves = plan_moves({(r["shard"], r["class"]): (r["n"], r["bytes"]) for r in stats}, shards)
+    blocks = {(r["shard"], r["class"]): (r["n"], r["bytes"]) for r in stats}
+    moves = plan_moves(blocks, shards, _marginal_sizes(rows, marginal_places(blocks, shards)))
     if moves:
         bounds = []
         for (s, c), to in moves.items():

@@ -141,6 +141,28 @@ def test_flow_moves_fewest_bytes():
         assert moved == best
 
 
+def test_flow_moves_fewest_bytes_with_mixed_sizes_in_a_class(spark):
+    r = random.Random(6)
+    for _ in range(300):
+        old = {s: sorted(r.choice((5, 6, 7, 9, 12, 15, 30)) for _ in range(r.randint(0, 9))) for s in range(4)}
+        blocks, shards = {}, r.choice((2, 3, 4, 5))
+        for s, sizes in old.items():
+            for z in sizes:
+                n, b = blocks.get((s, z.bit_length()), (0, 0))
+                blocks[s, z.bit_length()] = n + 1, b + z
+        of_class = lambda s, c: [z for z in old[s] if z.bit_length() == c]
+        marginal = {s: of_class(s, c)[at] for s, (c, at) in reshard.marginal_places(blocks, shards).items()}
+        moves = reshard.plan_moves(blocks, shards, marginal)
+        moved = sum(sum(of_class(s, c)[:sum(n for _, n in to)]) for (s, c), to in moves.items())
+        even, rest = divmod(sum(map(len, old.values())), shards)
+        best = min(sum(sum(old[s][:max(0, len(old[s]) - (even + (s in extra) if s < shards else 0))]) for s in old)
+                   for extra in itertools.combinations(range(shards), rest))
+        assert moved == best
+    rows = spark.createDataFrame([(0, 3, 4), (0, 3, 7), (0, 3, 5), (0, 3, 5), (0, 4, 9), (1, 3, 6)], "shard int, class int, size bigint")
+    assert reshard._marginal_sizes(rows, {0: (3, 2), 1: (3, 0)}) == {0: 5, 1: 6}
+    assert reshard._marginal_sizes(rows, {}) == {}
+
+
 # ---------------------------------------------------------------- 3 pieces
 
 def test_pieces_equal_the_library(spark, vocabulary):
