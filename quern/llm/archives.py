@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.llm.common import stored
+
 REVISIT_BYTES = 1000
 ARC_DATE = "20000101000000"
 ARC_FIELDS = {
@@ -236,9 +238,12 @@ def revisits(records: DataFrame) -> DataFrame:
 def convert(spark: SparkSession, arc: str, warc: str) -> None:
     """Convert ARC files to WARC files: one warcinfo record per file, then a record per ARC record.
 
-    Payloads are shuffled once, by the place of the record, so copies do not gather in a task.
+    Payloads are shuffled once, by the place of the record, so copies do not gather in a task. The files are
+    read twice: once for keys and digests, which are stored and serve both sides of the search for copies,
+    and once for the contents.
     """
-    again = revisits(read_arc(spark, arc, payloads=False))
+    narrow = read_arc(spark, arc, payloads=False).drop("http", "payload", "type", "block_digest")
+    again = revisits(stored(narrow, "arc-digests"))
     rows = read_arc(spark, arc).join(again, ["file", "place"], "left")
     repeat = F.col("to").isNotNull()
     block = F.when(repeat, F.col("http")).otherwise(F.concat("http", "payload"))
@@ -303,8 +308,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_targets(records: DataFrame) -> DataFrame:
-    """``refers_to``: the key of the response that a revisit names."""
-    named = records.where("kind = 'revisit'").select(F.col("refers_to_id").alias("id")).distinct()
+    """``refers_to``: the key of the response that a revisit names. The records, which hold no payloads, are
+    stored, so the files are parsed once. Only revisits are joined; all other records name nothing and pass by."""
+    records = stored(records, "warc-records")
+    again = records.where("refers_to_id is not null")
+    named = again.select(F.col("refers_to_id").alias("id")).distinct()
     target = records.where("kind = 'response'").select(F.col("record_id").alias("id"), F.col("key").alias("refers_to"))
     target = target.join(named, "id", "left_semi")
-    return records.join(target.withColumnRenamed("id", "refers_to_id"), "refers_to_id", "left")
+    found = again.join(target.withColumnRenamed("id", "refers_to_id"), "refers_to_id", "left").select(*records.columns, "refers_to")
+    return found.unionByName(records.where("refers_to_id is null").withColumn("refers_to", F.lit(None).cast("bigint")))
