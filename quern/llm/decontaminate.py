@@ -15,13 +15,14 @@ benchmark or table gives unhit or no rows. Extra columns of either side are unto
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import free_name, map_texts
+from quern.llm.common import free_name, fresh_path, map_texts, stored
 
 WINDOW = 13
 SAMPLE = 8
@@ -186,21 +187,25 @@ def _char_spans(text: bytes, spans: list[tuple[int, int]]) -> list[dict]:
     return [{"start": int(chars[bounds[a][0]]), "end": int(chars[bounds[b - 1][1]])} for a, b in spans]
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str) -> list[list[tuple[str, bytes]]]:
-    """Benchmark items in blocks of a bounded size; the driver holds the benchmark, not the corpus.
+def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
+    """Benchmark items in blocks of a bounded size, one at a time on the driver.
 
-    The sizes are summed first, and an item goes to the block that the hash of its text names.
+    The sizes are summed first. An item goes to the block that the hash of its text names; more than one
+    block are written apart once, so that each is read alone.
     """
     items = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text")
     ).where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = -(-total // BLOCK_BYTES)
-    blocks = []
+    count = max(1, -(-total // BLOCK_BYTES))
+    if count > 1:
+        path = fresh_path(benchmark.sparkSession, "benchmark")
+        block = F.pmod(F.xxhash64("text"), F.lit(count)).cast("int")
+        items.withColumn("block", block).write.partitionBy("block").parquet(path)
+        items = benchmark.sparkSession.read.schema("item string, text string, block int").parquet(path)
     for k in range(count):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(count)) == k)
-        blocks.append([(r["item"], r["text"].encode()) for r in part.toLocalIterator()])
-    return blocks
+        part = items.where(F.col("block") == k) if count > 1 else items
+        yield [(r["item"], r["text"].encode()) for r in part.toLocalIterator()]
 
 
 def find_contamination(
@@ -209,28 +214,31 @@ def find_contamination(
 ) -> tuple[DataFrame, str]:
     """Every row of ``docs`` with a struct: words, hit words, items and merged spans (code points).
 
-    Phrases reach the tasks in blocks of at most ``BLOCK_BYTES`` of benchmark text. Each block is one
-    pass over the same rows, without a shuffle; passes are joined per row by hit spans and items.
+    Phrases reach the tasks in blocks of at most ``BLOCK_BYTES`` of benchmark text. A block is one pass over
+    the rows, without a shuffle. With more blocks than one the rows are written after each pass with what
+    they have so far, hit spans and items, so the driver holds one block and no plan holds two.
     """
-    columns = keep or docs.columns
-    blocks = _blocks(benchmark, item_id, item_text) or [[]]
-    names = []
-    for block in blocks:
-        only = keep if len(blocks) == 1 else None
+    columns, so_far = keep or docs.columns, None
+    docs = docs.select(*dict.fromkeys([*columns, text]))
+    for block in _blocks(benchmark, item_id, item_text):
+        if so_far is not None:
+            docs = stored(docs, "contamination")
         phrases = Phrases(block, window)  # travels with the function; Spark broadcasts large ones
-        docs, made = map_texts(docs, text, lambda phrases=phrases: phrases.search, RESULT, name, only)
-        names.append(made)
-    if len(names) == 1:
-        return docs, names[0]
-    merged = merge_spans(F.flatten(F.array(*(F.col(f"{n}.spans") for n in names))))
-    inside = F.flatten(F.array(*(F.col(f"{n}.items") for n in names)))
-    first = F.col(names[0])
-    spans = free_name(docs, "_spans")
-    docs = docs.withColumn(spans, merged)
-    words = count_words(F.col(text), F.col(spans))
-    out = F.struct(first["n_words"].alias("n_words"), words.alias("n_hit"),
-                   F.array_sort(F.array_distinct(inside)).alias("items"), F.col(spans).alias("spans"))
-    return docs.select(*columns, out.alias(names[0])), names[0]
+        docs, made = map_texts(docs, text, lambda phrases=phrases: phrases.search, RESULT, name)
+        if so_far is not None:
+            docs = _merged(docs, text, so_far, made)
+        so_far = so_far or made
+    return docs.select(*columns, so_far), so_far
+
+
+def _merged(docs: DataFrame, text: str, first: str, second: str) -> DataFrame:
+    """What two passes found in a row, as the struct of the first."""
+    a, b = F.col(first), F.col(second)
+    spans = free_name(docs, "_merged")
+    docs = docs.withColumn(spans, merge_spans(F.concat(a["spans"], b["spans"])))
+    out = F.struct(a["n_words"].alias("n_words"), count_words(F.col(text), F.col(spans)).alias("n_hit"),
+                   F.array_sort(F.array_distinct(F.concat(a["items"], b["items"]))).alias("items"), F.col(spans).alias("spans"))
+    return docs.withColumn(first, out).drop(second, spans)
 
 
 def merge_spans(spans):
