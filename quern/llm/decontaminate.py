@@ -187,8 +187,8 @@ def _char_spans(text: bytes, spans: list[tuple[int, int]]) -> list[dict]:
     return [{"start": int(chars[bounds[a][0]]), "end": int(chars[bounds[b - 1][1]])} for a, b in spans]
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
-    """Benchmark items in blocks of a bounded size, one at a time on the driver.
+def _blocks(benchmark: DataFrame, item_id: str, text: str) -> tuple[int, Iterator[list[tuple[str, bytes]]]]:
+    """How many blocks of a bounded size, and the benchmark's items block by block, one at a time on the driver.
 
     The sizes are summed first. An item goes to the block that the hash of its text names; more than one
     block are written apart once, so that each is read alone.
@@ -203,9 +203,8 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tupl
         block = F.pmod(F.xxhash64("text"), F.lit(count)).cast("int")
         items.withColumn("block", block).write.partitionBy("block").parquet(path)
         items = benchmark.sparkSession.read.schema("item string, text string, block int").parquet(path)
-    for k in range(count):
-        part = items.where(F.col("block") == k) if count > 1 else items
-        yield [(r["item"], r["text"].encode()) for r in part.toLocalIterator()]
+    parts = (items.where(F.col("block") == k) if count > 1 else items for k in range(count))
+    return count, ([(r["item"], r["text"].encode()) for r in part.toLocalIterator()] for part in parts)
 
 
 def find_contamination(
@@ -220,11 +219,12 @@ def find_contamination(
     """
     columns, so_far = keep or docs.columns, None
     docs = docs.select(*dict.fromkeys([*columns, text]))
-    for block in _blocks(benchmark, item_id, item_text):
+    count, blocks = _blocks(benchmark, item_id, item_text)
+    for block in blocks:
         if so_far is not None:
             docs = stored(docs, "contamination")
         phrases = Phrases(block, window)  # travels with the function; Spark broadcasts large ones
-        docs, made = map_texts(docs, text, lambda phrases=phrases: phrases.search, RESULT, name)
+        docs, made = map_texts(docs, text, lambda phrases=phrases: phrases.search, RESULT, name, columns if count == 1 else None)
         if so_far is not None:
             docs = _merged(docs, text, so_far, made)
         so_far = so_far or made
