@@ -92,21 +92,32 @@ def head_per_group(df: DataFrame, n: int, by: Sequence[str], order: Sequence[str
     For small ``n`` each task trims to its own first ``n`` rows per group ahead of the shuffle, so
     a group that holds most of the table does not reach one task. Larger ``n`` numbers the group and
     order columns alone; the row at place ``n`` of each longer group is its cut-off, and the table is
-    filtered by the cut-offs, which are broadcast while they are small. ``order`` must identify a row
-    there: rows alike the cut-off all stay.
+    filtered by the cut-offs, which are broadcast while they are small. Of rows alike in ``order`` at the end
+    of a group any stay, as many as are wanted; only such rows are numbered and written as a whole.
     """
     if n <= 0:
         return df
     if n <= WINDOW_TRIM_LIMIT:
         place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         return df.withColumn("_at", place).where(F.col("_at") <= n).drop("_at")
-    numbered = row_index(df.select(*by, *(c for c in order if c not in by)), order, by, "_at")
-    cuts = materialize(numbered.where(F.col("_at") == n - 1).select(
-        *(F.col(c).alias(f"_g{i}") for i, c in enumerate(by)), F.struct(*order).alias("_cut")), "head-cuts")
-    size = cuts.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    numbered = materialize(row_index(df.select(*by, *(c for c in order if c not in by)), order, by, "_at"), "head-places")
+    groups = [F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)])
-    joined = df.join(F.broadcast(cuts) if size <= BROADCAST_BYTES else cuts, same, "left")
-    return joined.where(F.col("_cut").isNull() | (F.struct(*order) <= F.col("_cut"))).select(*df.columns)
+    ends = numbered.where(F.col("_at") == n - 1).select(*groups, F.struct(*order).alias("_cut"))
+    # How many rows are alike each cut-off, and how many of them are wanted.
+    alike = numbered.join(ends, same).where(F.struct(*order) == F.col("_cut"))
+    cuts = alike.groupBy(*(f"_g{i}" for i in range(len(by)))).agg(
+        F.any_value("_cut").alias("_cut"), (F.lit(n) - F.min("_at")).alias("_wanted"), F.count("*").alias("_alike"))
+    cuts = materialize(cuts, "head-cuts")
+    sums = cuts.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size"), F.count_if(F.col("_alike") > F.col("_wanted")).alias("tied")).first()
+    joined = df.join(F.broadcast(cuts) if (sums["size"] or 0) <= BROADCAST_BYTES else cuts, same, "left")
+    key, at_cut = F.struct(*order), F.col("_alike") > F.col("_wanted")
+    sure = joined.where(F.col("_cut").isNull() | (key < F.col("_cut")) | (key == F.col("_cut")) & ~at_cut).select(*df.columns)
+    if not sums["tied"]:
+        return sure
+    tied = joined.where((key == F.col("_cut")) & at_cut).select(*df.columns, "_wanted")
+    some = row_index(tied, order, by, "_at").where(F.col("_at") < F.col("_wanted")).select(*df.columns)
+    return sure.unionByName(some)
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import content_md5, explode_lines, normalize_text, once
 from quern.operators.dedup import dedup_exact
 from quern.operators.order import head
-from quern.session import materialize
+from quern.session import materialize_counted
 
 
 @dataclass(frozen=True)
@@ -38,30 +38,19 @@ class CorpusResult:
     params: CorpusParams
     prepared: DataFrame
     kept: DataFrame
+    counts: dict[str, int]
 
     def stats(self) -> DataFrame:
-        """One row of counts. With a line cap they cover the input up to the last kept line."""
-        seen = self.prepared
-        if self.params.max_lines:
+        """One row of counts. With a line cap they cover the input up to the last kept line, which takes a scan of
+        the reasons; else writing the tables has counted them."""
+        n = dict(self.counts)
+        if self.params.max_lines and n["kept"] >= self.params.max_lines:
             last = self.kept.orderBy(*(F.desc(c) for c in self.order)).select(*self.order).first()
-            if last is not None and self.kept.count() >= self.params.max_lines:
-                seen = seen.where(_up_to(self.order, last))
-        by_reason = seen.groupBy(F.coalesce("drop_reason", F.lit("passed")).alias("stage")).agg(
-            F.count("*").alias("n")
-        )
-        stages = by_reason.unionByName(self.kept.agg(F.lit("kept").alias("stage"), F.count("*").alias("n")))
-
-        def n(*names: str) -> Column:
-            return F.coalesce(F.sum(F.when(F.col("stage").isin(*names), F.col("n"))), F.lit(0))
-
-        return stages.agg(
-            n("empty_after_clean", "too_short", "too_long", "passed").alias("total_lines"),
-            n("empty_after_clean").alias("empty_after_clean"),
-            n("too_short").alias("too_short"),
-            n("too_long").alias("too_long"),
-            (n("passed") - n("kept")).alias("duplicates"),
-            n("kept").alias("kept"),
-        )
+            seen = self.prepared.where(_up_to(self.order, last))
+            n |= seen.agg(*(c.alias(name) for name, c in _reason_counts().items())).first().asDict()
+        row = (n["total_lines"], *(n[r] for r in REASONS), n["total_lines"] - sum(n[r] for r in REASONS) - n["kept"], n["kept"])
+        names = ("total_lines", *REASONS, "duplicates", "kept")
+        return self.prepared.sparkSession.createDataFrame([row], ", ".join(f"{c} bigint" for c in names))
 
     def log(self) -> DataFrame:
         """The counts with the parameters and the time."""
@@ -73,12 +62,19 @@ class CorpusResult:
         )
 
 
+REASONS = ("empty_after_clean", "too_short", "too_long")
+
+
+def _reason_counts() -> dict[str, Column]:
+    return {"total_lines": F.count("*"), **{r: F.count_if(F.coalesce(F.col("drop_reason") == r, F.lit(False))) for r in REASONS}}
+
+
 def clean_lines(
     lines: DataFrame, order: Sequence[str], params: CorpusParams = CorpusParams(), line: str = "line"
 ) -> CorpusResult:
     """Normalise, filter by length, drop repeated lines anywhere in the corpus, cap.
 
-    Prepared and kept lines are written once; the counts read narrow columns of these tables.
+    Prepared and kept lines are written once and counted as they are written.
     """
     rows = lines.select(*order, once(normalize_text(line)).alias("line"))
     reason = (
@@ -86,12 +82,13 @@ def clean_lines(
         .when(F.length("line") < params.min_chars, "too_short")
         .when(F.length("line") > params.max_chars, "too_long")
     )
-    prepared = materialize(rows.withColumn("drop_reason", reason), "lines-prepared")
+    prepared, counts = materialize_counted(rows.withColumn("drop_reason", reason), "lines-prepared", **_reason_counts())
     passed = prepared.where(F.col("drop_reason").isNull()).drop("drop_reason")
     kept = dedup_exact(passed, content_md5("line"), order)
     if params.max_lines:
         kept = head(kept, params.max_lines, order)
-    return CorpusResult(order, params, prepared, materialize(kept, "lines-kept"))
+    kept, size = materialize_counted(kept, "lines-kept", kept=F.count("*"))
+    return CorpusResult(order, params, prepared, kept, counts | size)
 
 
 def build_corpus(

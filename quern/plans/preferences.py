@@ -12,7 +12,7 @@ from quern.functions.text import content_md5, normalize_ws, once
 from quern.operators.dedup import dedup_exact
 from quern.operators.filters import require_nonblank
 from quern.operators.neardup import dedup_near
-from quern.session import materialize
+from quern.session import materialize_counted
 
 # Column names a preference record may use, most preferred first.
 ALIASES = {
@@ -45,37 +45,26 @@ class PreferenceResult:
     unique: DataFrame
     distinct: DataFrame
     kept: DataFrame
+    counts: dict[str, int]
 
     def stats(self) -> DataFrame:
-        """One row: counts per reason and the parameters."""
-        def size(df: DataFrame, stage: str) -> DataFrame:
-            return df.agg(F.lit(stage).alias("stage"), F.count("*").alias("n"))
-
-        by_reason = self.prepared.groupBy(F.coalesce("drop_reason", F.lit("passed")).alias("stage")).agg(
-            F.count("*").alias("n")
-        )
-        stages = by_reason.unionByName(size(self.unique, "unique")).unionByName(size(self.distinct, "distinct"))
-
-        def n(*names: str) -> Column:
-            return F.coalesce(F.sum(F.when(F.col("stage").isin(*names), F.col("n"))), F.lit(0))
-
-        p = self.params
-        return stages.agg(
-            n("missing", "length", "passed").alias("total"),
-            n("distinct").alias("kept"),
-            n("length").alias("dropped_len"),
-            n("missing").alias("dropped_missing"),
-            (n("passed") - n("unique")).alias("dropped_dup"),
-            (n("unique") - n("distinct")).alias("dropped_near_dup"),
-            F.lit(p.min_chars).cast("bigint").alias("min_chars"),
-            F.lit(p.max_chars).cast("bigint").alias("max_chars"),
-            F.lit(p.dedup).alias("dedup"),
-            F.lit(p.near_dedup).alias("near_dedup"),
-            F.lit(float(p.jaccard_threshold)).alias("jaccard_threshold"),
-            F.lit(p.prompt_key).alias("prompt_key"),
-            F.lit(p.chosen_key).alias("chosen_key"),
-            F.lit(p.rejected_key).alias("rejected_key"),
-        )
+        """One row: counts per reason and the parameters. Only stages that were not written are counted here."""
+        n, p = dict(self.counts), self.params
+        if "total" not in n:
+            n |= self.prepared.agg(*(c.alias(name) for name, c in _reason_counts().items())).first().asDict()
+        passed = n["total"] - n["missing"] - n["length"]
+        unique = n["unique"] if "unique" in n else self.unique.count() if p.dedup else passed
+        distinct = self.distinct.count() if p.near_dedup else unique
+        row = (n["total"], distinct, n["length"], n["missing"], passed - unique, unique - distinct, p.min_chars, p.max_chars, p.dedup,
+               p.near_dedup, float(p.jaccard_threshold), *p.keys)
+        return self.prepared.sparkSession.createDataFrame([row], (
+            "total bigint, kept bigint, dropped_len bigint, dropped_missing bigint, dropped_dup bigint, dropped_near_dup bigint, "
+            "min_chars bigint, max_chars bigint, dedup boolean, near_dedup boolean, jaccard_threshold double, "
+            "prompt_key string, chosen_key string, rejected_key string"))
+
+
+def _reason_counts() -> dict[str, Column]:
+    return {"total": F.count("*"), **{r: F.count_if(F.coalesce(F.col("drop_reason") == r, F.lit(False))) for r in ("missing", "length")}}
 
 
 def clean_preferences(
@@ -98,16 +87,18 @@ def clean_preferences(
         ~length.between(params.min_chars, params.max_chars), "length"
     )
     prepared = rows.select(order, *params.keys, "_joined", reason.alias("drop_reason"))
+    counts: dict[str, int] = {}
     if params.dedup or params.near_dedup:
-        # Stages and counts read this table; the input is scanned once.
-        prepared = materialize(prepared, "preference-prepared")
+        # Stages read this table and the write counts it; the input is scanned once.
+        prepared, counts = materialize_counted(prepared, "preference-prepared", **_reason_counts())
     passed = prepared.where(F.col("drop_reason").isNull()).drop("drop_reason")
     unique = dedup_exact(passed, content_md5("_joined"), [order]) if params.dedup else passed
     distinct = unique
     if params.near_dedup:
-        unique = materialize(unique, "preference-unique")
+        unique, size = materialize_counted(unique, "preference-unique", unique=F.count("*"))
+        counts |= size
         distinct = dedup_near(unique, order, "_joined", params.jaccard_threshold)
-    return PreferenceResult(params, prepared, unique, distinct, distinct.select(order, *params.keys))
+    return PreferenceResult(params, prepared, unique, distinct, distinct.select(order, *params.keys), counts)
 
 
 def preference_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -11,7 +11,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _FALLBACK: dict[str, str] = {}
 
@@ -56,3 +56,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, label: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize`` with aggregates that the write itself collects, so no scan follows for them.
+
+    They are observed in the stage that writes, where each partition counts once, whatever is retried.
+    """
+    seen = Observation()
+    named = [c.alias(name) for name, c in counts.items()]
+    return materialize(df.observe(seen, *named), label), seen.get

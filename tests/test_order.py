@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import filters, order
@@ -136,3 +137,16 @@ def test_missing_and_blank(spark):
     df = spark.createDataFrame([("a", "b"), (" ", "b"), ("", "b"), (None, "b"), ("　", "b")], "p string, c string")
     assert filters.drop_missing(df, ["p", "c"]).count() == 3
     assert filters.require_nonblank(df, ["p", "c"]).count() == 1
+
+
+@pytest.mark.parametrize("n", [998, 999, 1000, 1001])
+def test_head_per_group_gives_n_rows_of_tied_order(spark, n):
+    rows = [("tied", 1, i) for i in range(1500)] + [("mixed", i // 300, i) for i in range(2000)] + [("short", 1, i) for i in range(40)] + [(None, 2, i) for i in range(1200)]
+    df = spark.createDataFrame(rows, "g string, o int, v int").repartition(4)
+    got = order.head_per_group(df, n, ["g"], ["o"]).collect()
+    per = {}
+    for r in got:
+        per.setdefault(r["g"], []).append((r["o"], r["v"]))
+    assert {g: len(v) for g, v in per.items()} == {"tied": n, "mixed": n, "short": 40, None: n}
+    assert all(len(set(v)) == len(v) for v in per.values())
+    assert sorted(o for o, _ in per["mixed"]) == [i // 300 for i in range(n)]

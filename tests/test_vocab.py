@@ -137,7 +137,7 @@ def test_cleaning_accounts_for_every_row(spark):
             (7, long + " a", None, None), (8, None, ["only turn here"], None), (9, "text", ["a", "b"], None),
             (10, long, None, "positive"), (11, "fresh text", None, "Positive!")]
     df = spark.createDataFrame(rows, "id bigint, text string, dialog array<string>, label string")
-    params = CleanParams(max_chars=2000, dedup=True, near_dedup=True, target="positive", label="label")
+    params = CleanParams(max_chars=2000, max_turns=1, dedup=True, near_dedup=True, target="positive", label="label")
     result = clean_corpus(df, "id", params)
     stats = result.stats().first().asDict()
     assert stats == {"total": 12, "malformed": 0, "too_many_turns": 1, "no_text": 1, "empty_after_clean": 1, "too_short": 1,
@@ -149,7 +149,20 @@ def test_cleaning_accounts_for_every_row(spark):
     assert again["kept"] == again["total"] == 3
 
 
-def test_no_turn_cap_ignores_dialogs(spark):
+def test_dialogs_are_kept_unless_asked_otherwise(spark):
     df = spark.createDataFrame([(1, ["a long turn"]), (2, ["p", "q", "r"])], "id bigint, dialog array<string>")
-    stats = clean_corpus(df, "id", CleanParams(max_turns=0)).stats().first()
-    assert stats["no_text"] == 2 and stats["kept"] == 0
+    assert {r["id"]: r["text"] for r in clean_corpus(df, "id", CleanParams()).kept.collect()} == {1: "a long turn", 2: "p q r"}
+    unread = clean_corpus(df, "id", CleanParams(read_dialogs=False)).stats().first()
+    assert unread["no_text"] == 2 and unread["kept"] == 0
+    capped = clean_corpus(df, "id", CleanParams(max_turns=1, dedup=True))
+    assert capped.stats().first()["too_many_turns"] == 1 and capped.kept.count() == 1
+    assert {r["id"]: r["drop_reason"] for r in capped.reasons().collect()} == {1: None, 2: "too_many_turns"}
+
+
+def test_writing_counts_what_it_writes(spark):
+    rows = [(i, f"text number {i % 7}" if i % 5 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "id bigint, text string").repartition(6)
+    result = clean_corpus(df, "id", CleanParams(dedup=True, near_dedup=True))
+    stats = result.stats().first()
+    assert result.counts["total"] == 100 and result.counts["no_text"] == 20 and result.counts["unique"] == 7
+    assert (stats["total"], stats["no_text"], stats["dedup"], stats["kept"]) == (100, 20, 73, 7 - stats["near_dedup"])
