@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import chat, shingles, text as tx
 from quern.functions.tokens import CharTokenizer, WhitespaceTokenizer, mlm_mask, truncate, with_special
-from quern.operators import filters, order, vocab
+from quern.operators import filters, order, unigram, vocab
 from quern.operators.blocks import pack_blocks
 from quern.operators.bpe import train_bpe
 from quern.operators.dedup import dedup_exact
@@ -46,7 +46,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    """As scanned, or spread over the tasks that the session asks for."""
+    return readers.spread(table(spark, sf_dir, "documents"), readers.tasks_of(spark), ["doc_id"])
 
 
 def norm(x: str) -> str:
@@ -880,15 +881,16 @@ def pack_blocks_docs(spark, sf_dir):
     return blocks.select("batch", "block", F.md5(joined("labels")).alias("ids"))
 
 
-def _bits(salt: int) -> str:
-    return f"('0x' || substr(md5('0:{salt}:' || doc_id || ':' || (i - 1)), 1, 8))::bigint"
+def _bits(part: int) -> str:
+    return f"('0x' || substr(digest, {8 * part + 1}, 8))::bigint"
 
 
 @query("mlm_mask", f"""
     with c as (select doc_id, unnest(string_split(substring(text, 1, 256), '')) as ch,
         generate_subscripts(string_split(substring(text, 1, 256), ''), 1) as i from documents),
+    g as (select *, md5('0:' || doc_id || ':' || (i - 1)) as digest from c),
     m as (select doc_id, i, unicode(ch) as x, {_bits(0)} % 1000000 < 150000 and ch not in (' ', chr(10)) as chosen,
-        {_bits(1)} % 1000000 as act, {_bits(2)} % 50000 as other from c)
+        {_bits(1)} % 1000000 as act, {_bits(2)} % 50000 as other from g)
     select doc_id,
       string_agg((case when not chosen then x when act < 800000 then 1 when act < 900000 then other else x end)::varchar, ',' order by i) as input_ids,
       string_agg((case when chosen then x else -100 end)::varchar, ',' order by i) as labels
@@ -1067,6 +1069,32 @@ def extend_vocab_bpe(spark, sf_dir):
     return vocab.extend_vocab(base, vocab.candidate_tokens(freq, base, 5), [-F.col("freq"), "first_seen"])
 
 
+@query("bpe_vocab_large")
+def bpe_vocab_large(spark, sf_dir):
+    """A vocabulary of 4,256 tokens with 256 reserved for bytes; one merge at a time would take SQL hours."""
+    return bpe_model(spark, sf_dir, vocab_size=4256, reserved=256).merges
+
+
+def unigram_model(spark, sf_dir):
+    lines = normal_lines(spark, sf_dir)
+    words = materialize(vocab.word_counts(lines, "line"), "words")
+    symbols = materialize(vocab.word_symbols(words, vocab.char_vocab(lines, "line", 0.9995)), "symbols")
+    return unigram.train_unigram(symbols, 2000, seed_size=20_000, shrink=0.5), symbols
+
+
+@query("unigram_vocab")
+def unigram_vocab(spark, sf_dir):
+    """Expectation and maximisation have no SQL form; the tests run a sequential version."""
+    model, _ = unigram_model(spark, sf_dir)
+    return model.vocabulary(spark).select("rank", "piece", F.round("score", 9).alias("score"))
+
+
+@query("unigram_word_pieces")
+def unigram_word_pieces(spark, sf_dir):
+    model, symbols = unigram_model(spark, sf_dir)
+    return model.word_pieces(symbols).select("word", "freq", F.array_join("pieces", " ").alias("pieces"))
+
+
 def normal_lines(spark, sf_dir) -> DataFrame:
     lines = tx.explode_lines(docs(spark, sf_dir), "text", ["doc_id"])
     return lines.select("doc_id", "line_no", tx.once(tx.normalize_text("line")).alias("line"))

@@ -89,39 +89,39 @@ def mlm_mask(ids: Column | str, key: Column | str, vocab_size: int, mask_id: int
     """Masked-language-model input: ``struct<input_ids, labels>``.
 
     A position is chosen with probability ``p``; of those 80 % become ``mask_id``, 10 % a random id
-    and 10 % stay. All other labels are ignored. The draws are the first 32 bits of an md5 of seed,
-    purpose, row key and position, so a retried task produces the same row and SQL can repeat them.
+    and 10 % stay. All other labels are ignored. The three draws of a position are the first three
+    32-bit parts of one md5 of seed, row key and position, so a retried task produces the same row and
+    SQL can repeat them.
     """
     scale = 1_000_000
     key = _col(key)
 
-    def bits(salt: int, i: Column) -> Column:
-        named = F.concat_ws(":", F.lit(f"{seed}:{salt}"), key.cast("string"), i.cast("string"))
-        return F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("bigint")
+    def bits(digest: Column, part: int) -> Column:
+        return F.conv(F.substring(digest, 8 * part + 1, 8), 16, 10).cast("bigint")
 
-    def draw(salt: int, i: Column) -> Column:
-        return F.pmod(bits(salt, i), F.lit(scale))
-
-    def position(x: Column, i: Column) -> Column:
-        chosen = draw(0, i) < int(p * scale)
+    def masked(x: Column, digest: Column) -> Column:
+        chosen = F.pmod(bits(digest, 0), F.lit(scale)) < int(p * scale)
         if special_ids:
             chosen = chosen & ~x.isin(*special_ids)
-        action = draw(1, i)
-        random_id = F.pmod(bits(2, i), F.lit(vocab_size)).cast("int")
+        action = F.pmod(bits(digest, 1), F.lit(scale))
+        random_id = F.pmod(bits(digest, 2), F.lit(vocab_size)).cast("int")
         replaced = (
             F.when(action < int(0.8 * scale), F.lit(mask_id))
             .when(action < int(0.9 * scale), random_id)
             .otherwise(x)
         )
-        return F.struct(
-            F.when(chosen, replaced).otherwise(x).alias("id"),
-            F.when(chosen, x).otherwise(F.lit(IGNORED_LABEL)).alias("label"),
-        )
+        # Null where the position is not chosen, so the draw is looked at once.
+        return F.when(chosen, F.struct(replaced.alias("id"), x.alias("label")))
+
+    def position(x: Column, i: Column) -> Column:
+        named = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), i.cast("string")))
+        cell = F.transform(F.array(named), lambda digest: masked(x, digest))[0]
+        return F.struct(x.alias("x"), cell.alias("cell"))
 
     def split(cells: Column) -> Column:
         return F.struct(
-            F.transform(cells, lambda c: c["id"]).alias("input_ids"),
-            F.transform(cells, lambda c: c["label"]).alias("labels"),
+            F.transform(cells, lambda c: F.coalesce(c["cell"]["id"], c["x"])).alias("input_ids"),
+            F.transform(cells, lambda c: F.coalesce(c["cell"]["label"], F.lit(IGNORED_LABEL))).alias("labels"),
         )
 
     return F.transform(F.array(F.transform(_col(ids), position)), split)[0]

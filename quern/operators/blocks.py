@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quern.operators.order import row_index
 
@@ -17,39 +21,66 @@ def pack_blocks(
     """Concatenate the ids of each run of ``batch_rows`` rows and cut them into blocks.
 
     What is left over at the end of a batch is dropped. Returns ``batch``, ``block``, ``input_ids``,
-    ``attention_mask`` and ``labels``. Rows with no ids take part in the batch count. ``sep_id`` adds
-    a separator after each row. ``order`` must identify a row: ids join their place by it, so that
-    they are moved to that join and to their blocks, and nowhere else.
+    ``attention_mask`` and ``labels``. Rows with no ids take part in the batch count; null ids add nothing.
+    ``sep_id`` adds a separator after each row. ``order`` must identify a row.
+
+    Only order columns are numbered. The rows at the places where a slice of whole batches begins, one for each
+    shuffle partition at most, come to the driver; every row finds its slice by comparing its order columns
+    with theirs. Ids move once, to their slice, and each slice is cut in one pass over its sorted rows that
+    holds less than a block.
     """
-    extra = 0 if sep_id is None else 1
-    lengths = df.select(*order, (F.size(ids) + extra).cast("bigint").alias("n"))
-    numbered = row_index(lengths, order, name="at")
-    batch = F.expr(f"at div {int(batch_rows)}").alias("batch")
-
-    # Only lengths are numbered and summed; a frame never spans more than batch_rows of them.
-    before = Window.partitionBy("batch").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    starts = numbered.select(*order, batch, "at", "n").withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    keys = [f"k{i}" for i in range(len(order))]
-    starts = starts.where("n > 0").select(*(F.col(c).alias(k) for c, k in zip(order, keys, strict=True)), "batch", "at", "n", "start")
-    body = F.col(ids) if sep_id is None else F.concat(F.col(ids), F.array(F.lit(sep_id)))
-    rows = df.select(*(F.col(c).alias(f"o{k}") for c, k in zip(order, keys, strict=True)), body.alias("ids"))
-    same = [rows[f"o{k}"].eqNullSafe(starts[k]) for k in keys]
-    placed = rows.join(starts, same).select("batch", "at", "ids", "n", "start")
-    # Each row is cut where blocks end; only the pieces are passed on.
-    def piece(block: Column) -> Column:
-        lo = F.greatest(block * block_size - F.col("start"), F.lit(0))
-        hi = F.least((block + 1) * block_size - F.col("start"), F.col("n"))
-        part = F.slice("ids", (lo + 1).cast("int"), (hi - lo).cast("int"))
-        return F.struct(block.alias("block"), part.alias("piece"))
-
-    touched = F.expr(f"sequence(start div {int(block_size)}, (start + n - 1) div {int(block_size)})")
-    pieces = placed.select("batch", "at", F.inline(F.transform(touched, piece)))
-    # A group holds at most block_size ids.
-    blocks = pieces.groupBy("batch", "block").agg(
-        F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces")
-    )
-    full = blocks.select("batch", "block", F.flatten(F.col("pieces.piece")).alias("input_ids"))
-    full = full.where(F.size("input_ids") == block_size)
+    spark = df.sparkSession
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = row_index(df.select(*order), order, name="_at")
+    rows = (numbered.agg(F.max("_at")).first()[0] or 0) + 1
+    step = batch_rows * max(1, -(-rows // (batch_rows * slices)))
+    starts = numbered.where(F.col("_at") % step == 0).orderBy("_at").select(*order).collect()
+    kinds = [df.schema[c].dataType for c in order]
+
+    def key(row) -> Column:
+        return F.struct(*(F.lit(v).cast(kind).alias(c) for v, kind, c in zip(row, kinds, order, strict=True)))
+
+    if len(starts) > 1:
+        own = F.struct(*(F.col(c).cast(kind).alias(c) for c, kind in zip(order, kinds, strict=True)))
+        place = F.size(F.filter(F.array(*map(key, starts[1:])), lambda start: start <= own))
+    else:
+        place = F.lit(0)
+    body = F.col(ids) if sep_id is None else F.concat(F.col(ids), F.array(F.lit(sep_id).cast(df.schema[ids].dataType.elementType)))
+    keys = [f"_k{i}" for i in range(len(order))]
+    sliced = df.select(place.alias("_slice"), *(F.col(c).alias(k) for c, k in zip(order, keys, strict=True)), body.alias("_ids"))
+    sliced = sliced.repartition(slices, "_slice").sortWithinPartitions("_slice", *keys)
+    schema = T.StructType([T.StructField("batch", T.LongType()), T.StructField("block", T.LongType()), T.StructField("input_ids", df.schema[ids].dataType)])
+    kind = to_arrow_schema(schema).field("input_ids").type
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, current, held, count, block = 0, None, [], 0, 0
+        for part in batches:
+            found = part.column(1)
+            values = found.values.to_numpy(zero_copy_only=False)
+            offsets, empty = found.offsets.to_numpy(), found.is_null().to_numpy(zero_copy_only=False)
+            made: list[tuple[int, int, np.ndarray]] = []
+            for k, number in enumerate(part.column(0).to_pylist()):
+                at = at + 1 if current is not None and current[0] == number else 0
+                batch = (number * step + at) // batch_rows
+                if current != (number, batch):
+                    current, held, count, block = (number, batch), [], 0, 0
+                if empty[k]:
+                    continue
+                row = values[offsets[k]:offsets[k + 1]]
+                held.append(row)
+                count += len(row)
+                if count >= block_size:
+                    whole = np.concatenate(held)
+                    for _ in range(count // block_size):
+                        made.append((batch, block, whole[:block_size]))
+                        whole, block = whole[block_size:], block + 1
+                    held, count = [whole], len(whole)
+            if made:
+                bounds = pa.array(np.arange(len(made) + 1, dtype=np.int32) * block_size)
+                lists = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([w for _, _, w in made])).cast(kind.value_type))
+                yield pa.RecordBatch.from_arrays([pa.array([b for b, _, _ in made]), pa.array([n for _, n, _ in made]), lists], schema.names)
+
+    full = sliced.select("_slice", "_ids").mapInArrow(cut, schema)
     return full.select(
         "batch", "block", "input_ids",
         F.array_repeat(F.lit(1), block_size).alias("attention_mask"),

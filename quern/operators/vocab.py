@@ -176,15 +176,16 @@ def fragmented_token_freq(
 
 
 def _broken_up(lines: DataFrame, order: Sequence[str], base, max_base_pieces: int, known: DataFrame | None) -> DataFrame:
-    lines = lines.withColumn("base", base.tokens("line"))
-    many = F.size("base") > max_base_pieces
+    pieces = base.tokens("line")
+    many = F.size(pieces) > max_base_pieces
     if known is not None:
-        few = lines.where(~many)
-        words = few.select(*order, F.explode("base").alias("token"))
-        unknown = words.join(known.select("token"), "token", "left_anti").select(*order).distinct()
-        return lines.where(many).unionByName(few.join(unknown, list(order), "left_semi"))
+        # Lines of few words carry their text to the verdict, so it is not looked up again.
+        few = lines.where(~many).select(*order, "line", F.explode(pieces).alias("token"))
+        found = few.join(known.select("token").distinct().withColumn("_known", F.lit(True)), "token", "left")
+        odd = found.groupBy(*order).agg(F.any_value("line").alias("line"), F.bool_or(F.col("_known").isNull()).alias("_odd"))
+        return lines.where(many).unionByName(odd.where("_odd").select(*order, "line"))
     if base.unk_token is not None:
-        return lines.where(many | F.array_contains("base", base.unk_token))
+        return lines.where(many | F.array_contains(pieces, base.unk_token))
     return lines.where(many)
 
 

@@ -118,3 +118,22 @@ def route_subdir(path: Column | str, marker: str = "fetch_data") -> Column:
     found = F.regexp_extract(path, f"(?:^|/){marker}/([^/]+)", 1)
     message = F.concat(F.lit(f"no folder after {marker!r} in "), path)
     return F.when(found != "", found).otherwise(F.raise_error(message))
+
+
+#: Session setting with the tasks that costly jobs over few or large files are spread over.
+TASKS = "spark.quern.tasks"
+
+
+def tasks_of(spark: SparkSession) -> int | None:
+    """The session's ``spark.quern.tasks``; none unless it is set."""
+    value = spark.conf.get(TASKS, None)
+    return int(value) if value else None
+
+
+def spread(df: DataFrame, tasks: int | None, key: Sequence[str]) -> DataFrame:
+    """``df`` dealt out to ``tasks`` tasks by ``key``, or as it is scanned where ``tasks`` is None.
+
+    A file with one row group is one task, whatever its rows cost. ``key`` should identify a row, so that
+    no task gets more than its share and a retried one gets the same rows.
+    """
+    return df if tasks is None else df.repartition(tasks, *key)

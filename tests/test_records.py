@@ -118,7 +118,7 @@ def test_pack_blocks_equals_a_loop(spark, block, batch, sep):
     assert all(r["labels"] == r["input_ids"] and r["attention_mask"] == [1] * block for r in got.collect())
 
 
-def test_pack_blocks_numbers_rows_by_lengths_alone(spark, monkeypatch):
+def test_pack_blocks_numbers_rows_by_order_alone(spark, monkeypatch):
     """Null ids and a null order value keep their place in the batch count; no ids are written."""
     written = []
     monkeypatch.setattr(order, "materialize", lambda df, label: written.append(df.columns) or materialize(df, label))
@@ -126,7 +126,7 @@ def test_pack_blocks_numbers_rows_by_lengths_alone(spark, monkeypatch):
                                  "x string, y int, ids array<int>")
     got = pack_blocks(rows, "ids", 2, ["x", "y"], batch_rows=3)
     assert sorted((r["batch"], r["block"], r["input_ids"]) for r in got.collect()) == [(0, 0, [1, 2]), (1, 0, [4, 5])]
-    assert written == [["x", "y", "n", "_slice", "_place"]]
+    assert written == [["x", "y", "_slice", "_place"]]
 
 
 def test_mlm_mask_rates_and_repeatability(spark):
