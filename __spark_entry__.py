@@ -340,6 +340,16 @@ def dedup_near_docs(spark, sf_dir):
     return dedup_near(unique, "doc_id").select("doc_id", F.md5("text").alias("text_md5"))
 
 
+@query("dedup_near_07", f"""
+    with recursive {UNIQUE}, {near_ctes('base', 0.7)}
+    select id as doc_id from base where id not in (select id from gone)""")
+def dedup_near_07(spark, sf_dir):
+    """A threshold of 0.7: parts hold few shingles, so it matters that rare ones are keys."""
+    rows = docs(spark, sf_dir).select("doc_id", tx.once(tx.normalize_text("text")).alias("text"))
+    unique = materialize(dedup_exact(rows, tx.content_md5("text"), ["doc_id"]), "unique")
+    return dedup_near(unique, "doc_id", threshold=0.7).select("doc_id")
+
+
 # ---------------------------------------------------------------- text cleaning job
 
 def clean_ctes(lo: int = 5, hi: int = 2000) -> str:
