@@ -18,7 +18,7 @@ from quern.operators.blocks import pack_blocks
 from quern.operators.bpe import train_bpe
 from quern.operators.dedup import dedup_exact
 from quern.operators.neardup import dedup_near
-from quern.plans import line_corpus, preferences, text_cleaning, training_sets
+from quern.plans import classifier, incremental, line_corpus, preferences, text_cleaning, training_sets
 from quern.session import materialize, scratch_dir
 from quern.sources import readers, writers
 
@@ -275,6 +275,14 @@ def preview_docs(spark, sf_dir):
     return rows.select("doc_id", fields["lang"].alias("lang"), fields["source"].alias("source"))
 
 
+@query("ml_label_filter")
+def ml_label_filter(spark, sf_dir):
+    """A classifier that Spark trains on all labelled rows but every fourth by id, as the filter of all rows."""
+    rows = labelled(spark, sf_dir)
+    model = classifier.fit_labels(rows.where("label is not null and doc_id % 4 <> 0"), "text", "label")
+    return filters.label_filter(rows.drop("label"), "positive", model=model).select("doc_id", "text")
+
+
 @query("label_filter_whole", """
     select doc_id from documents
     where text not like '%e%' or (length(text) - length(replace(text, ',', ''))) * 100 > length(text)""")
@@ -350,6 +358,19 @@ def dedup_near_07(spark, sf_dir):
     return dedup_near(unique, "doc_id", threshold=0.7).select("doc_id")
 
 
+@query("dedup_batches", f"""
+    with recursive {UNIQUE}, {near_ctes('base')}
+    select id as doc_id, md5(text) as text_md5 from base where id not in (select id from gone)""")
+def dedup_batches(spark, sf_dir):
+    """Documents that come in two batches, the later one against the index of the earlier one."""
+    rows = docs(spark, sf_dir).select("doc_id", tx.once(tx.normalize_text("text")).alias("text"))
+    index = incremental.CorpusIndex(spark, _fresh(spark, "index"))
+    middle = rows.agg(F.percentile("doc_id", 0.5).alias("p")).first()["p"]
+    early = index.add(rows.where(F.col("doc_id") <= middle), "doc_id", 0)
+    late = index.add(rows.where(F.col("doc_id") > middle), "doc_id", 1)
+    return early.kept.unionByName(late.kept).select("doc_id", F.md5("text").alias("text_md5"))
+
+
 # ---------------------------------------------------------------- text cleaning job
 
 def clean_ctes(lo: int = 5, hi: int = 2000) -> str:
@@ -957,6 +978,22 @@ def word_counts(spark, sf_dir):
     return vocab.word_counts(normalized(spark, sf_dir), "text")
 
 
+def _scripts(text: str) -> str:
+    """Texts of the table in the letters of three scripts, by id."""
+    return (f"case doc_id % 3 when 0 then {text} when 1 then translate({text}, 'aeinorst', '的一是不了人我在') "
+            f"else translate({text}, 'aeinorst', 'กขคงจฉชซ') end")
+
+
+@query("word_counts_script", rf"""
+    with t as (select {_scripts('text')} as text from ({DOC_NORM})),
+    m as (select unnest(regexp_extract_all('▁' || replace(text, ' ', ' ▁'), '{vocab.script_words(re2=True)}')) as word from t where text <> '')
+    select word, count(*) as freq from m group by word""")
+def word_counts_script(spark, sf_dir):
+    """Words by script, with a mark where a space or the text's start stood before them."""
+    text = F.expr(_scripts("text"))
+    return vocab.word_counts_by_script(normalized(spark, sf_dir).select(text.alias("text")), "text")
+
+
 @query("bpe_pairs", f"""
     with {WORD_COUNTS}, s as (select freq, string_split(word, '') as c from wc where length(word) > 1),
     p as (select freq, unnest(list_transform(range(1, len(c)), lambda i: c[i] || chr(1) || c[i + 1])) as pair from s)
@@ -1216,6 +1253,21 @@ def route_roundtrip(spark, sf_dir):
     return rows.select("doc_id", "text", "subdir", "name")
 
 
+@query("sink_roundtrip", """
+    with r as (select doc_id, text, source from documents)
+    select 'jsonl' as format, doc_id, text, source, (select count(*) from r) as kept from r
+    union all select 'parquet', doc_id, text, source, (select count(*) from r) from r""")
+def sink_roundtrip(spark, sf_dir):
+    """Rows of one pass as JSONL and parquet below a folder of their own, with the statistics that mark them complete."""
+    base, rows = _fresh(spark, "sink"), docs(spark, sf_dir).select("doc_id", "text", "source")
+    writers.write_dataset(rows, base, "pretrain", partition_by=["source"], kept=F.count("*"))
+    stats = readers.read_stats(spark, base, "pretrain")
+    schema = "doc_id bigint, text string, source string"
+    jsonl = spark.read.schema(schema).json(f"{base}/pretrain/jsonl").select(F.lit("jsonl").alias("format"), "doc_id", "text", "source")
+    parquet = spark.read.schema(schema).parquet(f"{base}/pretrain/parquet").select(F.lit("parquet").alias("format"), "doc_id", "text", "source")
+    return jsonl.unionByName(parquet).withColumn("kept", F.lit(stats["kept"]).cast("bigint"))
+
+
 @query("dataset_roundtrip", """
     select doc_id::varchar as text from documents union all select lang || doc_id as text from documents""")
 def dataset_roundtrip(spark, sf_dir):

@@ -48,6 +48,38 @@ def word_counts(df: DataFrame, text: str, split_digits: bool = True) -> DataFram
     return words.groupBy("word").agg(F.count("*").alias("freq"))
 
 
+#: Stands before a word that a space or the start of the text precedes.
+BOUNDARY = "▁"
+#: Scripts whose letters make words of their own; those of one group mix within a word.
+SCRIPTS = (("Han", "Hiragana", "Katakana", "Bopomofo"), ("Latin",), ("Cyrillic",), ("Greek",), ("Arabic",), ("Hebrew",), ("Thai",), ("Lao",),
+           ("Devanagari",), ("Hangul",), ("Armenian",), ("Georgian",), ("Khmer",), ("Myanmar",))
+
+
+def script_words(re2: bool = False) -> str:
+    """A pattern whose matches are the words of a marked text: letters of one script group with their combining marks,
+    other letters, single digits, other characters. ``re2`` spells script names for SQL engines with that syntax."""
+    name = (lambda s: rf"\p{{{s}}}") if re2 else (lambda s: rf"\p{{Is{s}}}")
+    groups = ["".join(map(name, g)) for g in SCRIPTS]
+    listed = "".join(groups)
+    runs = [rf"[{g}][{g}\p{{M}}]*" for g in groups]
+    other = rf"[^\s{BOUNDARY}\p{{N}}\p{{M}}{listed}]"
+    marks = rf"(?:{other})[^\s{BOUNDARY}\p{{N}}{listed}]*"
+    return rf"{BOUNDARY}?(?:{'|'.join(runs)}|\p{{N}}|{marks}|\p{{M}}+)"
+
+
+def split_by_script(text: Column | str) -> Column:
+    """Words of a text by script, so that text without spaces has words: each run of letters of one script group, each
+    digit and each run of other characters; a word after a space or at the start begins with ``BOUNDARY``."""
+    marked = F.concat(F.lit(BOUNDARY), F.regexp_replace(F.regexp_replace(_col(text), r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""), r"[\s\p{Z}]+", f" {BOUNDARY}"))
+    words = F.regexp_extract_all(marked, F.lit(script_words()), F.lit(0))
+    return F.filter(words, lambda w: w != BOUNDARY)
+
+
+def word_counts_by_script(df: DataFrame, text: str) -> DataFrame:
+    """Occurrences of each word of ``split_by_script``: ``word``, ``freq``."""
+    return df.select(F.explode(split_by_script(text)).alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
+
+
 def byte_tokens(char: Column | str) -> Column:
     """UTF-8 bytes of a character as ``<0xNN>`` tokens."""
     pairs = F.regexp_extract_all(F.hex(F.encode(_col(char), "UTF-8")), F.lit("(..)"), F.lit(1))

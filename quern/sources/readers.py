@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,6 +102,11 @@ def read_dataset(spark: SparkSession, path: str, schema: str | T.StructType | No
     return with_order(reader.json(path))
 
 
+def read_stats(spark: SparkSession, base: str, subdir: str) -> dict:
+    """The statistics of a dataset that ``writers.write_dataset`` has completed; fails for any other."""
+    return json.loads(spark.read.text(f"{base.rstrip('/')}/{subdir}/stats").first()["value"])
+
+
 def read_template(spark: SparkSession, path: str) -> ChatTemplate:
     """A chat template from its JSON file, a setting of a few hundred bytes."""
     return parse_template(spark.read.text(path, wholetext=True).first()["value"])

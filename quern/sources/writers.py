@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quern.sources.readers import TSV_FORMAT, route_subdir
@@ -62,6 +63,31 @@ def route_output(df: DataFrame, base: str, file: str = "_file", columns: Sequenc
     write_jsonl(routed, base, order, [*columns, "subdir", "name"], partition_by=["subdir", "name"])
 
 
+def write_dataset(df: DataFrame, base: str, subdir: str, partition_by: Sequence[str] = (), formats: Sequence[str] = ("jsonl", "parquet"),
+                  **stats: Column) -> dict:
+    """Write rows to ``base/subdir/<format>`` and then ``base/subdir/stats``: aggregates that the first write collects, as one
+    JSON object. The statistics come last, so they mark a dataset that is complete.
+
+    Rows are rebalanced by the folders they go to: Spark merges small ones and splits large ones to its advisory partition
+    size, so a folder that holds most rows is written by many tasks. The plan of ``df`` runs once; each
+    further format is written from the first.
+    """
+    if set(formats) - {"jsonl", "parquet"} or not formats:
+        raise ValueError("formats are jsonl and parquet")
+    spark, root, seen = df.sparkSession, f"{base.rstrip('/')}/{subdir}", Observation()
+    observed = df.observe(seen, *(c.alias(name) for name, c in stats.items())) if stats else df
+    rows = observed.hint("rebalance", *partition_by) if partition_by else observed.hint("rebalance")
+    write = {"jsonl": write_jsonl, "parquet": write_parquet}
+    first, *others = sorted(formats, reverse=True)  # parquet first: it keeps types
+    write[first](rows, f"{root}/{first}", partition_by=partition_by)
+    for name in others:
+        again = spark.read.schema(df.schema).parquet(f"{root}/{first}")
+        write[name](again.hint("rebalance", *partition_by) if partition_by else again, f"{root}/{name}", partition_by=partition_by)
+    found = seen.get if stats else {}
+    spark.createDataFrame([(json.dumps(found),)], "value string").coalesce(1).write.text(f"{root}/stats")
+    return found
+
+
 def split_totals(df: DataFrame, split: str = "split") -> DataFrame:
     """Rows per split, and over all splits in the row whose split is null."""
     return df.rollup(split).agg(F.count("*").alias("rows"))
