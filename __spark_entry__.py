@@ -538,6 +538,49 @@ def dialog_text(spark, sf_dir):
     return rows.select("conv_id", tx.dialog_to_text("messages", rows.schema["messages"].dataType).alias("text"))
 
 
+#: Kind of an item by conversation and turn: text, object, null, object without content, object with a number.
+DIALOG_KIND = "(conv_id + turn) % 5"
+
+
+def mixed_dialogs(spark, sf_dir) -> DataFrame:
+    """Conversations as JSONL lists of mixed items, every eleventh as an object instead, read as VARIANT, kept in parquet."""
+    path, kind, quoted = _fresh(spark, "dialogs"), F.expr(DIALOG_KIND), F.regexp_extract(F.to_json(F.array("text")), r"(?s)^\[(.*)\]$", 1)
+    item = (F.when(kind == 0, quoted).when(kind == 1, F.to_json(F.struct("role", F.col("text").alias("content"))))
+            .when(kind == 2, "null").when(kind == 3, F.to_json(F.struct("role"))).otherwise(F.to_json(F.struct(F.col("turn").alias("content")))))
+    items = table(spark, sf_dir, "conversations").select("conv_id", "turn", item.alias("item")).groupBy("conv_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("turn", "item"))), lambda x: x["item"]).alias("items"))
+    listed = F.concat(F.lit("["), F.concat_ws(",", "items"), F.lit("]"))
+    dialog = F.when(F.col("conv_id") % 11 == 0, F.concat(F.lit('{"items":'), listed, F.lit("}"))).otherwise(listed)
+    line = F.concat(F.lit('{"conv_id":'), "conv_id", F.lit(',"dialog":'), dialog, F.lit("}"))
+    items.select(line.alias("value")).write.text(f"{path}/jsonl")
+    rows = readers.read_jsonl(spark, f"{path}/jsonl", "conv_id bigint, dialog variant", skip_malformed=True)
+    writers.write_parquet(rows, f"{path}/parquet", columns=["conv_id", "dialog"])
+    return spark.read.schema("conv_id bigint, dialog variant").parquet(f"{path}/parquet")
+
+
+DIALOG_ITEMS = f"""
+    i as (select conv_id, turn, row_number() over (partition by conv_id order by turn) - 1 as place,
+        case when {DIALOG_KIND} in (1, 3) then role end as role,
+        case when {DIALOG_KIND} in (0, 1) then text when {DIALOG_KIND} = 4 then turn::varchar end as text
+      from conversations)"""
+
+
+@query("dialog_variant", f"""
+    with {DIALOG_ITEMS} select conv_id, case when conv_id % 11 <> 0 then count(*) end as turns,
+      case when conv_id % 11 <> 0 then coalesce(string_agg(text, chr(10) order by turn) filter (trim(text) <> ''), '') end as text
+    from i group by conv_id""")
+def dialog_variant(spark, sf_dir):
+    rows = mixed_dialogs(spark, sf_dir)
+    kind = rows.schema["dialog"].dataType
+    return rows.select("conv_id", tx.dialog_size("dialog", kind).cast("bigint").alias("turns"), tx.dialog_to_text("dialog", kind).alias("text"))
+
+
+@query("dialog_turns", f"with {DIALOG_ITEMS} select conv_id, place as turn, role, text from i where conv_id % 11 <> 0")
+def dialog_turns(spark, sf_dir):
+    rows = tx.explode_dialog(mixed_dialogs(spark, sf_dir), "dialog", ["conv_id"])
+    return rows.select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")
+
+
 def spaced(spark, sf_dir) -> DataFrame:
     """Messages whose content has white space of many kinds around it."""
     def turn(m: Column) -> Column:
@@ -710,6 +753,15 @@ def sft_labels(spark, sf_dir):
     return sft(spark, sf_dir).select("conv_id", joined("labels").alias("labels"))
 
 
+@query("training_columns", f"""
+    with {SFT} select array_to_string(list_transform(range(1, 1025), lambda j: coalesce(ids[j], 0)), ',') as input_ids,
+      array_to_string(list_transform(range(1, 1025), lambda j: case when j <= len(ids) then 1 else 0 end), ',') as attention_mask,
+      array_to_string({SFT_LABELS}, ',') as labels from i""")
+def training_columns(spark, sf_dir):
+    rows = training_sets.training_columns(sft(spark, sf_dir))
+    return rows.select(*(joined(c).alias(c) for c in rows.columns))
+
+
 SFT_SPECIAL = f"""f as (select conv_id, string_agg({CHATML_SQL}, '' order by turn) as t,
         count(*) filter (role <> 'assistant') as asked,
         length(coalesce(string_agg({CHATML_SQL}, '' order by turn) filter (role <> 'assistant'), '')) as p
@@ -1301,6 +1353,18 @@ def corpus_roundtrip(spark, sf_dir):
     return placed.select((F.col("at") + 1).alias("place"), "line")
 
 
+@query("numbered_lines", f"""
+    with {CORPUS} select row_number() over (order by doc_id, line_no) as place, line, true as gapless from k""")
+def numbered_lines(spark, sf_dir):
+    """Lines by file and line number; ``gapless`` where the places of a file's lines follow its numbers."""
+    path = _fresh(spark, "numbered")
+    writers.write_corpus(corpus(spark, sf_dir).kept, path, "line", ["doc_id", "line_no"])
+    placed = order.row_index(readers.read_lines(spark, path, numbered=True), [readers.ORDER], name="at")
+    file, start = F.col(f"{readers.ORDER}.path"), F.col("at") - F.col(f"{readers.ORDER}.line")
+    files = placed.groupBy(file.alias("path")).agg((F.min(start) == F.max(start)).alias("gapless"))
+    return placed.join(files, file == F.col("path")).select((F.col("at") + 1).alias("place"), "line", "gapless")
+
+
 @query("tokens_roundtrip", f"""
     with {WORD_COUNTS} select row_number() over (order by freq desc, word) as place, word as token from wc""")
 def tokens_roundtrip(spark, sf_dir):

@@ -106,6 +106,17 @@ def coalesce_text(df: DataFrame, fields: Sequence[str], text: str = "text") -> C
     return F.coalesce(F.col(text).cast("string"), joined)
 
 
+def _is_object(item: Column) -> Column:
+    """Whether a VARIANT value is an object: only objects read as a map."""
+    return F.try_variant_get(item, "$", "map<string,variant>").isNotNull()
+
+
+def _content(item: Column) -> Column:
+    """The text of a VARIANT item: ``content`` of an object, else the item itself; lists and objects as JSON."""
+    return F.when(_is_object(item), F.try_variant_get(item, "$.content", "string")).otherwise(
+        F.try_variant_get(item, "$", "string"))
+
+
 def dialog_to_text(dialog: Column | str, kind: T.DataType) -> Column:
     """Join the turns of a dialog by newlines, leaving out blank turns.
 
@@ -114,13 +125,7 @@ def dialog_to_text(dialog: Column | str, kind: T.DataType) -> Column:
     """
     dialog = _col(dialog)
     if isinstance(kind, T.VariantType):
-        dialog = F.try_variant_get(dialog, "$", "array<variant>")
-
-        def part(item: Column) -> Column:
-            is_object = F.schema_of_variant(item).startswith("OBJECT")
-            content = F.try_variant_get(item, "$.content", "string")
-            return F.when(is_object, content).otherwise(F.try_variant_get(item, "$", "string"))
-
+        dialog, part = F.try_variant_get(dialog, "$", "array<variant>"), _content
     elif isinstance(kind.elementType, T.StructType):
 
         def part(item: Column) -> Column:
@@ -135,6 +140,18 @@ def dialog_to_text(dialog: Column | str, kind: T.DataType) -> Column:
     return F.array_join(F.filter(parts, lambda p: ~is_blank(p)), "\n")
 
 
+def explode_dialog(df: DataFrame, dialog: str, keep: Sequence[str]) -> DataFrame:
+    """One row per item of a VARIANT dialog: the ``keep`` columns, ``turn`` (from 0), ``role`` and ``text``.
+
+    Every item has a row, so turns keep their numbers: ``role`` is null where the item is no object or has none,
+    ``text`` where it is null or an object without content. A dialog that is no list has no rows.
+    """
+    items = F.try_variant_get(F.col(dialog), "$", "array<variant>")
+    rows = df.select(*keep, F.posexplode(items).alias("turn", "_item"))
+    return rows.select(*keep, "turn", F.try_variant_get("_item", "$.role", "string").alias("role"),
+                       _content(F.col("_item")).alias("text"))
+
+
 def dialog_size(dialog: Column | str, kind: T.DataType) -> Column:
     """Number of turns, or null when the value is not a list."""
     dialog = _col(dialog)

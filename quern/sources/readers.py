@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.chat import ChatTemplate, parse_template
+from quern.session import materialize
 
 ORDER = "_order"
 MALFORMED = "_malformed"
@@ -20,7 +21,7 @@ def file_order() -> Column:
     """File path, then block offset, then place in the block: the order of a sorted file listing.
 
     Only valid in the select that sits directly on the scan. The id alone would not do, as Spark
-    reads large files first.
+    reads large files first. Holds within one scan; ``with_line_numbers`` makes it independent of the scan.
     """
     return F.struct(
         F.col("_metadata.file_path").alias("path"),
@@ -39,10 +40,34 @@ def _valid_utf8(c: Column) -> Column:
     return F.when(F.is_valid_utf8(c), c).otherwise(F.replace(F.make_valid_utf8(c), F.lit("�"), F.lit("")))
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines of all files that match ``path``: ``_order``, ``_file``, ``line``."""
+def with_line_numbers(rows: DataFrame) -> DataFrame:
+    """``rows`` of a line reader with ``_order`` as ``(path, line)``: the number of the line in its file, from 0.
+
+    ``file_order`` depends on how a scan is split and packed into tasks; this does not, so the order of
+    one run can be stored and compared with that of another. The rows are written once, which fixes their
+    ids. Ids are consecutive inside a block of a file, hence line = id - first id of the block + lines of the
+    blocks before it. The counts are one row per block (128 MB as Spark splits by default).
+
+    Pass every line of the files: rows left out before are not counted.
+    """
+    held = materialize(rows, "lines")
+    path, block, row = (F.col(f"{ORDER}.{name}") for name in ("path", "block", "row"))
+    blocks = held.groupBy(path.alias("_path"), block.alias("_block")).agg(F.min(row).alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_path", "_block", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    placed = held.join(starts, (path == F.col("_path")) & (block == F.col("_block")))
+    order = F.struct(path.alias("path"), (row + F.col("_shift")).alias("line"))
+    return placed.select(*(order.alias(c) if c == ORDER else F.col(f"`{c}`") for c in rows.columns))
+
+
+def read_lines(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+    """Text lines of all files that match ``path``: ``_order``, ``_file``, ``line``.
+
+    ``numbered`` gives orders that hold from one scan to the next, for a table of all lines written on the way.
+    """
     scan = with_order(spark.read.text(path))
-    return scan.select(ORDER, "_file", _valid_utf8(F.col("value")).alias("line"))
+    lines = scan.select(ORDER, "_file", _valid_utf8(F.col("value")).alias("line"))
+    return with_line_numbers(lines) if numbered else lines
 
 
 def is_json_object(line: Column) -> Column:
@@ -58,15 +83,15 @@ def is_json_object(line: Column) -> Column:
 
 
 def read_jsonl(
-    spark: SparkSession, path: str, schema: str | T.StructType, skip_malformed: bool = False
+    spark: SparkSession, path: str, schema: str | T.StructType, skip_malformed: bool = False, numbered: bool = False
 ) -> DataFrame:
     """One JSON object per line, read with a fixed schema; missing keys are null.
 
     Lines that hold no object come back with ``_malformed`` true and null fields, so a caller can
     count them; ``skip_malformed`` leaves them and blank lines out. Declare a field as ``variant``
-    when its shape differs from row to row.
+    when its shape differs from row to row. ``numbered`` is that of ``read_lines``.
     """
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, numbered)
     if skip_malformed:
         lines = lines.where(is_json_object(F.col("line")))
     fields = F.from_json(F.col("line"), schema if isinstance(schema, str) else schema.simpleString())

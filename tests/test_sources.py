@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quern.functions import text
 from quern.plans.text_cleaning import CleanParams, clean_corpus
 from quern.sources import readers, writers
 
@@ -24,6 +25,53 @@ def test_order_follows_file_names_not_sizes(spark, tmp_path):
     assert [int(r["line"]) for r in rows] == list(range(1, 3000))
 
 
+def test_line_numbers_do_not_depend_on_the_scan(spark, tmp_path):
+    """Blocks of 100 bytes and whole files number alike; blank, long and last lines without a break count."""
+    lines = {"a": [f"a{i}" * (i % 40) for i in range(300)], "b": ["", "", "x" * 1000, "end"], "c": ["only"]}
+    for name, content in lines.items():
+        (tmp_path / f"{name}.txt").write_text("\n".join(content))
+    (tmp_path / "empty.txt").write_text("")
+    seen = []
+    for size in ("100", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "50")
+        try:
+            rows = readers.read_lines(spark, str(tmp_path / "*.txt"), numbered=True)
+            seen.append(sorted((r["_order"]["path"].rsplit("/", 1)[1][0], r["_order"]["line"], r["line"]) for r in rows.collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen[0] == seen[1] == [(f, i, x) for f in "abc" for i, x in enumerate(lines[f])]
+
+
+def test_numbered_records_keep_the_numbers_of_their_lines(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('bad\n{"n":1}\n\n{"n":2}\n')
+    rows = readers.read_jsonl(spark, str(tmp_path), "n int", skip_malformed=True, numbered=True).orderBy("_order").collect()
+    assert [(r["_order"]["line"], r["n"]) for r in rows] == [(1, 1), (3, 2)]
+
+
+MIXED = [' ["a",{"role":"u","content":"b"},null,{"content":5},{"role":"x"},7,true,[1,"z"],{"content":null},{"content":{"k":1}}," "]',
+         '{"content":"no list"}', "null", "[]", '"text"', '["only"]']
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_variant_dialogs(spark, tmp_path, stored):
+    """Mixed items of a VARIANT column, as parsed and as stored in parquet."""
+    df = spark.createDataFrame([*enumerate(MIXED), (6, None)], "id int, j string").select("id", F.try_parse_json("j").alias("dialog"))
+    if stored:
+        writers.write_parquet(df, str(tmp_path / "v"))
+        df = spark.read.parquet(str(tmp_path / "v"))
+    kind = df.schema["dialog"].dataType
+    rows = df.select("id", text.dialog_size("dialog", kind).alias("n"), text.dialog_to_text("dialog", kind).alias("t")).orderBy("id").collect()
+    assert [r["n"] for r in rows] == [11, None, None, 0, None, 1, None]
+    assert [r["t"] for r in rows] == ['a\nb\n5\n7\ntrue\n[1,"z"]\n{"k":1}', None, None, "", None, "only", None]
+    turns = text.explode_dialog(df, "dialog", ["id"]).orderBy("id", "turn").collect()
+    assert [(r["turn"], r["role"], r["text"]) for r in turns if r["id"] == 0] == [
+        (0, None, "a"), (1, "u", "b"), (2, None, None), (3, None, "5"), (4, "x", None), (5, None, "7"), (6, None, "true"),
+        (7, None, '[1,"z"]'), (8, None, None), (9, None, '{"k":1}'), (10, None, " ")]
+    assert [r["id"] for r in turns if r["id"]] == [5]
+
+
 def test_invalid_utf8_is_dropped(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"ok\xff\xfe!\nfine \xe4\xbd\xa0\n")
     assert [r["line"] for r in readers.read_lines(spark, str(tmp_path)).orderBy("_order").collect()] == ["ok!", "fine 你"]
