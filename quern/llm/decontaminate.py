@@ -9,7 +9,8 @@ kept position, and the covered words are merged into spans.
 
 Defined results: a null text has no words, an item without words has no window, an item without id
 counts under the empty id, repeated items and documents count as the rows they are; an empty
-benchmark or table gives unhit or no rows. Extra columns of either side are untouched.
+benchmark or table gives unhit or no rows. Extra columns of either side are untouched. Bytes that are not
+UTF-8 are parts of words; offsets count every byte that does not continue a character.
 """
 
 from __future__ import annotations
@@ -264,12 +265,13 @@ def count_words(text, spans):
 
 
 def remove_spans(text: bytes, spans: list[tuple[int, int]]) -> str:
-    """The text without its spans."""
-    chars, out, at = text.decode(), [], 0
+    """The text without its spans, whose offsets are those of ``find_contamination``."""
+    starts = np.append(np.flatnonzero((np.frombuffer(text, np.uint8) & 0xC0) != 0x80), len(text)).tolist()
+    out, at = [], 0
     for start, end in spans:
-        out.append(chars[at:start])
-        at = end
-    return "".join([*out, chars[at:]])
+        out.append(text[at:starts[start]])
+        at = starts[end]
+    return b"".join([*out, text[at:]]).decode("utf-8", "replace")
 
 
 def contaminated(found: Column) -> Column:

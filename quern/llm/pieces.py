@@ -13,7 +13,8 @@ The vocabulary is read on the driver from a path and travels with the function.
 normaliser table, user symbols, or marks inside pieces are refused.
 
 Defined results: a null or empty text has the begin and end ids only and decodes to the empty text;
-the space mark itself reads as a space; repeated rows have equal ids.
+the space mark itself reads as a space; repeated rows have equal ids; bytes that are not UTF-8 are
+encoded as U+FFFD.
 """
 
 from __future__ import annotations
@@ -197,7 +198,7 @@ def summary(vocabulary: PieceVocabulary) -> Callable[[], Callable[[list[bytes]],
         def work(texts: list[bytes]) -> list:
             counts, ids, decoded = [], [], []
             for t in texts:
-                packed = coder.encode(t.decode())
+                packed = coder.encode(t.decode("utf-8", "replace"))
                 counts.append(len(packed) // 4)
                 ids.append(hashlib.sha256(packed).hexdigest())
                 decoded.append(hashlib.sha256(coder.decode(packed)).hexdigest())
@@ -219,7 +220,7 @@ def with_ids(docs: DataFrame, vocabulary: PieceVocabulary, text: str = "text", n
         coder = Coder(vocabulary)
 
         def work(texts: list[bytes]) -> list:
-            made = [coder.encode(t.decode()) for t in texts]
+            made = [coder.encode(t.decode("utf-8", "replace")) for t in texts]
             return [[np.frombuffer(i, "<u4").astype(np.int32) for i in made], [coder.decode(i).decode() for i in made]]
 
         return work
@@ -235,7 +236,7 @@ def check(docs: DataFrame, vocabulary: PieceVocabulary, path: str, text: str = "
         coder, library = Coder(vocabulary), sentencepiece.SentencePieceProcessor(model_file=path)
 
         def work(texts: list[bytes]) -> list:
-            plain = [t.decode() for t in texts]
+            plain = [t.decode("utf-8", "replace") for t in texts]
             want = library.encode(plain, add_bos=True, add_eos=True, num_threads=1)
             back = library.decode(want)
             made = [coder.encode(t) for t in plain]

@@ -10,7 +10,8 @@ Rules (fixed values of the task, offsets in code points, leftmost matches that d
 assign, access key, hex run. Byte tests skip texts that cannot match; they drop no match.
 
 Defined results: a null text is the empty blob; equal texts, whatever path or version they have, share
-one scan; null paths are kept; an empty table gives no rows and leaves the ledger unchanged.
+one scan; null paths are kept; an empty table gives no rows and leaves the ledger unchanged; bytes that
+are not UTF-8 count as U+FFFD in offsets, while the blob is addressed by its bytes.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def scan(text: bytes) -> list[dict]:
     run = b"\x01" * 24 in text.translate(_IS_HEX)
     if not (assign or access or run):
         return []
-    chars, found = text.decode(), []
+    chars, found = text.decode("utf-8", "replace"), []
     if assign:
         found += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(chars) if len(m[2]) >= 6]
     if access:

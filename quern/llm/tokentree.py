@@ -12,13 +12,14 @@ Edits of a document apply in order, each to the text that the one before left. C
 encoding the edited text anew; the tests compare them with the library.
 
 Defined results: a null or empty text has no tokens and an empty tree; positions are code points,
-clipped to the text; null edits change nothing; equal rows have equal trees.
+clipped to the text; null edits change nothing; equal rows have equal trees; bytes that are not UTF-8
+count as U+FFFD, in texts and in what edits put in.
 """
 
 from __future__ import annotations
 
 import base64
-from bisect import bisect_right
+import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quern.llm.common import free_name, map_texts, text_or_empty, worker_store
+from quern.llm.common import free_name, map_texts, text_or_empty, utf8, worker_store
 
 LEAF = 32
 KEPT_COUNTS = 400_000
@@ -38,6 +39,8 @@ AHEAD = 2
 
 TREE = "chars array<int>, tokens array<int>"
 EDIT = "array<struct<at: int, cut: int, put: string>>"
+#: Edits as Arrow hands them over, ``put`` as bytes.
+_EDITS = pa.list_(pa.struct([("at", pa.int64()), ("cut", pa.int64()), ("put", pa.large_binary())]))
 
 
 class Counter(dict):
@@ -60,14 +63,16 @@ class Vocabulary:
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.pattern, self.path = pattern, path
+            ranks = f.read()
+        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        #: Counts that a worker keeps hold for these ranks and this pattern, whatever file they are read from.
+        self.pattern, self.key = pattern, hashlib.sha256(ranks + b"\0" + pattern.encode()).hexdigest()
 
     def counter(self) -> tuple[Counter, regex.Pattern]:
         store = worker_store("token-counts")
-        if self.path not in store:
-            store[self.path] = Counter(tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={}))
-        return store[self.path], regex.compile(self.pattern)
+        if self.key not in store:
+            store[self.key] = Counter(tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={}))
+        return store[self.key], regex.compile(self.pattern)
 
 
 class TokenTree:
@@ -166,7 +171,7 @@ def with_tree(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", name:
         counter, pattern = vocabulary.counter()
 
         def work(texts: list[bytes]) -> list:
-            trees = [TokenTree.of(t.decode(), counter, pattern) for t in texts]
+            trees = [TokenTree.of(t.decode("utf-8", "replace"), counter, pattern) for t in texts]
             return [[t.chars[0] for t in trees], [t.tokens[0] for t in trees]]
 
         return work
@@ -190,13 +195,14 @@ def apply_edits(docs: DataFrame, tree: str, edits: str, vocabulary: Vocabulary,
         kind = to_arrow_schema(schema).field(len(kept)).type
         for batch in batches:
             made = []
-            for body, groups, changes in zip(*(batch.column(p).to_pylist() for p in places), strict=True):
-                body = body or ""
+            texts, trees, edited = (batch.column(p) for p in places)
+            for raw, groups, changes in zip(utf8(texts), trees.to_pylist(), edited.cast(_EDITS).to_pylist(), strict=True):
+                body = raw.decode("utf-8", "replace")
                 grown = TokenTree(groups["chars"] or [], groups["tokens"] or [])
                 before, encoded = grown.total, 0
                 for e in changes or []:
                     if e is not None:
-                        body, n = grown.edit(body, e["at"] or 0, e["cut"] or 0, e["put"] or "", counter, pattern)
+                        body, n = grown.edit(body, e["at"] or 0, e["cut"] or 0, (e["put"] or b"").decode("utf-8", "replace"), counter, pattern)
                         encoded += n
                 made.append({"chars": grown.chars[0], "tokens": grown.tokens[0], "n_tokens": before, "n_tokens_edited": grown.total,
                              "n_chars_edited": len(body), "n_chars_encoded": encoded})
