@@ -9,10 +9,10 @@ coordinates when it is high: in the query's largest coordinates a unit vector mu
 bounds that follow from the cosine. What is left gets its exact product. Bounds are widened by a
 relative 1e-9 and pruning asks for a strictly smaller score, so ties stay.
 
-Queries come in blocks of at most ``QUERIES`` vectors; each block is one pass over the vectors. A
-first pass over the longest vectors gives every query a threshold to start from. A task returns at
-most k rows per query, and a block's rows are written before the next block is read, so the driver
-holds one block at a time.
+Queries come in blocks of about ``BLOCK_BYTES`` of components; each block is one pass over the vectors, in
+which a task meets a bucket with ``QUERIES`` queries at a time. A first pass over the longest vectors gives
+every query a threshold to start from. A task returns at most k rows per query, and a block's rows are
+written before the next block is read from its own folder, so the driver holds one block at a time.
 
 Defined results: vectors that are null, or hold a null or non-finite component, take no part; only
 vectors of the query's size are candidates; a zero vector scores zero with all; a component whose
@@ -31,18 +31,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import stored
+from quern.llm.common import fresh_path, stored
 
 SCALE = 1024
 #: Integers of components stay below this in size, or the row is an error.
 LIMIT = 1 << 63
 QUERIES = 2048
+#: Components of queries, eight bytes each, that one pass over the vectors takes along.
+BLOCK_BYTES = 16 * 1024 * 1024
 BUCKET = 2048
 FIRST = 2048
 FOCUS = 4
 #: Local thresholds from which coordinates prune better than lengths.
 SHARP = 0.5
 LAST_ID = (1 << 63) - 1
+QUERY = "id bigint, v array<bigint>, norm2 double"
 
 
 def quantized(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -161,27 +164,26 @@ def _matrix(batch: pa.Table) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     return out
 
 
-def _search_all(searches: dict[int, Search], table: pa.Table) -> None:
+def _search_all(searches: list[Search], table: pa.Table) -> None:
     for ids, vectors, norms in _matrix(table):
-        search = searches.get(vectors.shape[1])
-        for at in range(0, len(ids) if search else 0, BUCKET):
-            search.bucket(ids[at:at + BUCKET], vectors[at:at + BUCKET], norms[at:at + BUCKET])
+        meets = [s for s in searches if s.queries.shape[1] == vectors.shape[1]]
+        for at in range(0, len(ids) if meets else 0, BUCKET):
+            for search in meets:
+                search.bucket(ids[at:at + BUCKET], vectors[at:at + BUCKET], norms[at:at + BUCKET])
 
 
-def _block(vectors: DataFrame, queries: list, first: list, k: int) -> DataFrame:
+def _block(vectors: DataFrame, queries: pa.Table, first: pa.Table, k: int) -> DataFrame:
     """Best k of every query in each task, as ``(query_id, id, score)``."""
-    arrow = lambda rows: pa.table({"id": pa.array([r["id"] for r in rows], pa.int64()), "norm2": pa.array([r["norm2"] for r in rows], pa.float64()),
-                                   "v": pa.array([r["v"] for r in rows], pa.list_(pa.int64()))})
-    start = {m.shape[1]: Search(ids, m, k) for ids, m, _ in _matrix(arrow(queries))}
-    _search_all(start, arrow(first))
-    plans = {size: (s.ids, s.queries, s.floor) for size, s in start.items()}
+    start = [Search(ids[at:at + QUERIES], m[at:at + QUERIES], k) for ids, m, _ in _matrix(queries) for at in range(0, len(ids), QUERIES)]
+    _search_all(start, first)
+    plans = [(s.ids, s.queries, s.floor) for s in start]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searches = {size: Search(ids, m, k, floor) for size, (ids, m, floor) in plans.items()}
+        searches = [Search(ids, m, k, floor) for ids, m, floor in plans]
         for batch in batches:
             if batch.num_rows:
                 _search_all(searches, pa.Table.from_batches([batch]))
-        for s in searches.values():
+        for s in searches:
             n = [len(ids) for ids, _ in s.found]
             if sum(n):
                 ids = np.concatenate([f[0] for f in s.found])
@@ -192,19 +194,26 @@ def _block(vectors: DataFrame, queries: list, first: list, k: int) -> DataFrame:
     return vectors.mapInArrow(run, "query_id bigint, id bigint, score bigint")
 
 
+def _blocks(queries: DataFrame) -> list[DataFrame]:
+    """The queries dealt out by id to blocks of about ``BLOCK_BYTES``; more than one are written apart once."""
+    size = 8 * (queries.agg(F.sum(F.size("v") + 1)).first()[0] or 0)
+    count = -(-size // BLOCK_BYTES)
+    if count <= 1:
+        return [queries] * count
+    path, block = fresh_path(queries.sparkSession, "query-blocks"), F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
+    queries.withColumn("block", block).write.partitionBy("block").parquet(path)
+    apart = queries.sparkSession.read.schema(f"{QUERY}, block int").parquet(path)
+    return [apart.where(F.col("block") == b) for b in range(count)]
+
+
 def top_k(vectors: DataFrame, is_query: Column, vec_id: str, vector: str, k: int = 10) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` of the rows that ``is_query`` picks, against all other rows."""
     queries = quantized(vectors.where(is_query & F.col(vec_id).isNotNull()), vec_id, vector)
     queries = stored(queries.groupBy("id").agg(F.min(F.struct("v", "norm2")).alias("q")).select("id", "q.v", "q.norm2"), "queries")
     # By length, then id: rows of one length do not have to share a task.
     dealt = stored(quantized(vectors, vec_id, vector).repartitionByRange(F.col("norm2").desc(), "id"), "vectors")
-    first = dealt.orderBy(F.col("norm2").desc(), "id").limit(FIRST).collect()
-    count = queries.count()
-    blocks = -(-count // QUERIES)
-    found = []
-    for b in range(blocks):
-        block = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
-        found.append(stored(_block(dealt, block, first, k), "best"))
+    first = dealt.orderBy(F.col("norm2").desc(), "id").limit(FIRST).toArrow()
+    found = [stored(_block(dealt, block.select("id", "v", "norm2").toArrow(), first, k), "best") for block in _blocks(queries)]
     if not found:
         return dealt.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     every = functools.reduce(DataFrame.union, found)

@@ -218,9 +218,10 @@ def test_contamination_equals_brute_force(spark, monkeypatch):
 
 # ---------------------------------------------------------------- 5 top-k
 
-@pytest.mark.parametrize("block", [2048, 2])
-def test_top_k_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, size", [(2048, 1 << 24), (2, 1 << 24), (2, 100), (1, 1 << 24)])
+def test_top_k_equals_brute_force(spark, monkeypatch, block, size):
     monkeypatch.setattr(topk, "QUERIES", block)
+    monkeypatch.setattr(topk, "BLOCK_BYTES", size)
     r = np.random.default_rng(3)
     rows = [(i, [float(x) for x in r.normal(size=8) * (1 + i % 7)]) for i in range(400)]
     rows += [(i, rows[7][1]) for i in range(400, 460)] + [(500, None), (600, [None] * 8), (700, [float("nan")] * 8), (800, [1.0, 2.0]), (900, [0.0] * 8), (900, [0.0] * 8), (None, rows[3][1])]
