@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quern.functions.tokens import WhitespaceTokenizer
 from quern.operators import bpe, vocab
@@ -166,3 +167,35 @@ def test_writing_counts_what_it_writes(spark):
     stats = result.stats().first()
     assert result.counts["total"] == 100 and result.counts["no_text"] == 20 and result.counts["unique"] == 7
     assert (stats["total"], stats["no_text"], stats["dedup"], stats["kept"]) == (100, 20, 73, 7 - stats["near_dedup"])
+
+
+def test_characters_of_counted_words_are_those_of_the_texts(spark):
+    df = spark.createDataFrame([("ab a 12",), ("b　ü  ab a",), ("",), (None,), ("ab ab 7",)], "t string")
+    words = vocab.word_counts(df, "t")
+    got = {tuple(r) for r in vocab.char_vocab(words, "word", 0.9, "freq").collect()}
+    assert got == {tuple(r) for r in vocab.char_vocab(df, "t", 0.9).collect()} and got
+
+
+def test_words_by_script_are_split_once_for_equal_stretches(spark):
+    df = spark.createDataFrame([(" ab的一 ab的一\t12 x",), ("▁ ▁ab กข",), ("  ",), ("",), (None,), ("ab的一 é́!",)] * 3, "t string")
+    plain = df.select(F.explode(vocab.split_by_script("t")).alias("word")).groupBy("word").count()
+    counted = vocab.word_counts_by_script(df, "t")
+    assert {tuple(r) for r in counted.collect()} == {tuple(r) for r in plain.collect()}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "stretch" in plan and plan.count("Aggregate") == 2
+
+
+def test_fragmented_lines_are_made_once(spark):
+    rows = [(i, "known words here and more of them" if i % 2 else "odd") for i in range(20)]
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    df = spark.createDataFrame(rows, "id bigint, line string").withColumn("line", counted("line"))
+    known = spark.createDataFrame([("known",)], "token string")
+    found = vocab.fragmented_token_freq(df, "line", ["id"], WhitespaceTokenizer(), WhitespaceTokenizer(), 3, known)
+    assert {r["token"]: r["freq"] for r in found.collect()}["odd"] == 10
+    assert seen.value <= 2 * 20  # the filter and the select of one scan
