@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quern.functions import chat, tokens
 from quern.functions.tokens import CharTokenizer, WhitespaceTokenizer
 from quern.operators import order
+from quern.operators import blocks
 from quern.operators.blocks import pack_blocks
 from quern.plans import preferences, training_sets
 from quern.session import materialize
@@ -118,6 +119,24 @@ def test_pack_blocks_equals_a_loop(spark, block, batch, sep):
     assert all(r["labels"] == r["input_ids"] and r["attention_mask"] == [1] * block for r in got.collect())
 
 
+def test_pack_blocks_takes_rows_in_pieces(spark, monkeypatch):
+    """Long rows go to the worker in pieces and blocks come back a few at a time; rows tied in order stay whole."""
+    monkeypatch.setattr(blocks, "PIECE_IDS", 5)
+    monkeypatch.setattr(blocks, "MADE_IDS", 24)
+    rng = random.Random(8)
+    rows = [(i, [rng.randint(1, 50) for _ in range(rng.choice([0, 1, 5, 10, 93]))]) for i in range(40)]
+    got = pack_blocks(spark.createDataFrame(rows, "o bigint, ids array<int>"), "ids", 8, ["o"], 7)
+    want = []
+    for start in range(0, len(rows), 7):
+        line = [x for _, ids in rows[start:start + 7] for x in ids]
+        want += [(start // 7, at // 8, line[at:at + 8]) for at in range(0, len(line) - 7, 8)]
+    assert sorted((r["batch"], r["block"], r["input_ids"]) for r in got.collect()) == want
+    tied = spark.createDataFrame([(0, [1] * 12), (0, [2] * 12)], "o bigint, ids array<int>")
+    line = [x for r in sorted(pack_blocks(tied, "ids", 6, ["o"], 7).collect(), key=lambda r: r["block"]) for x in r["input_ids"]]
+    assert line in ([1] * 12 + [2] * 12, [2] * 12 + [1] * 12)
+    assert "Generate" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pack_blocks_numbers_rows_by_order_alone(spark, monkeypatch):
     """Null ids and a null order value keep their place in the batch count; no ids are written."""
     written = []
