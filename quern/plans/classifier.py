@@ -10,7 +10,7 @@ from pyspark.ml.feature import IDF, HashingTF, IndexToString, NGram, RegexTokeni
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.session import scratch_dir
+from quern.session import materialize, scratch_dir
 
 
 def fit_labels(rows: DataFrame, text: str, label: str, features: int = 1 << 14, max_iter: int = 15, regularization: float = 1e-3) -> PipelineModel:
@@ -26,7 +26,7 @@ def fit_labels(rows: DataFrame, text: str, label: str, features: int = 1 << 14,
     number = F.lit(None).cast("double")
     for k, name in enumerate(labels):
         number = F.when(F.col(label) == name, float(k)).otherwise(number)
-    stages = [
+    shape = [
         SQLTransformer(statement=f"SELECT *, lower(coalesce(`{text}`, '')) AS _ml_text FROM __THIS__"),
         RegexTokenizer(inputCol="_ml_text", outputCol="_ml_words", pattern=r"\s+", toLowercase=False, minTokenLength=0),
         RegexTokenizer(inputCol="_ml_text", outputCol="_ml_chars", pattern=r"(?s).", gaps=False, toLowercase=False),
@@ -34,12 +34,17 @@ def fit_labels(rows: DataFrame, text: str, label: str, features: int = 1 << 14,
         HashingTF(inputCol="_ml_words", outputCol="_ml_word_counts", numFeatures=features),
         HashingTF(inputCol="_ml_grams", outputCol="_ml_gram_counts", numFeatures=features),
         VectorAssembler(inputCols=["_ml_word_counts", "_ml_gram_counts"], outputCol="_ml_counts"),
+    ]
+    learn = [
         IDF(inputCol="_ml_counts", outputCol="_ml_features", minDocFreq=1),
         LogisticRegression(featuresCol="_ml_features", labelCol="_ml_label", predictionCol="_ml_prediction", probabilityCol="_ml_probability",
                            rawPredictionCol="_ml_raw", maxIter=max_iter, regParam=regularization),
         IndexToString(inputCol="_ml_prediction", outputCol="label", labels=labels),
     ]
-    model = Pipeline(stages=stages).fit(known.select(F.col(text), number.alias("_ml_label")))
+    # Texts are taken apart once; both fits read the counts.
+    counted = PipelineModel(stages=shape).transform(known.select(F.col(text), number.alias("_ml_label")))
+    counted = materialize(counted.select("_ml_label", "_ml_counts"), "classifier-counts")
+    model = PipelineModel(stages=[*shape, *Pipeline(stages=learn).fit(counted).stages])
     # The model as stored: the fitted one holds its training session, which cannot go to tasks once it has observed a write.
     path = f"{scratch_dir(rows.sparkSession)}/classifier-{uuid.uuid4().hex}"
     model.write().save(path)
