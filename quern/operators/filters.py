@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +45,28 @@ def label_matches(label: Column | str, target: str) -> Column:
     return label.isNull() | F.lower(label).startswith(target.lower())
 
 
+# Bytes of texts that a classifier is given at a time; one text may be longer.
+SCORED_BYTES = 1 << 20
+
+
+def _portions(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of at most `SCORED_BYTES`, of one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+    start = 0
+    while start < len(texts):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(int(np.searchsorted(ends, before + SCORED_BYTES, "right")), start + 1)
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def scorer_udf(load: Callable[[], Callable[[pd.Series], pd.Series]]):
     """An Arrow function from a classifier factory; ``load`` runs once per Python worker task.
 
     The classifier maps a batch of texts to labels, with null for a text it cannot score. A batch on
     which it fails is scored text by text; a text on which it fails has no verdict, so its row stays.
+    Spark's batches count rows, not bytes; the classifier gets them in portions of `SCORED_BYTES`, so that what a
+    worker holds of texts as Python values grows neither with the batch nor with the task.
     """
     def one(classify, text: str) -> str | None:
         try:
@@ -54,15 +74,19 @@ def scorer_udf(load: Callable[[], Callable[[pd.Series], pd.Series]]):
         except Exception:  # whatever a classifier raises over a text is that text's failure
             return None
 
-    @F.pandas_udf("string")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         classify = load()
-        for texts in batches:
-            try:
-                labels = classify(texts)
-            except Exception:
-                labels = pd.Series([one(classify, t) for t in texts], index=texts.index, dtype=object)
-            yield labels
+        for batch in batches:
+            scored = []
+            for part in _portions(batch):
+                texts = part.to_pandas()
+                try:
+                    labels = classify(texts)
+                except Exception:
+                    labels = pd.Series([one(classify, t) for t in texts], index=texts.index, dtype=object)
+                scored.append(pa.Array.from_pandas(labels, type=pa.string()))
+            yield pa.concat_arrays(scored) if scored else pa.array([], pa.string())
 
     return score
 

@@ -123,6 +123,22 @@ def test_failed_scoring_keeps_the_row(spark):
     assert [r["id"] for r in filters.label_filter(df, "positive", load=load).collect()] == [1, 2]
 
 
+def test_classifier_gets_texts_in_portions_of_bytes(spark, monkeypatch):
+    """Whatever Spark's batches hold, what the classifier is given at a time stays small; nulls and long texts included."""
+    monkeypatch.setattr(filters, "SCORED_BYTES", 1000)
+
+    def load():
+        return lambda texts: texts.map(lambda t: None if t is None else f"positive {len(texts)}" if len(t) < 500 else f"positive {len(texts)} long")
+
+    rows = [(i, None if i % 50 == 7 else "é" * (700 if i % 20 == 3 else 45)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, text string").coalesce(1)
+    got = {r["id"]: r["label"] for r in df.select("id", filters.scorer_udf(load)("text").alias("label")).collect()}
+    assert len(got) == 200 and all((got[i] is None) == (t is None) for i, t in rows)
+    assert max(int(v.split()[1]) for v in got.values() if v) <= 13
+    assert all(v == "positive 1 long" for v in (got[i] for i, t in rows if t and len(t) == 700))
+    assert filters.label_filter(df, "positive", load=load).count() == 200
+
+
 def test_label_filter_with_fitted_pipeline(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import SQLTransformer
