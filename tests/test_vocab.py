@@ -199,3 +199,32 @@ def test_fragmented_lines_are_made_once(spark):
     found = vocab.fragmented_token_freq(df, "line", ["id"], WhitespaceTokenizer(), WhitespaceTokenizer(), 3, known)
     assert {r["token"]: r["freq"] for r in found.collect()}["odd"] == 10
     assert seen.value <= 2 * 20  # the filter and the select of one scan
+
+
+def test_piece_table_over_packs(spark, monkeypatch):
+    """Texts meet the pieces of their pack's words; no text is taken apart into rows of words."""
+    monkeypatch.setattr(vocab, "PACK_PARTS", 1)
+    pieces = spark.createDataFrame([(f"w{i}", [f"w{i % 7}", "x" * (i % 3 + 1)]) for i in range(0, 400, 2)], "word string, pieces array<string>")
+    table, learned = vocab.PieceTable(pieces, split_digits=False), {r["word"]: r["pieces"] for r in pieces.collect()}
+    rng = random.Random(3)
+    rows = [(i, k, " ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(9)))) for i in range(60) for k in range(3)]
+    rows[5], long = (1, 2, None), " ".join(f"w{rng.randrange(400)}" for _ in range(600_000))  # of several packs
+    rows += [(None, 0, "w2 w1"), (70, None, " w4\t w6 "), (71, 0, long), (72, 0, "w8 w8")]
+    df = spark.createDataFrame(rows, "a bigint, b int, t string")
+    found = table.encode(df.repartition(3), "t", ["a", "b"])
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert dict(found.dtypes) == {"a": "bigint", "b": "int", "tokens": "array<string>"}
+    want = {(a, b): [p for w in (t or "").split() for p in learned.get(w, ["<unk>"])] for a, b, t in rows}
+    got = found.collect()
+    assert len(got) == len(rows) and {(r["a"], r["b"]): r["tokens"] for r in got} == want
+
+
+def test_piece_table_of_blank_and_repeated_texts(spark):
+    pieces = spark.createDataFrame([("a", ["p"]), ("b", ["q", "r"])], "word string, pieces array<string>")
+    table = vocab.PieceTable(pieces)
+    encoded = lambda rows: sorted((r["o"] or 0, r["tokens"]) for r in table.encode(spark.createDataFrame(rows, "o bigint, t string"), "t", ["o"]).collect())
+    assert encoded([]) == []
+    assert encoded([(1, " "), (2, None)]) == [(1, []), (2, [])]
+    # Texts of one order are one text, word by word.
+    assert encoded([(1, "a b"), (1, "b c"), (None, "a"), (None, "a"), (2, "b")]) == [
+        (0, ["p", "p"]), (1, ["p", "q", "r", "<unk>", "q", "r"]), (2, ["q", "r"])]
